@@ -1,0 +1,146 @@
+"""Local boosted trees: one small booster per entity on the ten calendar features.
+
+The features take a finite number of values, so a fitted model is tabulated: its value at
+each (month, weekday, time of day, holiday). That table is the parameter row, and scoring
+is a join and an array look-up with no Python.
+
+Spark groups the cells by entity and each task boosts its entities in NumPy. A group holds
+calendar cells, never rows, so an entity with most of the data costs as much as any other.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from slotcast.config import Settings, TreeParams
+from slotcast.functions.holidays import is_holiday
+from slotcast.operators.features import with_entity
+from slotcast.operators.models import cells
+
+PARAMS = "entity string, n bigint, table array<double>"
+
+
+def cell_index(ts: Column, minutes: int) -> Column:
+    """Position of (month, weekday, slot of the day, holiday) in the tabulated model."""
+    per_day = 24 * 60 // minutes
+    slot = F.hour(ts) * (60 // minutes) + F.floor(F.minute(ts) / F.lit(minutes))
+    month_day = (F.month(ts) - 1) * 7 + F.weekday(ts)
+    return ((month_day * per_day + slot) * 2 + is_holiday(F.to_date(ts))).cast("int")
+
+
+def cell_features(index: np.ndarray, minutes: int) -> np.ndarray:
+    """The ten calendar features at the given cells."""
+    per_day, per_hour = 24 * 60 // minutes, 60 // minutes
+    holiday, rest = index % 2, index // 2
+    slot, rest = rest % per_day, rest // per_day
+    weekday, month = rest % 7, rest // 7 + 1
+    hour = slot // per_hour
+    turn_h, turn_m = 2 * np.pi * hour / 24, 2 * np.pi * month / 12
+    parts = [
+        hour, slot % per_hour * minutes, weekday, month, holiday, weekday >= 5,
+        np.sin(turn_h), np.cos(turn_h), np.sin(turn_m), np.cos(turn_m),
+    ]
+    return np.column_stack([np.asarray(p, dtype=float) for p in parts])
+
+
+def entity_cells(train: DataFrame, settings: Settings) -> DataFrame:
+    """Counts and sums per entity and cell."""
+    index = cell_index(F.col("ts_local"), settings.grid_minutes).alias("cell")
+    return with_entity(train).groupBy("entity", index).agg(*cells.sums())
+
+
+def boost(
+    x: np.ndarray, n: np.ndarray, total: np.ndarray, grid: np.ndarray, params: TreeParams
+) -> np.ndarray:
+    """Boost trees on weighted cells (squared loss) and return their sum at ``grid``.
+
+    Trees grow level by level. Feature values are replaced by their rank among all values
+    of the calendar, so the gains of all nodes come from one histogram per feature.
+    """
+    rng = np.random.default_rng(params.seed)
+    # Rounded, so that equal angles reached in two ways fall into one bin.
+    everything = np.round(np.vstack([x, grid]), 9)
+    bins = np.column_stack([np.unique(c, return_inverse=True)[1] for c in everything.T])
+    width = int(bins.max()) + 1
+    train, at = bins[: len(x)], bins[len(x):]
+    base = total.sum() / n.sum()
+    fitted, out = np.full(len(x), base), np.full(len(grid), base)
+    features = x.shape[1]
+    used = max(1, int(round(features * params.column_sample)))
+    for _ in range(params.trees):
+        weight = n if params.row_sample >= 1 else rng.binomial(n.astype(int), params.row_sample)
+        # The sampled rows of a cell carry the cell's mean residual.
+        grad = weight * (total / n - fitted)
+        node, node_at = np.zeros(len(x), int), np.zeros(len(grid), int)
+        columns = rng.choice(features, used, replace=False)
+        for level in range(params.depth):
+            nodes = 2**level
+            split, cut = _best_splits(train, weight, grad, node, nodes, columns, width, params.ridge)
+            node = 2 * node + (train[np.arange(len(x)), split[node]] > cut[node])
+            node_at = 2 * node_at + (at[np.arange(len(grid)), split[node_at]] > cut[node_at])
+        leaves = 2**params.depth
+        value = np.bincount(node, grad, leaves) / (np.bincount(node, weight, leaves) + params.ridge)
+        fitted = fitted + params.rate * value[node]
+        out = out + params.rate * value[node_at]
+    return out
+
+
+def _best_splits(bins, weight, grad, node, nodes, columns, width, ridge):
+    """Feature and cut of each node of one level; a node without gain sends all left."""
+    best = np.full(nodes, 1e-9)
+    split, cut = np.full(nodes, columns[0]), np.full(nodes, width)
+    for c in columns:
+        at = node * width + bins[:, c]
+        g = np.bincount(at, grad, nodes * width).reshape(nodes, width).cumsum(1)
+        w = np.bincount(at, weight, nodes * width).reshape(nodes, width).cumsum(1)
+        g_all, w_all = g[:, -1:], w[:, -1:]
+        gain = g**2 / (w + ridge) + (g_all - g) ** 2 / (w_all - w + ridge)
+        gain = gain - g_all**2 / (w_all + ridge)
+        # As many rows as this on either side, as in a booster's minimum child weight.
+        gain = np.where((w >= 1) & (w_all - w >= 1), gain, 0.0)
+        where = gain.argmax(1)
+        top = gain[np.arange(nodes), where]
+        better = top > best
+        best[better], split[better], cut[better] = top[better], c, where[better]
+    return split, cut
+
+
+def _fit_entity(settings: Settings) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    minutes, min_rows, params = settings.grid_minutes, settings.min_train_rows, settings.trees
+    size = 12 * 7 * (24 * 60 // minutes) * 2
+
+    def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = int(pdf["n"].sum())
+        if rows < min_rows:
+            return pd.DataFrame(columns=["entity", "n", "table"])
+        pdf = pdf.sort_values("cell")
+        grid = cell_features(np.arange(size), minutes)
+        x = cell_features(pdf["cell"].to_numpy(), minutes)
+        table = boost(x, pdf["n"].to_numpy(float), pdf["total"].to_numpy(float), grid, params)
+        return pd.DataFrame(
+            {"entity": [pdf["entity"].iloc[0]], "n": [rows], "table": [table.tolist()]}
+        )
+
+    return fit_one
+
+
+def fit(train: DataFrame, settings: Settings) -> DataFrame:
+    return entity_cells(train, settings).groupBy("entity").applyInPandas(
+        _fit_entity(settings), PARAMS
+    )
+
+
+def score(
+    rows: DataFrame, params: DataFrame, settings: Settings, offsets: DataFrame | None = None
+) -> DataFrame:
+    table = params.select("entity", "table")
+    value = F.get(F.col("table"), cell_index(F.col("ts_local"), settings.grid_minutes))
+    scored = with_entity(rows).join(table, "entity", "left").withColumn("yhat", value).drop("table")
+    if offsets is None:
+        return scored.withColumns({"lo": F.col("yhat"), "hi": F.col("yhat")})
+    return cells.with_offsets(scored, offsets)
