@@ -75,10 +75,11 @@ def forecast(silver, train):
 def pair(spark, sf):
     """The serving pair: KPI table and predictions, stamped and written."""
     silver = fx.silver(spark, sf)
-    train, test = fe.chrono_split(silver, S)
-    rows = go.gold_union(forecast(silver, train), go.backtest_rows(four_models(spark, sf)))
+    train, _ = fe.chrono_split(silver, S)
+    scored = four_models(spark, sf, silver)
+    rows = go.gold_union(forecast(silver, train), go.backtest_rows(scored))
     stamps = (RUN_ID, STATUS_FRESH, GENERATED, TRAINED_AT)
-    kpis = materialize(go.stamp(kpi_table(spark, sf), *stamps), "kpis")
+    kpis = materialize(go.stamp(kpi_table(spark, sf, scored), *stamps), "kpis")
     return kpis, materialize(go.stamp(rows, *stamps), "predictions")
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from queries import fixtures as fx
 from queries.registry import query, rounded, with_ctes
 from slotcast.config import KPI_NAMES, MODEL_ADDITIVE, MODEL_GLOBAL, MODEL_LOCAL
+from slotcast.operators import features as fe
 from slotcast.operators import kpis as kp
 from slotcast.session import materialize
 
@@ -37,9 +38,10 @@ LONG = FOUR + [
 ]
 
 
-def four_models(spark, sf):
+def four_models(spark, sf, silver=None):
     """Scored rows of the four stand-ins, written once."""
-    scored = fx.baseline_scored(*fx.split(spark, sf)).withColumn("mean_wait", F.col("yhat"))
+    split = fx.split(spark, sf) if silver is None else fe.chrono_split(silver, S)
+    scored = fx.baseline_scored(*split).withColumn("mean_wait", F.col("yhat"))
     answers = F.array(
         *(
             F.struct(F.lit(name).alias("model"), F.expr(expr).cast("double").alias("yhat"))
@@ -57,8 +59,8 @@ def four_models(spark, sf):
     return materialize(rows.drop("a", "mean_wait"), "scored")
 
 
-def kpi_table(spark, sf):
-    kpis = kp.compute_kpis(four_models(spark, sf), S)
+def kpi_table(spark, sf, scored=None):
+    kpis = kp.compute_kpis(four_models(spark, sf) if scored is None else scored, S)
     trained = {m: TRAINED_AT for m in S.model_order}
     return kp.build_kpi_table(kpis, MODEL_ADDITIVE, trained)
 

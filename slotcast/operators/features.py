@@ -76,13 +76,13 @@ def time_cutoff(df: DataFrame, settings: Settings) -> DataFrame:
 
 
 def chrono_split(
-    df: DataFrame, settings: Settings, cutoff: DataFrame | None = None
+    df: DataFrame, settings: Settings, cutoff: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Train up to and including the cutoff, test after it; one cutoff for all units.
 
     The cutoff enters as a scalar subquery: a filter the scan can use, not a join.
     """
-    cut = (time_cutoff(df, settings) if cutoff is None else cutoff).scalar()
+    cut = time_cutoff(df, settings).scalar() if cutoff is None else cutoff
     return df.where(F.col("ts_local") <= cut), df.where(F.col("ts_local") > cut)
 
 
