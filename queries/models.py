@@ -1 +1,282 @@
-"""placeholder"""
+"""Model families: sums they are fitted on, scores, registry, and the weekly run."""
+
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
+from queries import fixtures as fx
+from queries.features import HOLIDAYS
+from queries.registry import query, rounded, table, with_ctes
+from slotcast.config import MODEL_ADDITIVE, MODEL_LOCAL, TreeParams
+from slotcast.operators import features as fe
+from slotcast.operators import kpis as kp
+from slotcast.operators.models import additive, baseline, cells, global_trees, local_trees, registry
+from slotcast.plans import weekly
+from slotcast.session import scratch_path
+from slotcast.sources.store import TableStore
+
+S = fx.SETTINGS
+# Fewer trees than by default, so that the driver's run stays short.
+QUICK = replace(S, trees=TreeParams(trees=8, depth=5, rate=0.3))
+TRAINED_AT = "2024-01-31T00:00:00+00:00"
+
+
+@query("model_baseline_fit", with_ctes(fx.BASELINE, """SELECT entity,
+    round(avg(wait_time), 6) AS mean_wait, count(*) AS train_rows FROM train GROUP BY entity"""))
+def baseline_fit(spark, sf):
+    return rounded(baseline.fit(fx.split(spark, sf)[0]), "mean_wait")
+
+
+@query("model_baseline_score", with_ctes(fx.BASELINE, """SELECT entity, ts_local,
+    round(yhat, 6) AS yhat, round(lo, 6) AS lo, round(hi, 6) AS hi FROM scored"""))
+def baseline_score(spark, sf):
+    train, test = fx.split(spark, sf)
+    rows = baseline.score(test, baseline.fit(train)).select("entity", "ts_local", "yhat", "lo", "hi")
+    return rounded(rows, "yhat", "lo", "hi")
+
+
+@query("model_baseline_unknown", with_ctes(fx.BASELINE, """SELECT
+    count(*) FILTER (park_name <> 'view') AS answered,
+    count(*) FILTER (park_name = 'view') AS unanswered FROM scored"""))
+def baseline_unknown(spark, sf):
+    """One site is unknown to the model, so its rows have no answer."""
+    train, test = fx.split(spark, sf)
+    params = baseline.fit(train.where(F.col("park_name") != "view"))
+    return baseline.score(test, params).agg(
+        F.count("yhat").alias("answered"), F.count_if(F.col("yhat").isNull()).alias("unanswered")
+    )
+
+
+@query("model_eligibility", with_ctes(fx.SPLIT, """SELECT entity, count(*) AS train_rows,
+    count(*) >= 50 AS eligible FROM train GROUP BY entity"""))
+def eligibility(spark, sf):
+    return cells.eligibility(fx.split(spark, sf)[0], S)
+
+
+@query("model_fit_report", with_ctes(fx.SPLIT, """SELECT
+    count(*) FILTER (n >= 50) AS fitted, count(*) FILTER (n < 50) AS skipped
+    FROM (SELECT count(*) AS n FROM train GROUP BY entity)"""))
+def fit_report(spark, sf):
+    return cells.fit_report(cells.eligibility(fx.split(spark, sf)[0], S))
+
+
+NAMES = ", ".join("'" + n.replace("'", "''") + "'" for n in additive.HOLIDAY_NAMES)
+
+
+@query("model_additive_sums", f"""WITH {', '.join(fx.SPLIT)}, {HOLIDAYS}
+    SELECT entity, CAST((isodow(ts_local) - 1) * 48 + hour(ts_local) * 2
+      + minute(ts_local) // 30 AS INTEGER) AS week_slot,
+    CAST(coalesce(list_position([{NAMES}], h.name), 0) - 1 AS INTEGER) AS holiday,
+    count(*) AS n, round(sum(wait_time), 6) AS total, round(sum(wait_time * wait_time), 6) AS squares
+    FROM train LEFT JOIN holidays h ON CAST(ts_local AS DATE) = h.day GROUP BY ALL""")
+def additive_sums(spark, sf):
+    return rounded(additive.design_cells(fx.split(spark, sf)[0], S), "total", "squares")
+
+
+@query("model_additive_score")
+def additive_score(spark, sf):
+    train, test = fx.split(spark, sf)
+    model = registry.fit(MODEL_ADDITIVE, train, S, TRAINED_AT)
+    rows = model.score(test, S).select("entity", "ts_local", "wait_time", "yhat", "lo", "hi")
+    return rounded(rows, "yhat", "lo", "hi", digits=4)
+
+
+@query("model_category_index", """SELECT value, CAST(dense_rank() OVER (ORDER BY value) - 1 AS BIGINT)
+    AS code FROM (SELECT DISTINCT p_type AS value FROM part)""")
+def category_index(spark, sf):
+    return global_trees.category_index(table(spark, sf, "part"), "p_type")
+
+
+@query("model_category_apply", """SELECT l_orderkey, l_linenumber, l_partkey,
+    CAST(coalesce(code, -1) AS BIGINT) AS code
+    FROM lineitem JOIN part ON l_partkey = p_partkey
+    LEFT JOIN (SELECT v, dense_rank() OVER (ORDER BY v) - 1 AS code
+      FROM (SELECT DISTINCT p_type AS v FROM part WHERE p_size <= 25)) ON v = p_type""")
+def category_apply(spark, sf):
+    """Codes pinned on some parts, applied to all line items; unseen types have none."""
+    part = table(spark, sf, "part")
+    codes = global_trees.category_index(part.where(F.col("p_size") <= 25), "p_type")
+    rows = table(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    coded = global_trees.apply_category(rows, codes, "p_type")
+    return coded.select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        F.coalesce("p_type_code", F.lit(-1)).cast("bigint").alias("code"),
+    )
+
+
+@query("model_calendar_cells", f"""WITH {', '.join(fx.SPLIT)}, {HOLIDAYS}
+    SELECT park_name, ride_key, CAST(hour(ts_local) AS INTEGER) AS hour,
+    CAST(minute(ts_local) AS INTEGER) AS minute, CAST(isodow(ts_local) - 1 AS INTEGER) AS dayofweek,
+    CAST(month(ts_local) AS INTEGER) AS month, CAST(h.day IS NOT NULL AS INTEGER) AS is_holiday,
+    count(*) AS n, round(avg(wait_time), 6) AS label
+    FROM train LEFT JOIN holidays h ON CAST(ts_local AS DATE) = h.day GROUP BY ALL""")
+def calendar_cells(spark, sf):
+    rows = rounded(global_trees.calendar_cells(fx.split(spark, sf)[0]), "label")
+    return rows.select("park_name", "ride_key", "hour", "minute", "dayofweek", "month",
+                       "is_holiday", "n", "label")
+
+
+@query("model_residual_quantiles", with_ctes(fx.BASELINE, """SELECT entity,
+    round(quantile_cont(wait_time - mean_wait, 0.1), 6) AS res_lo,
+    round(quantile_cont(wait_time - mean_wait, 0.9), 6) AS res_hi
+    FROM train JOIN means USING (entity) GROUP BY entity"""))
+def residual_quantiles(spark, sf):
+    train, _ = fx.split(spark, sf)
+    scored = baseline.score(train, baseline.fit(train))
+    return rounded(cells.residual_quantiles(scored, S), "res_lo", "res_hi")
+
+
+@query("model_offsets", with_ctes(fx.BASELINE, """, q AS (SELECT entity,
+    quantile_cont(wait_time - mean_wait, 0.1) AS a, quantile_cont(wait_time - mean_wait, 0.9) AS b
+    FROM train JOIN means USING (entity) WHERE park_name <> 'view' GROUP BY entity)
+    SELECT entity, ts_local, round(yhat, 6) AS yhat, round(yhat + coalesce(a, 0), 6) AS lo,
+    round(yhat + coalesce(b, 0), 6) AS hi FROM scored LEFT JOIN q USING (entity)""").replace(
+        "\n, q AS", ",\nq AS"))
+def offsets(spark, sf):
+    """Bounds from residual quantiles; one site has none, which counts as 0."""
+    train, test = fx.split(spark, sf)
+    params = baseline.fit(train)
+    residuals = cells.residual_quantiles(baseline.score(train, params), S)
+    known = residuals.where(~F.col("entity").startswith("view::"))
+    rows = cells.with_offsets(baseline.score(test, params), known)
+    return rounded(rows.select("entity", "ts_local", "yhat", "lo", "hi"), "yhat", "lo", "hi")
+
+
+@query("model_global_score")
+def global_score(spark, sf):
+    train, test = fx.split(spark, sf)
+    model = registry.fit(QUICK.candidates[1], train, QUICK, TRAINED_AT)
+    rows = model.score(test, QUICK).select("entity", "ts_local", "wait_time", "yhat", "lo", "hi")
+    return rounded(rows, "yhat", "lo", "hi", digits=4)
+
+
+@query("model_local_score")
+def local_score(spark, sf):
+    train, test = fx.split(spark, sf)
+    model = registry.fit(MODEL_LOCAL, train, QUICK, TRAINED_AT)
+    rows = model.score(test, QUICK).select("entity", "ts_local", "wait_time", "yhat", "lo", "hi")
+    return rounded(rows, "yhat", "lo", "hi", digits=4)
+
+
+@query("model_save_load")
+def save_load(spark, sf):
+    """Scores of a saved and loaded fleet beside those of the fleet in memory."""
+    train, test = fx.split(spark, sf)
+    store = TableStore(spark, scratch_path(spark, "store"))
+    model = registry.fit(MODEL_ADDITIVE, train, S, TRAINED_AT)
+    count = registry.save(model, store, "r1")
+    store.promote(serving={"run_id": "r1", "model_name": model.family,
+                           "trained_at": TRAINED_AT, "ride_count": count})
+    loaded = registry.load(store, store.serving(), S)
+    key = ["entity", "ts_local"]
+    kept = model.score(test, S).select(*key, F.col("yhat").alias("before"))
+    again = loaded.score(test, S).select(*key, F.col("yhat").alias("after"))
+    joined = kept.join(again, key)
+    return joined.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~F.col("before").eqNullSafe(F.col("after"))).alias("differences"),
+    )
+
+
+@query("model_manifest", with_ctes(fx.SPLIT, f"""SELECT 'r1' AS run_id,
+    'prophet_fleet' AS model_name, '{TRAINED_AT}' AS trained_at, entity,
+    count(*) OVER () AS ride_count
+    FROM (SELECT entity FROM train GROUP BY entity HAVING count(*) >= 50)"""))
+def manifest(spark, sf):
+    eligible = cells.eligibility(fx.split(spark, sf)[0], S).where("eligible")
+    return registry.manifest(eligible, "r1", MODEL_ADDITIVE, TRAINED_AT)
+
+
+@query("model_manifest_problems", """SELECT unnest(['missing trained_at',
+    'count differs from the list']) AS problem FROM (SELECT count(*) AS n FROM customer) WHERE n > 1""")
+def manifest_problems(spark, sf):
+    """A manifest over all customers, without a training time and with a wrong count."""
+    customers = table(spark, sf, "customer").select(F.col("c_name").alias("entity"))
+    rows = registry.manifest(customers, "r1", MODEL_ADDITIVE, TRAINED_AT)
+    spoiled = rows.withColumns(
+        {"trained_at": F.lit(None).cast("string"), "ride_count": F.col("ride_count") + 1}
+    )
+    return registry.manifest_problems(spoiled)
+
+
+@query("model_reconcile", """SELECT coalesce(a, b) AS entity, a IS NOT NULL AS listed,
+    b IS NOT NULL AS loaded FROM (SELECT c_name AS a FROM customer WHERE c_acctbal > 0)
+    FULL JOIN (SELECT c_name AS b FROM customer WHERE c_mktsegment <> 'BUILDING') ON a = b
+    WHERE a IS NULL OR b IS NULL""")
+def reconcile(spark, sf):
+    """Customers in credit as listed entities, customers of most segments as loaded ones."""
+    customers = table(spark, sf, "customer").withColumn("entity", F.col("c_name"))
+    listed = customers.where(F.col("c_acctbal") > 0)
+    loaded = customers.where(F.col("c_mktsegment") != "BUILDING")
+    return registry.entity_difference(listed, loaded).select(
+        "entity",
+        F.col("listed").isNotNull().alias("listed"),
+        F.col("loaded").isNotNull().alias("loaded"),
+    )
+
+
+@query("model_expired_runs", """SELECT run_id FROM (SELECT DISTINCT
+    strftime(o_orderdate, '%Y%m%dT%H%M%SZ') AS run_id FROM orders)
+    WHERE run_id NOT IN (SELECT DISTINCT strftime(o_orderdate, '%Y%m%dT%H%M%SZ') AS r FROM orders
+      ORDER BY r DESC LIMIT 4) AND run_id <> (SELECT strftime(min(o_orderdate), '%Y%m%dT%H%M%SZ')
+      FROM orders)""")
+def expired_runs(spark, sf):
+    """Every order date as a run; the pointer names the oldest."""
+    stamp = F.date_format("o_orderdate", "yyyyMMdd'T'HHmmss'Z'").alias("run_id")
+    runs = table(spark, sf, "orders").select(stamp)
+    return registry.expired_runs(runs, runs.agg(F.min("run_id")).scalar(), S)
+
+
+# ---- the whole run ------------------------------------------------------------------
+
+# Some units are too short at a small scale for a model of their own.
+WEEKLY = replace(QUICK, min_entities=10, min_train_rows=30)
+
+
+def _run(spark, store, now):
+    return weekly.Run(store, WEEKLY, now)
+
+
+@query("run_weekly_predictions")
+def weekly_predictions(spark, sf):
+    """The promoted predictions of a first weekly run on the events."""
+    store = TableStore(spark, scratch_path(spark, "store"))
+    weekly.run_weekly(_run(spark, store, fx.NOW_UTC), fx.seasonal_bronze(spark, sf))
+    return store.read("predictions")
+
+
+@query("run_four_statuses")
+def four_statuses(spark, sf):
+    """A fresh run, the same again (kept), one on stale input, and one that fails."""
+    from datetime import timedelta
+
+    store = TableStore(spark, scratch_path(spark, "store"))
+    bronze, now = fx.seasonal_bronze(spark, sf), fx.NOW_UTC
+    out = []
+    for days in (0, 1, 4):
+        out.append(weekly.run_weekly(_run(spark, store, now + timedelta(days=days)), bronze))
+    failing = weekly.Run(
+        store, replace(WEEKLY, min_entities=10**9), now + timedelta(days=5)
+    )
+    try:
+        weekly.run_or_fall_back(failing, bronze)
+    except Exception:
+        rows = store.read("predictions")
+        status = rows.select("run_status").distinct().first()["run_status"]
+        out.append({"run_id": failing.run_id, "run_status": status})
+    frames = [weekly.summary_frame(store, s) for s in out]
+    result = frames[0]
+    for frame in frames[1:]:
+        result = result.unionByName(frame)
+    return result
+
+
+@query("run_candidates_kpis")
+def candidates_kpis(spark, sf):
+    """KPIs of the four real families on the same test rows."""
+    silver = fx.silver(spark, sf)
+    train, test = fe.chrono_split(silver, QUICK)
+    run = _run(spark, TableStore(spark, scratch_path(spark, "store")), fx.NOW_UTC)
+    models = [registry.fit(n, train, QUICK, TRAINED_AT) for n in QUICK.model_order]
+    scored = weekly.score_models(run, models, train, test)
+    return kp.compute_kpis(scored, QUICK)

@@ -1 +1,134 @@
-"""placeholder"""
+"""Table versions, the published pair, records, chunks and the serving query."""
+
+from pyspark.sql import functions as F
+
+from queries import fixtures as fx
+from queries.gold import PAIR, RUN_ID, VALUES, pair
+from queries.registry import query, rounded, table, with_ctes
+from slotcast.schemas import PREDICTION_KEY, SILVER
+from slotcast.session import scratch_path
+from slotcast.sources import serving as sv
+from slotcast.sources.store import TableStore
+
+S = fx.SETTINGS
+PAIR_SELECT = f"""SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in VALUES)})
+    FROM predictions"""
+
+
+def _store(spark):
+    return TableStore(spark, scratch_path(spark, "store"))
+
+
+@query("io_read_table", "SELECT * FROM lineitem")
+def read_table(spark, sf):
+    return table(spark, sf, "lineitem")
+
+
+@query("io_table_count", """SELECT (SELECT count(*) FROM lineitem) AS lineitem,
+    (SELECT count(*) FROM orders) AS orders, (SELECT count(*) FROM events) AS events""")
+def table_count(spark, sf):
+    def rows(name):
+        return table(spark, sf, name).agg(F.count(F.lit(1)).alias(name))
+
+    return rows("lineitem").select(
+        "lineitem", rows("orders").scalar().alias("orders"), rows("events").scalar().alias("events")
+    )
+
+
+@query("io_write_and_promote", with_ctes(fx.SILVER, """SELECT park_name, ride_key, ride_name,
+    ts_local, ts_utc, round(wait_time, 6) AS wait_time FROM silver"""))
+def write_and_promote(spark, sf):
+    """A version is written, replaced by a second one, promoted, and read by its name."""
+    store, silver = _store(spark), fx.silver(spark, sf)
+    store.write("silver", silver.where(F.col("wait_time") < 0), "a")
+    store.write("silver", silver, "b")
+    store.promote("silver")
+    store.write("silver", silver.where(F.col("wait_time") < 0), "c")
+    store.discard("silver")
+    return rounded(store.read("silver", SILVER), "wait_time")
+
+
+@query("io_publish_pair", with_ctes(PAIR, """SELECT (SELECT count(*) FROM kpi_pair) AS kpis,
+    (SELECT count(*) FROM predictions) AS predictions"""))
+def publish_pair(spark, sf):
+    return sv.publish_pair(_store(spark), *pair(spark, sf), RUN_ID)
+
+
+@query("io_fetch_pair", with_ctes(PAIR, PAIR_SELECT))
+def fetch_pair(spark, sf):
+    store = _store(spark)
+    sv.publish_pair(store, *pair(spark, sf), RUN_ID)
+    return rounded(sv.fetch_pair(store)[1], *VALUES)
+
+
+@query("io_pair_parquet", with_ctes(PAIR, PAIR_SELECT))
+def pair_parquet(spark, sf):
+    folder = scratch_path(spark, "pair")
+    sv.save_pair(*pair(spark, sf), folder)
+    return rounded(sv.load_pair(spark, folder)[1], *VALUES)
+
+
+@query("io_json_records", """SELECT o_orderkey,
+    CASE WHEN x IS NULL OR NOT isfinite(x) THEN NULL ELSE round(x / 7000000, 10) END AS x,
+    strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS at, o_orderstatus AS status,
+    CAST(4 AS INTEGER) AS keys
+    FROM (SELECT *, CASE o_orderpriority WHEN '1-URGENT' THEN NULL
+      WHEN '2-HIGH' THEN CAST('NaN' AS DOUBLE) WHEN '3-MEDIUM' THEN CAST('Infinity' AS DOUBLE)
+      ELSE o_totalprice END AS x FROM orders)""")
+def json_records(spark, sf):
+    """Records read back: the fields, and that no key is left out for a null."""
+    p = F.col("o_orderpriority")
+    x = (
+        F.when(p == "1-URGENT", F.lit(None))
+        .when(p == "2-HIGH", F.lit(float("nan")))
+        .when(p == "3-MEDIUM", F.lit(float("inf")))
+        .otherwise(F.col("o_totalprice"))
+    )
+    rows = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("k"),
+        (x.cast("double") / 7000000).alias("x"),
+        F.col("o_orderdate").alias("at"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    record = F.from_json("record", "k bigint, x double, at string, status string")
+    parsed = sv.to_records(rows).select(
+        record.alias("r"), F.size(F.json_object_keys("record")).alias("keys")
+    )
+    return parsed.select(F.col("r.k").alias("o_orderkey"), "r.x", "r.at", "r.status", "keys")
+
+
+@query("io_chunks", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    CAST(floor((row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey,
+      l_shipdate, l_extendedprice) - 1) / 5000) AS BIGINT) AS chunk_id
+    FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
+          l_extendedprice FROM lineitem)""")
+def chunks(spark, sf):
+    """Line items in key order, cut into chunks of 5,000."""
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+    rows = sv.with_chunks(table(spark, sf, "lineitem").select(*key), key, S)
+    return rows.select(*key[:4], "chunk_id")
+
+
+@query("io_prediction_chunks", with_ctes(PAIR, f"""SELECT chunk_id, count(*) AS rows FROM
+    (SELECT CAST(floor((row_number() OVER (ORDER BY {', '.join(PREDICTION_KEY)}) - 1) / 5000)
+     AS BIGINT) AS chunk_id FROM predictions) GROUP BY chunk_id"""))
+def prediction_chunks(spark, sf):
+    rows = sv.with_chunks(pair(spark, sf)[1], PREDICTION_KEY, S)
+    return rows.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("io_serving_query", with_ctes(PAIR, """SELECT park_name, ride_key, ts_local,
+    round(predicted_wait_min, 6) AS predicted_wait_min, round(lower_bound, 6) AS lower_bound,
+    round(upper_bound, 6) AS upper_bound FROM predictions
+    WHERE row_kind = 'forecast' AND park_name = 'click'
+    ORDER BY park_name, ts_local, ride_key, model_name LIMIT 5"""))
+def serving_query(spark, sf):
+    """The published forecast of one site, first rows of the week."""
+    store = _store(spark)
+    sv.publish_pair(store, *pair(spark, sf), RUN_ID)
+    columns = ["park_name", "ride_key", "ts_local", "predicted_wait_min", "lower_bound",
+               "upper_bound"]
+    rows = sv.serve(
+        sv.fetch_pair(store)[1], {"row_kind": "forecast", "park_name": "click"}, columns, 5
+    )
+    return rounded(rows, "predicted_wait_min", "lower_bound", "upper_bound")

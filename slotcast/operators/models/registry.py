@@ -107,7 +107,7 @@ def manifest_problems(rows: DataFrame) -> DataFrame:
             (F.count_if(F.col(c).isNull()) == 0).alias(f"has_{c}")
             for c in ("run_id", "model_name", "trained_at", "entity", "ride_count")
         ),
-        (F.count_distinct("run_id", "model_name", "trained_at", "ride_count") == 1).alias("single"),
+        (F.count_distinct(F.struct(*(c for c in MANIFEST if c != "entity"))) == 1).alias("single"),
     )
     checks = {
         **{f"missing {c}": F.col(f"has_{c}") for c in MANIFEST},
