@@ -7,6 +7,7 @@ from queries.registry import query, rounded, with_ctes
 from slotcast.config import KPI_NAMES, MODEL_ADDITIVE, MODEL_GLOBAL, MODEL_LOCAL
 from slotcast.operators import features as fe
 from slotcast.operators import kpis as kp
+from slotcast.operators import silver as si
 from slotcast.session import materialize
 
 S = fx.SETTINGS
@@ -86,8 +87,10 @@ for _kpi in KPI_NAMES:
 @query("baseline_kpis", with_ctes(
     fx.BASELINE,
     f"SELECT model, {_rounded_names(KPI_NAMES)} FROM ({fx.kpi_select('scored')})"))
-def baseline_kpis(spark, sf):
-    rows = kp.compute_kpis(fx.baseline_scored(*fx.split(spark, sf)), S)
+def baseline_kpis(spark, sf, settings=S):
+    """Historical mean per entity, judged on the last fifth of the time range."""
+    silver = materialize(si.build_silver(fx.bronze(spark, sf), settings), "silver")
+    rows = kp.compute_kpis(fx.baseline_scored(*fe.chrono_split(silver, settings)), settings)
     return rounded(rows, *KPI_NAMES)
 
 

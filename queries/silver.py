@@ -76,7 +76,7 @@ def open_hours(spark, sf):
     _upto("keyed"), """SELECT CAST(wait_time_id AS DOUBLE) AS wait_time_id, park_name, ride_name,
     ride_key FROM keyed"""))
 def unit_key(spark, sf):
-    rows = si.clean(fx.dirty_bronze(spark, sf), S)
+    rows = si.keyed(si.clean(fx.dirty_bronze(spark, sf), S))
     return _doubles(rows, "wait_time_id").select("wait_time_id", "park_name", "ride_name", "ride_key")
 
 

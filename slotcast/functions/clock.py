@@ -11,9 +11,6 @@ from datetime import datetime, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UTC = "UTC"
-
-
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -35,7 +32,7 @@ def utc_instant(value: Column) -> Column:
 
 def to_local(ts_utc: Column, zone: str) -> Column:
     """Naive UTC to naive local wall time. Must come before any hour filter or feature."""
-    return F.convert_timezone(F.lit(UTC), F.lit(zone), ts_utc)
+    return F.from_utc_timestamp(ts_utc.cast("timestamp"), zone).cast("timestamp_ntz")
 
 
 def to_utc(ts_local: Column, zone: str) -> Column:
@@ -46,12 +43,11 @@ def to_utc(ts_local: Column, zone: str) -> Column:
     """
 
     def convert(ts: Column) -> Column:
-        return F.convert_timezone(F.lit(zone), F.lit(UTC), ts)
+        return F.to_utc_timestamp(ts.cast("timestamp"), zone).cast("timestamp_ntz")
 
     direct = convert(ts_local)
     back = to_local(direct, zone)
-    first_valid = convert(F.date_trunc("hour", back).cast("timestamp_ntz"))
-    return F.when(back != ts_local, first_valid).otherwise(direct)
+    return F.when(back != ts_local, convert(F.date_trunc("hour", back))).otherwise(direct)
 
 
 def now_local(now_utc: datetime, zone: str) -> Column:

@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 WHITESPACE = (
     r"\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
-# What a key may not hold: all but letters, numbers, underscore, hyphen and whitespace.
+# The same characters one by one, for trimming.
+WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+# What a key is made of, and what it may not hold: all else but whitespace.
+KEY_CHARACTER = r"[\p{L}\p{N}_\-]"
 NOT_KEY = r"[^\p{L}\p{N}_\-" + WHITESPACE + "]"
 LABEL_LIMIT = 28
 # ---- end of fixed values ------------------------------------------------------------
@@ -19,8 +25,12 @@ LABEL_LIMIT = 28
 
 def strip(text: Column) -> Column:
     """Remove whitespace of any Unicode kind at both ends (``trim`` removes spaces only)."""
-    head = F.regexp_replace(text, f"^[{WHITESPACE}]+", "")
-    return F.regexp_replace(head, f"[{WHITESPACE}]+\\z", "")
+    return F.btrim(text, F.lit(WHITESPACE_CHARS))
+
+
+def has_key(name: Column) -> Column:
+    """Whether the name's key is not empty; stops at the first key character."""
+    return name.rlike(KEY_CHARACTER)
 
 
 def canonical_key(name: Column) -> Column:

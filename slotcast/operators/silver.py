@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from slotcast.config import Settings
 from slotcast.functions import clock, text
@@ -66,8 +68,11 @@ def known_sites(df: DataFrame, settings: Settings, sites: DataFrame | None = Non
 
 def localize(df: DataFrame, settings: Settings) -> DataFrame:
     """Add ``ts_local``; rows without a usable time are dropped."""
-    local = clock.to_local(clock.utc_instant(F.col("ts_utc")), settings.time_zone)
-    return df.withColumn("ts_local", local).where(F.col("ts_local").isNotNull())
+    ts = F.col("ts_utc")
+    if not isinstance(df.schema["ts_utc"].dataType, T.TimestampNTZType):
+        ts = clock.utc_instant(ts)
+    timed = df.where(ts.isNotNull())
+    return timed.withColumn("ts_local", clock.to_local(ts, settings.time_zone))
 
 
 def open_hours(df: DataFrame, settings: Settings, sites: DataFrame | None = None) -> DataFrame:
@@ -85,23 +90,28 @@ def open_hours(df: DataFrame, settings: Settings, sites: DataFrame | None = None
     return df.join(sites, "park_name").where(inside).select(*df.columns)
 
 
+def with_key(df: DataFrame) -> DataFrame:
+    return df.withColumn("ride_key", text.canonical_key(F.col("ride_name")))
+
+
 def keyed(df: DataFrame) -> DataFrame:
     """Add ``ride_key``; names without any key character are dropped."""
-    with_key = df.withColumn("ride_key", text.canonical_key(F.col("ride_name")))
-    return with_key.where(F.col("ride_key") != "")
+    return with_key(df.where(text.has_key(F.col("ride_name"))))
 
 
 def slot_means(df: DataFrame, settings: Settings) -> DataFrame:
-    """Mean per (site, key, spelled name, slot). Empty slots have no row.
+    """Mean per (site, spelled name, slot), with the name's key. Empty slots have no row.
 
     Sums and counts are combined before the shuffle, and the shuffle is on the whole group
-    key, so a unit with most of the observations is spread over its slots.
+    key, so a unit with most of the observations is spread over its slots. The key follows
+    from the name, so it is computed per slot instead of per observation.
     """
     slot = clock.slot_start(F.col("ts_local"), settings.grid_minutes).alias("ts_local")
     known = df.where(F.col("park_name").isNotNull() & F.col("ride_name").isNotNull())
-    return known.groupBy("park_name", "ride_key", "ride_name", slot).agg(
+    means = known.groupBy("park_name", "ride_name", slot).agg(
         F.avg("wait_time").alias("wait_time")
     )
+    return with_key(means).select("park_name", "ride_key", "ride_name", "ts_local", "wait_time")
 
 
 def collapse_spellings(grid: DataFrame) -> DataFrame:
@@ -114,18 +124,13 @@ def collapse_spellings(grid: DataFrame) -> DataFrame:
 def long_histories(grid: DataFrame, settings: Settings) -> DataFrame:
     """Keep units with at least ``min_obs`` slots.
 
-    The counts are an aggregate joined back, not a window: no unit's rows are gathered in
-    one task. The count reads the same columns as the rows do, so that the slots are
-    shuffled once and both sides reuse that exchange.
+    The grid has one row per unit and slot, so a unit's window holds no more rows than its
+    history has slots (17,520 in a year of half hours), however many observations it had.
+    A semi-join with the counts is no way round the window: the optimizer moves it below
+    the aggregations, where it shuffles all observations by unit and reads them twice.
     """
-    filled = F.col("ride_name").isNotNull() & F.col("wait_time").isNotNull()
-    long_enough = (
-        grid.groupBy(*UNIT_KEY)
-        .agg(F.count(F.when(filled, 1)).alias("_n"))
-        .where(F.col("_n") >= settings.min_obs)
-        .select(*UNIT_KEY)
-    )
-    return grid.join(long_enough, UNIT_KEY, "left_semi")
+    slots = F.count(F.lit(1)).over(W.partitionBy(*UNIT_KEY))
+    return grid.withColumn("_n", slots).where(F.col("_n") >= settings.min_obs).drop("_n")
 
 
 def with_utc(grid: DataFrame, settings: Settings) -> DataFrame:
@@ -134,13 +139,17 @@ def with_utc(grid: DataFrame, settings: Settings) -> DataFrame:
 
 
 def clean(bronze: DataFrame, settings: Settings, sites: DataFrame | None = None) -> DataFrame:
-    """All row-wise steps before the grid, on only the columns the grid needs."""
+    """All row-wise steps before the grid, on only the columns the grid needs.
+
+    The join with the opening hours also is the allow list of sites, so it is the only one.
+    """
     needed = ["wait_time_id", "_ingested_at", "wait_time", "ts_utc", "ride_name", "park_name"]
+    sites = site_table(bronze.sparkSession, settings) if sites is None else sites
+    allowed = sites.where(~F.col("park_name").isin(*settings.excluded_sites))
     work = bronze.select(*(c for c in needed if c in bronze.columns))
-    work = valid_waits(first_per_id(work), settings)
-    work = clean_names(work, settings)
-    work = known_sites(work, settings, sites)
-    return keyed(open_hours(localize(work, settings), settings, sites))
+    work = clean_names(valid_waits(first_per_id(work), settings), settings)
+    work = open_hours(localize(work, settings), settings, allowed)
+    return work.where(text.has_key(F.col("ride_name")))
 
 
 def slot_grid(bronze: DataFrame, settings: Settings, sites: DataFrame | None = None) -> DataFrame:
