@@ -98,7 +98,8 @@ class Settings:
     peak_check_hours: tuple[int, int] = (11, 20)
     max_input_age_hours: float = 36.0
 
-    batch_rows: int = 200_000
+    # Rows of one ingest transfer; None reads the whole backlog in one parallel job.
+    batch_rows: int | None = 200_000
     max_batches: int = 40
     chunk_rows: int = 5_000
     retain_runs: int = 4
