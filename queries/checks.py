@@ -267,7 +267,10 @@ def constraints(spark, sf):
     return ck.serving_constraints(kpis_rows.unionByName(kpis_rows), rows)
 
 
-@query("check_gate_messages")
+@query("check_gate_messages", with_ctes(PAIR, """SELECT 'CHK-07:prophet_fleet' AS check_id,
+    'model prophet_fleet is missing from the KPI table' AS message
+    UNION ALL SELECT 'CHK-09', count(DISTINCT model) || ' serving models, exactly one expected'
+    FROM kpi_pair WHERE is_serving AND model <> 'prophet_fleet'"""))
 def gate_messages(spark, sf):
     """The messages the gate would raise with for the spoiled KPI table."""
     rows = pair(spark, sf)[0].where(F.col("model") != MODEL_ADDITIVE)

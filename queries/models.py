@@ -158,7 +158,37 @@ def local_score(spark, sf):
     return rounded(rows, "yhat", "lo", "hi", digits=4)
 
 
-@query("model_save_load")
+CONTRACT = {
+    "prophet_fleet": "n >= 50", "xgb_global": "n >= 1", "xgb_local_fleet": "n >= 50",
+    "baseline_ride_mean": "n >= 1",
+}
+
+
+@query("model_contracts", with_ctes(fx.SPLIT + [
+    "sizes AS (SELECT entity, count(*) AS n FROM train GROUP BY entity)"], " UNION ALL ".join(
+    f"""SELECT '{m}' AS model, count(*) AS rows, count(*) FILTER ({rule}) AS answered,
+    CAST(0 AS BIGINT) AS disorder FROM test LEFT JOIN sizes USING (entity)"""
+    for m, rule in CONTRACT.items())))
+def contracts(spark, sf):
+    """Each family answers every row of the entities it fits, with bounds in order."""
+    train, test = fx.split(spark, sf)
+    out = None
+    for name in QUICK.model_order:
+        scored = registry.fit(name, train, QUICK, TRAINED_AT).score(test, QUICK)
+        row = scored.agg(
+            F.lit(name).alias("model"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count("yhat").alias("answered"),
+            F.count_if((F.col("lo") > F.col("yhat")) | (F.col("yhat") > F.col("hi"))).alias(
+                "disorder"
+            ),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("model_save_load", with_ctes(fx.SPLIT, """SELECT count(*) AS rows,
+    CAST(0 AS BIGINT) AS differences FROM test"""))
 def save_load(spark, sf):
     """Scores of a saved and loaded fleet beside those of the fleet in memory."""
     train, test = fx.split(spark, sf)
@@ -245,6 +275,30 @@ def weekly_predictions(spark, sf):
     return store.read("predictions")
 
 
+SEASONAL = [
+    fx.BRONZE,
+    f"""seasonal AS (SELECT * REPLACE (CAST(floor(wait_time / 10) + 70
+    - 5 * abs(hour({fx.loc('ts_utc')}) - 14) AS BIGINT) AS wait_time) FROM bronze)""",
+    *fx.silver_ctes("seasonal")[1:],
+    *fx.BASELINE[len(fx.SILVER):],
+]
+
+
+@query("run_weekly_baseline", with_ctes(SEASONAL, """SELECT park_name, ride_key, ride_name,
+    ts_local, ts_utc, round(yhat, 6) AS predicted_wait_min, wait_time AS actual_wait_min,
+    round(yhat - wait_time, 6) AS error_min, '20240131T000000Z' AS run_id,
+    'fresh_model' AS run_status FROM scored"""))
+def weekly_baseline(spark, sf):
+    """What a whole weekly run publishes of the one model that SQL can state."""
+    store = TableStore(spark, scratch_path(spark, "store"))
+    weekly.run_weekly(_run(spark, store, fx.NOW_UTC), fx.seasonal_bronze(spark, sf))
+    rows = store.read("predictions").where(F.col("model_name") == S.baseline)
+    return rounded(rows, "predicted_wait_min", "actual_wait_min", "error_min").select(
+        "park_name", "ride_key", "ride_name", "ts_local", "ts_utc", "predicted_wait_min",
+        "actual_wait_min", "error_min", "run_id", "run_status",
+    )
+
+
 @query("run_four_statuses")
 def four_statuses(spark, sf):
     """A fresh run, the same again (kept), one on stale input, and one that fails."""

@@ -12,7 +12,7 @@ SITES = (
 )
 SETTINGS = Settings(
     sites=SITES, excluded_sites=("Gone",), min_obs=1, min_train_rows=10, min_entities=1,
-    collection_start=datetime(2025, 12, 1), trees=TreeParams(trees=6, depth=3, rate=0.3),
+    collection_start=datetime(2025, 12, 1), trees=TreeParams(trees=4, depth=3, rate=0.4),
 )
 
 
