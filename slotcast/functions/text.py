@@ -18,6 +18,7 @@ WHITESPACE_CHARS = (
 )
 # What a key is made of, and what it may not hold: all else but whitespace.
 KEY_CHARACTER = r"[\p{L}\p{N}_\-]"
+ORDINARY = r"^[A-Za-z0-9 _\-]*\z"
 NOT_KEY = r"[^\p{L}\p{N}_\-" + WHITESPACE + "]"
 LABEL_LIMIT = 28
 # ---- end of fixed values ------------------------------------------------------------
@@ -34,9 +35,14 @@ def has_key(name: Column) -> Column:
 
 
 def canonical_key(name: Column) -> Column:
-    """The join key of a display name; null gives the empty key."""
-    kept = strip(F.regexp_replace(F.coalesce(name, F.lit("")), NOT_KEY, ""))
-    return F.regexp_replace(F.replace(kept, F.lit(" "), F.lit("_")), "_{2,}", "_")
+    """The join key of a display name; null gives the empty key.
+
+    Ordinary names need neither of the two replacements, so both are guarded.
+    """
+    text = F.coalesce(name, F.lit(""))
+    kept = F.when(text.rlike(ORDINARY), text).otherwise(F.regexp_replace(text, NOT_KEY, ""))
+    joined = F.replace(strip(kept), F.lit(" "), F.lit("_"))
+    return F.when(joined.contains("__"), F.regexp_replace(joined, "_{2,}", "_")).otherwise(joined)
 
 
 def entity(park_name: Column, ride_key: Column) -> Column:

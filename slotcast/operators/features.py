@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ CALENDAR_FEATURES = [
 ]
 # ---- end of fixed values ------------------------------------------------------------
 
+ORIGIN = datetime(2020, 1, 1)
+
 
 def with_entity(df: DataFrame) -> DataFrame:
     return df.withColumn("entity", text.entity(F.col("park_name"), F.col("ride_key")))
@@ -62,16 +65,15 @@ def time_cutoff(df: DataFrame, settings: Settings) -> DataFrame:
 
     Exact, linearly interpolated quantile. Rows are first counted per distinct time, so
     the quantile sees one entry per slot of the calendar, not one per row. Microseconds
-    are counted from the earliest time, which keeps the interpolation exact in a double.
+    are counted from a near origin, which keeps the interpolation exact in a double.
     """
     share = 1.0 - settings.test_fraction
+    origin = clock.micros(clock.naive(ORIGIN))
     counts = df.groupBy("ts_local").agg(F.count(F.lit(1)).alias("_n"))
-    origin = df.agg(F.min(clock.micros(F.col("ts_local")))).scalar()
-    offset = F.expr(f"percentile(_offset, {share!r}D, _n)")
-    return (
-        counts.select((clock.micros(F.col("ts_local")) - origin).alias("_offset"), "_n")
-        .agg(F.round(offset).alias("_cut"))
-        .select(clock.from_micros(F.col("_cut").cast("bigint") + origin).alias("cutoff"))
+    offsets = counts.select((clock.micros(F.col("ts_local")) - origin).alias("_offset"), "_n")
+    cut = F.round(F.expr(f"percentile(_offset, {share!r}D, _n)")).cast("bigint")
+    return offsets.agg(cut.alias("_cut")).select(
+        clock.from_micros(F.col("_cut") + origin).alias("cutoff")
     )
 
 
