@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from queries import fixtures as fx
 from queries.registry import query, table, with_ctes
 from slotcast.operators import ingest as ing
-from slotcast.schemas import LANDING_COLUMNS
+from slotcast.plans.ingest_run import run_ingest
+from slotcast.schemas import BRONZE, LANDING_COLUMNS
 from slotcast.sources import upstream as up
 from slotcast.sources.landing import land_batch, read_batch
 from slotcast.session import scratch_path
@@ -197,3 +198,22 @@ def replay(spark, sf):
     return ing.merge(batch, once).select(*LANDING_COLUMNS)
 
 
+
+
+@query("ingest_capped_batch_small", with_ctes(
+    CTES, "SELECT * FROM batch ORDER BY wait_time_id LIMIT 1000"))
+def capped_batch_small(spark, sf):
+    """A transfer of 1,000 rows from the backlog; the cap is what is shown."""
+    fact, units, sites = _tables(spark, sf)
+    return up.read_since(fact, units, sites, _mark(fact, 0.5), 1000)
+
+
+@query("ingest_drain", with_ctes([UP], "SELECT * FROM up WHERE wait_time_id > 0"))
+def drain(spark, sf):
+    """Bronze after an ingest run that drains the whole upstream.
+
+    The mark of an empty bronze is 0 and the predicate is strict, so ids start at 1.
+    """
+    bronze, landing = scratch_path(spark, "bronze"), scratch_path(spark, "landing")
+    run_ingest(spark, _tables(spark, sf), bronze, landing, fx.SETTINGS, fx.NOW_UTC, drain=True)
+    return spark.read.schema(BRONZE).parquet(bronze).select(*LANDING_COLUMNS)

@@ -1,15 +1,18 @@
 """Model families: sums they are fitted on, scores, registry, and the weekly run."""
 
 from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
 from queries import fixtures as fx
+from queries import gold
 from queries.features import HOLIDAYS
 from queries.registry import query, rounded, table, with_ctes
 from slotcast.config import MODEL_ADDITIVE, MODEL_LOCAL, TreeParams
 from slotcast.operators import features as fe
 from slotcast.operators import kpis as kp
+from slotcast.operators.checks import QualityCheckError
 from slotcast.operators.models import additive, baseline, cells, global_trees, local_trees, registry
 from slotcast.plans import weekly
 from slotcast.session import scratch_path
@@ -302,8 +305,6 @@ def weekly_baseline(spark, sf):
 @query("run_four_statuses")
 def four_statuses(spark, sf):
     """A fresh run, the same again (kept), one on stale input, and one that fails."""
-    from datetime import timedelta
-
     store = TableStore(spark, scratch_path(spark, "store"))
     bronze, now = fx.seasonal_bronze(spark, sf), fx.NOW_UTC
     out = []
@@ -314,7 +315,7 @@ def four_statuses(spark, sf):
     )
     try:
         weekly.run_or_fall_back(failing, bronze)
-    except Exception:
+    except QualityCheckError:
         rows = store.read("predictions")
         status = rows.select("run_status").distinct().first()["run_status"]
         out.append({"run_id": failing.run_id, "run_status": status})
@@ -325,6 +326,41 @@ def four_statuses(spark, sf):
     return result
 
 
+STALE_SLOTS = gold.SLOTS.replace(fx.ts(fx.NOW_LOCAL), fx.ts(fx.STALE_LOCAL))
+LATER_SLOTS = gold.SLOTS.replace(
+    fx.ts(fx.NOW_LOCAL), fx.ts(fx.STALE_LOCAL + timedelta(days=1))
+).replace("all_slots", "later_slots")
+
+
+@query("run_degraded_forecasts", with_ctes(
+    SEASONAL + [gold.ENTITIES, STALE_SLOTS, LATER_SLOTS, gold.GRID,
+                gold.GRID.replace("fgrid", "later").replace("all_slots", "later_slots")],
+    """SELECT 'stale_input' AS run_status, '20240131T000000Z' AS run_id, park_name, ride_key,
+    ride_name, ts_local FROM fgrid UNION ALL
+    SELECT 'fallback_after_failure', '20240131T000000Z', park_name, ride_key, ride_name, ts_local
+    FROM later"""))
+def degraded_forecasts(spark, sf):
+    """Forecast rows after a run on stale input, and after one that failed a day later."""
+    store = TableStore(spark, scratch_path(spark, "store"))
+    bronze, stale_utc = fx.seasonal_bronze(spark, sf), fx.STALE_LOCAL + timedelta(hours=8)
+    weekly.run_weekly(_run(spark, store, fx.NOW_UTC), bronze)
+    columns = ["run_status", "run_id", "park_name", "ride_key", "ride_name", "ts_local"]
+
+    def forecast():
+        return store.read("predictions").where(F.col("row_kind") == "forecast").select(*columns)
+
+    weekly.run_weekly(_run(spark, store, stale_utc), bronze)
+    stale = forecast()
+    failing = replace(WEEKLY, min_entities=10**9)
+    try:
+        weekly.run_or_fall_back(
+            weekly.Run(store, failing, stale_utc + timedelta(days=1)), bronze
+        )
+    except QualityCheckError:
+        pass
+    return stale.unionByName(forecast())
+
+
 @query("run_candidates_kpis")
 def candidates_kpis(spark, sf):
     """KPIs of the four real families on the same test rows."""

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from slotcast.schemas import LANDING, LANDING_COLUMNS
 
+MAX_ID = 2**63 - 1
+
 
 def read_jdbc(
     spark: SparkSession,
@@ -79,8 +82,28 @@ def read_since(
 ) -> DataFrame:
     """Observations above the high-water mark; the oldest ``batch_rows`` of them if given.
 
-    The mark reaches the scan of the fact table as a pushed filter. The cap is the size of
-    one transfer (top-k over ids); leave it out to take everything in one parallel read.
+    The mark reaches the scan of the fact table as a pushed filter. Leave the cap out to
+    take everything in one parallel read.
     """
     rows = observations(fact.where(F.col("wait_time_id") > mark), units, sites)
-    return rows if batch_rows is None else rows.orderBy("wait_time_id").limit(batch_rows)
+    if batch_rows is None:
+        return rows
+    near = rows.where(F.col("wait_time_id") <= batch_bound(rows, batch_rows))
+    return near.orderBy("wait_time_id").limit(batch_rows)
+
+
+def batch_bound(rows: DataFrame, batch_rows: int) -> Column:
+    """An id below which the oldest ``batch_rows`` rows lie, and not many more.
+
+    A top-k over the whole backlog would send k rows of every partition to one task. Here
+    the rows are counted in id ranges of k, which combines inside each task, and only the
+    first ranges are summed up, at most k of them, as none is empty. The batch is then cut
+    from rows below the bound, which is pushed into the fact scan.
+    """
+    part = F.floor(F.col("wait_time_id") / F.lit(batch_rows)).cast("bigint").alias("part")
+    counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    first = counts.orderBy("part").limit(batch_rows)
+    upto = F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, W.currentRow))
+    full = first.select("part", upto.alias("upto")).where(F.col("upto") >= batch_rows)
+    bound = (F.min("part") + 1) * F.lit(batch_rows) - 1
+    return full.agg(F.coalesce(bound, F.lit(MAX_ID)).alias("bound")).scalar()

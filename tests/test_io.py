@@ -44,6 +44,27 @@ def test_orphans_drop_and_the_mark_is_strict(spark):
     assert [r["wait_time_id"] for r in capped.collect()] == [4, 6]
 
 
+def test_a_capped_batch_is_the_oldest_rows(spark):
+    """Ids with gaps, in one case all far apart, against sorting by hand."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    _, units, sites = upstream(spark, 1)
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.sets(st.integers(1, 400), min_size=1, max_size=60), st.integers(1, 70),
+           st.sampled_from([1, 1000]))
+    def check(ids, n, spread):
+        fact = spark.createDataFrame([(i * spread, 1, at(NOON), 0) for i in ids],
+                                     "wait_time_id long, wait_time long, "
+                                     "wait_time_upd_dt timestamp_ntz, at_id long")
+        got = up.read_since(fact, units, sites, 20 * spread, n).collect()
+        expected = sorted(i * spread for i in ids if i > 20)[:n]
+        assert [r["wait_time_id"] for r in got] == expected
+
+    check()
+
+
 def test_unreadable_wait_is_null_and_unreadable_time_raises(spark):
     row = (1, "closed", "2026-01-01 00:00:00", 1, "a", 1, "North")
     schema = ("wait_time_id long, wait_time string, ts_utc string, at_id long, ride_name string, "
