@@ -6,12 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotcast.llm import quality, sharding
 from slotcast.llm.bpe_codec import encode_decode
 from slotcast.llm.common import read
+from slotcast.llm.oracles import OP8_SQL
 from slotcast.llm.token_counts import token_counts
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+SHARDS = 40
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,5 +34,31 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
-QUERIES = {"op2_bpe": op2_bpe, "op5_token_counts": op5_token_counts}
-ORACLES: dict[str, str] = {}
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(read(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(read(spark, sf_dir, "documents"), SHARDS)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+QUERIES = {
+    "op2_bpe": op2_bpe,
+    "op5_token_counts": op5_token_counts,
+    "op8_quality": op8_quality,
+    "op9_sharding": op9_sharding,
+}
+ORACLES = {"op8_quality": OP8_SQL}
