@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,10 +15,13 @@ from slotcast.llm import quality, sharding
 from slotcast.llm.bpe_codec import encode_decode
 from slotcast.llm.common import read
 from slotcast.llm.oracles import OP8_SQL
+from slotcast.llm.rans import read_tokens, write_tokens
 from slotcast.llm.token_counts import token_counts
+from slotcast.session import scratch_path
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+END_ID = 1
 SHARDS = 40
 
 
@@ -34,6 +42,30 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    write_tokens(read(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE), END_ID)
+    rows = read_tokens(spark, path)
+
+    def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            ids, ends = part.column("ids"), part.column("ids").offsets.to_numpy()
+            raw = memoryview(ids.values.to_numpy().astype("<u4", copy=False)).cast("B")
+            crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(ends, ends[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    part.column("start"),
+                    pa.array(np.diff(ends), pa.int64()),
+                    pa.array(crc, pa.int64()),
+                ],
+                names=["doc_id", "start", "n_tokens", "ids_crc32"],
+            )
+
+    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+    return rows.mapInArrow(checksums, schema)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(read(spark, sf_dir, "documents"))
     return judged.select(
@@ -58,6 +90,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op5_token_counts": op5_token_counts,
+    "op7_token_files": op7_token_files,
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
 }
