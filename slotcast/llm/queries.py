@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from slotcast.llm import quality, sharding
 from slotcast.llm.bpe_codec import encode_decode
 from slotcast.llm.common import read
+from slotcast.llm.minhash import Scheme, near_duplicates
 from slotcast.llm.oracles import OP8_SQL
 from slotcast.llm.rans import read_tokens, write_tokens
 from slotcast.llm.token_counts import token_counts
@@ -36,6 +37,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), Scheme(words=2))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     counts = token_counts(docs, public_tokenizers.path(WORD_BPE), TOKEN_LIMIT)
@@ -89,6 +94,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_token_counts": op5_token_counts,
     "op7_token_files": op7_token_files,
     "op8_quality": op8_quality,
