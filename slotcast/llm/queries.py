@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from slotcast.llm import quality, sharding
 from slotcast.llm.bpe_codec import encode_decode
 from slotcast.llm.common import read
+from slotcast.llm.decontam import leaks
 from slotcast.llm.minhash import Scheme, near_duplicates
 from slotcast.llm.oracles import OP8_SQL
 from slotcast.llm.rans import read_tokens, write_tokens
@@ -26,6 +27,10 @@ END_ID = 1
 SHARDS = 40
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     coded = encode_decode(docs, public_tokenizers.path(BYTE_BPE))
@@ -93,6 +98,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_bpe": op2_bpe,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_token_counts": op5_token_counts,

@@ -92,9 +92,10 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[ends[0] : ends[-1]], ends - ends[0]
 
 
-def find_words(texts: pa.Array) -> Words:
+def find_words(texts: pa.Array, is_word: np.ndarray = _IS_WORD) -> Words:
+    """Words of each text; ``is_word`` says which bytes belong to one."""
     data, offsets = buffers(texts)
-    inside = _IS_WORD[data]
+    inside = is_word[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     starts = inside.copy()
