@@ -17,6 +17,7 @@ from slotcast.llm.common import read
 from slotcast.llm.decontam import leaks
 from slotcast.llm.minhash import Scheme, near_duplicates
 from slotcast.llm.oracles import OP8_SQL
+from slotcast.llm.pii import replace_pii
 from slotcast.llm.rans import read_tokens, write_tokens
 from slotcast.llm.token_counts import token_counts
 from slotcast.session import scratch_path
@@ -24,6 +25,7 @@ from slotcast.session import scratch_path
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
 END_ID = 1
+PII_KEY = "corpus-1"
 SHARDS = 40
 
 
@@ -42,6 +44,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_pii(read(spark, sf_dir, "documents"), PII_KEY)
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), Scheme(words=2))
 
@@ -100,6 +106,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_bpe": op2_bpe,
+    "op3_pii": op3_pii,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_token_counts": op5_token_counts,
     "op7_token_files": op7_token_files,
