@@ -19,6 +19,7 @@ from slotcast.llm.minhash import Scheme, near_duplicates
 from slotcast.llm.oracles import OP8_SQL
 from slotcast.llm.pii import replace_pii
 from slotcast.llm.rans import read_tokens, write_tokens
+from slotcast.llm.suffix_dedup import remove_repeats
 from slotcast.llm.token_counts import token_counts
 from slotcast.session import scratch_path
 
@@ -58,6 +59,20 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(read(spark, sf_dir, "documents"))
+    removed = F.aggregate(
+        "removed", F.lit(0).cast("bigint"), lambda total, span: total + span["b"] - span["a"]
+    )
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     write_tokens(read(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE), END_ID)
@@ -109,6 +124,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_token_counts": op5_token_counts,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_token_files": op7_token_files,
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
