@@ -15,6 +15,7 @@ from slotcast.llm import quality, sharding
 from slotcast.llm.bpe_codec import encode_decode
 from slotcast.llm.common import read
 from slotcast.llm.decontam import leaks
+from slotcast.llm.html_crf import extract
 from slotcast.llm.minhash import Scheme, near_duplicates
 from slotcast.llm.oracles import OP8_SQL
 from slotcast.llm.pii import replace_pii
@@ -118,6 +119,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract(read(spark, sf_dir, "pages"))
+    return pages.select(
+        "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars")
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_bpe": op2_bpe,
@@ -128,5 +136,6 @@ QUERIES = {
     "op7_token_files": op7_token_files,
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
+    "op10_html": op10_html,
 }
 ORACLES = {"op8_quality": OP8_SQL}
