@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 8 << 20
@@ -24,6 +24,11 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def row_hash(doc_id: Column | str, text: Column | str) -> Column:
+    """A key of a document that also tells apart rows without an id or with another's."""
+    return F.xxhash64(doc_id, text)
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -37,8 +37,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotcast.llm.common import id_and_text, slices
+from slotcast.llm.common import id_and_text, row_hash, slices
 from slotcast.llm.words import Words, find_words
+from slotcast.session import materialize
 
 SLICE = 2 << 20
 K1, B = 1.2, 0.75
@@ -336,3 +337,19 @@ def leaks(
     # Windows overlap and rows may repeat; the best window stands for the pair.
     best = F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("best")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
+
+
+def keep_unleaked(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    rule: Rule = Rule(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` without a confirmed leak, with all their columns."""
+    own = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.withColumn("_row", row_hash(F.col(id_col).cast("bigint"), own))
+    keyed = rows.select("_row", F.col(text_col).alias("_text"))
+    found = leaks(keyed, benchmark, rule, id_col="_row", text_col="_text")
+    spoiled = materialize(found.select(F.col("doc_id").alias("_row")).distinct(), "leaks")
+    return rows.join(spoiled, "_row", "left_anti").drop("_row")

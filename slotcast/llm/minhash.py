@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotcast.llm.common import id_and_text, slices
+from slotcast.llm.common import id_and_text, row_hash, slices
 from slotcast.llm.words import find_words, mix
 from slotcast.session import materialize
 
@@ -102,7 +102,7 @@ def sketch(sets: list[np.ndarray], bins: int) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """doc_id, n (set size), d1, d2 (digest of the set), keys (one per band)."""
+    """doc_id, row, n (set size), d1, d2 (digest of the set), keys (one per band)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE):
@@ -119,6 +119,7 @@ def _sketches(docs: DataFrame, scheme: Scheme) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
+                    part.column("row"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(digest[:, 0]),
                     pa.array(digest[:, 1]),
@@ -126,10 +127,11 @@ def _sketches(docs: DataFrame, scheme: Scheme) -> DataFrame:
                         pa.array(ends), pa.array(keys.reshape(-1).view(np.int64))
                     ),
                 ],
-                names=["doc_id", "n", "d1", "d2", "keys"],
+                names=["doc_id", "row", "n", "d1", "d2", "keys"],
             )
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, d1 bigint, d2 bigint, keys array<bigint>")
+    schema = "doc_id bigint, row bigint, n bigint, d1 bigint, d2 bigint, keys array<bigint>"
+    return docs.mapInArrow(run, schema)
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
@@ -207,8 +209,8 @@ class Components:
 def near_duplicates(
     docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept."""
-    own = id_and_text(docs, id_col, text_col)
+    """doc_id, n_shingles, component_id, kept, row (``row_hash`` of the row)."""
+    own = id_and_text(docs, id_col, text_col).withColumn("row", row_hash("doc_id", "text"))
     rows = materialize(_sketches(own, scheme), "sketches")
     classes = materialize(
         rows.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("node")), "classes"
@@ -254,12 +256,26 @@ def near_duplicates(
         "d1", "d2", F.coalesce("label", "node").alias("label")
     )
     return (
-        rows.select("doc_id", "n", "d1", "d2")
+        rows.select("doc_id", "row", "n", "d1", "d2")
         .join(named, ["d1", "d2"], "left")
         .select(
             "doc_id",
             F.col("n").alias("n_shingles"),
             F.coalesce("label", "doc_id").alias("component_id"),
+            F.col("doc_id").eqNullSafe(F.coalesce("label", "doc_id")).alias("kept"),
+            "row",
         )
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+
+
+def keep_first(
+    docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each component, with all its columns."""
+    found = near_duplicates(docs, scheme, id_col, text_col)
+    kept = materialize(found.where("kept").select(F.col("row").alias("_row")).distinct(), "kept")
+    own = F.col(text_col).cast("string")
+    rows = docs.withColumn(
+        "_row", row_hash(F.col(id_col).cast("bigint"), F.coalesce(own, F.lit("")))
+    )
+    return rows.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")

@@ -11,9 +11,9 @@ Texts are cut into gaps and mentions. Distinct mentions, not texts, are shuffled
 surrogates; a mention that occurs everywhere is one row per task after the partial ``distinct``,
 and its join back may be split as a skewed one. Texts without entities are never shuffled.
 
-Defined cases: a null text stays null, an empty one empty. A null id is kept; rows are numbered
-inside the job, so repeated rows are each rewritten. An empty table gives an empty result. Columns
-other than the two named ones are not read.
+Defined cases: a null text stays null, an empty one empty. All columns are kept as they are,
+whatever their names, but n_entities is overwritten; rows are numbered inside the job, so repeated
+rows are each rewritten. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -262,20 +262,18 @@ def replacements(mentions: DataFrame, key: str) -> DataFrame:
     return named.select("mention", replaced.alias("replacement"))
 
 
-def replace_pii(
-    docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """The id and text columns with surrogates in place of entities, and n_entities."""
-    own = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-    )
+def replace_pii(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with surrogates in their texts, and n_entities (replaced mentions)."""
+    others = [c for c in docs.columns if c not in (text_col, "n_entities")]
+    doc = F.struct(F.lit(None).cast("int").alias("_"), *[F.col(f"`{c}`") for c in others])
+    own = docs.select(doc.alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
     text = F.col("text")
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     has = F.coalesce(text.rlike(HINT) & text.rlike(ANY), F.lit(False))
     hits = materialize(
         own.where(has).select(
             F.monotonically_increasing_id().alias("row"),
-            "doc_id",
+            "doc",
             found.alias("mentions"),
             F.split(text, ANY, -1).alias("gaps"),
         ),
@@ -302,7 +300,9 @@ def replace_pii(
         F.element_at("gaps", -1),
     )
     rewritten = hits.join(per_text, "row").select(
-        "doc_id", joined.alias("text"), F.size("replacements").cast("bigint").alias("n_entities")
+        "doc", joined.alias("text"), F.size("replacements").cast("bigint").alias("n_entities")
     )
-    untouched = own.where(~has).select("doc_id", "text", F.lit(0).cast("bigint").alias("n_entities"))
-    return untouched.unionByName(rewritten)
+    untouched = own.where(~has).select("doc", "text", F.lit(0).cast("bigint").alias("n_entities"))
+    out = [F.col("text").alias(text_col) if c == text_col else F.col(f"doc.`{c}`")
+           for c in docs.columns if c != "n_entities"]
+    return untouched.unionByName(rewritten).select(*out, "n_entities")

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slotcast.llm.common import slices
 from slotcast.llm.words import Words, find_words
@@ -87,9 +88,13 @@ def _lines(words: Words) -> tuple[list[int], list[int]]:
 
 
 def measure(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source"
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+    carry: bool = False,
 ) -> DataFrame:
-    """doc_id, host and the counts of each document."""
+    """doc_id, host and the counts of each document; with ``carry`` also its row, as ``doc``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE):
@@ -112,18 +117,20 @@ def measure(
                 [
                     part.column("doc_id"),
                     part.column("host"),
+                    *([part.column("doc")] if carry else []),
                     *(pa.array(np.asarray(c, np.int64)) for c in counts),
                 ],
-                names=["doc_id", "host", *COUNTS],
+                names=["doc_id", "host", *(["doc"] if carry else []), *COUNTS],
             )
 
     own = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.col(host_col).cast("string").alias("host"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if carry else []),
     )
-    fields = ", ".join(f"{c} bigint" for c in COUNTS)
-    return own.mapInArrow(run, f"doc_id bigint, host string, {fields}")
+    counts = [T.StructField(name, T.LongType()) for name in COUNTS]
+    return own.mapInArrow(run, T.StructType([*own.drop("text").schema.fields, *counts]))
 
 
 def rules(limits: Limits) -> dict[str, Column]:
@@ -167,25 +174,51 @@ def host_rates(measured: DataFrame, limits: Limits) -> DataFrame:
     return hosts.select("host", "n_docs", *[f"f_{r}" for r in names], *shrunk)
 
 
-def judge(
-    docs: DataFrame,
-    limits: Limits = Limits(),
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    host_col: str = "source",
-) -> DataFrame:
-    """doc_id, host, the counts, base_failed, strict_rules (of the host), kept."""
-    measured = materialize(measure(docs, id_col, text_col, host_col), "measured")
-    fails = rules(limits)
+def _strict(measured: DataFrame, limits: Limits) -> DataFrame:
+    """host, strict_rules of the hosts that have any."""
     strict = F.array_compact(
-        F.array(*[F.when(F.col(f"rate_{r}") >= limits.host_rate, F.lit(r)) for r in fails])
+        F.array(*[F.when(F.col(f"rate_{r}") >= limits.host_rate, F.lit(r)) for r in rules(limits)])
     )
     hosts = host_rates(measured, limits).select("host", strict.alias("strict_rules"))
+    return hosts.where(F.size("strict_rules") > 0)
+
+
+def _judged(measured: DataFrame, strict: DataFrame, limits: Limits) -> DataFrame:
+    fails = rules(limits)
     own = F.array_compact(F.array(*[F.when(failed, F.lit(r)) for r, failed in fails.items()]))
     return (
-        measured.join(hosts.where(F.size("strict_rules") > 0), "host", "left")
+        measured.join(strict, "host", "left")
         .withColumn("strict_rules", F.coalesce("strict_rules", F.array().cast("array<string>")))
         .withColumn("base_failed", fails["short"] | fails["repeats"])
         .withColumn("kept", ~F.col("base_failed") & ~F.arrays_overlap(own, "strict_rules"))
-        .select("doc_id", "host", *COUNTS, "base_failed", "strict_rules", "kept")
     )
+
+
+def judge(
+    docs: DataFrame,
+    limits: Limits = Limits(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+) -> DataFrame:
+    """doc_id, host, the counts, base_failed, strict_rules (of the host), kept."""
+    measured = materialize(measure(docs, id_col, text_col, host_col), "measured")
+    judged = _judged(measured, _strict(measured, limits), limits)
+    return judged.select("doc_id", "host", *COUNTS, "base_failed", "strict_rules", "kept")
+
+
+def keep_good(
+    docs: DataFrame,
+    limits: Limits = Limits(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns.
+
+    Texts are measured again beside their rows, which is cheaper than to shuffle them to the
+    verdicts.
+    """
+    strict = materialize(_strict(measure(docs, id_col, text_col, host_col), limits), "strict")
+    again = measure(docs, id_col, text_col, host_col, carry=True)
+    return _judged(again, strict, limits).where("kept").select("doc.*")

@@ -47,11 +47,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_pii(read(spark, sf_dir, "documents"), PII_KEY)
+    replaced = replace_pii(read(spark, sf_dir, "documents"), PII_KEY)
+    return replaced.select("doc_id", "text", "n_entities")
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"), Scheme(words=2))
+    return near_duplicates(read(spark, sf_dir, "documents"), Scheme(words=2)).drop("row")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

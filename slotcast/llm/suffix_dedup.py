@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotcast.llm.common import id_and_text, slices
+from slotcast.llm.common import id_and_text, row_hash, slices
 from slotcast.llm.suffixes import common_prefixes, suffix_array, words_at
 from slotcast.llm.words import _VALUES, _grow, buffers, mix
 from slotcast.session import materialize
@@ -319,7 +319,7 @@ def remove_repeats(
     own = own.select(
         "doc_id",
         F.coalesce("doc_id", F.lit(LAST)).alias("id"),
-        F.xxhash64("doc_id", "text").alias("row"),
+        row_hash("doc_id", "text").alias("row"),
         "text",
     )
     runs = _runs(own, length, 1 + size // ANCHORS)
