@@ -149,14 +149,16 @@ def scored(spark, sf):
 
 
 @query("gold_bound_repair", """SELECT event_id, greatest(0.0, p) AS predicted_wait_min,
-    least(greatest(0.0, lo), greatest(0.0, p)) AS lower_bound,
-    greatest(hi, greatest(0.0, p)) AS upper_bound
-    FROM (SELECT event_id, value - 30 AS p, 60 - value AS lo, value * 0.5 AS hi FROM events)""")
+    CASE WHEN lo IS NOT NULL THEN least(greatest(0.0, lo), greatest(0.0, p)) END AS lower_bound,
+    CASE WHEN hi IS NOT NULL THEN greatest(hi, greatest(0.0, p)) END AS upper_bound
+    FROM (SELECT event_id, value - 30 AS p, CASE WHEN event_id % 7 > 0 THEN 60 - value END AS lo,
+        CASE WHEN event_id % 5 > 0 THEN value * 0.5 END AS hi FROM events)""")
 def bound_repair(spark, sf):
     from queries.registry import table
 
     v = F.col("value")
-    bounds = go.repaired_bounds(v - 30, 60 - v, v * 0.5)
+    lo, hi = (F.when(F.col("event_id") % k > 0, x) for k, x in ((7, 60 - v), (5, v * 0.5)))
+    bounds = go.repaired_bounds(v - 30, lo, hi)
     rows = table(spark, sf, "events")
     return rows.select("event_id", *(c.alias(name) for name, c in bounds.items()))
 

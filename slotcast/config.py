@@ -65,7 +65,6 @@ class TreeParams:
     ridge: float = 1.0
     # Widest categorical feature the global trees split by category; wider ones are
     # split by the rank of their training mean (see operators/models/global_trees.py).
-    max_categories: int = 4096
 
 
 @dataclass(frozen=True)
@@ -100,7 +99,6 @@ class Settings:
 
     # Rows of one ingest transfer; None reads the whole backlog in one parallel job.
     batch_rows: int | None = 200_000
-    max_batches: int = 40
     chunk_rows: int = 5_000
     retain_runs: int = 4
 

@@ -16,10 +16,12 @@ WHITESPACE_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-# What a key is made of, and what it may not hold: all else but whitespace.
-KEY_CHARACTER = r"[\p{L}\p{N}_\-]"
+# What a key is made of, and what it may not hold: all else but whitespace. A character that
+# the JVM's Unicode version does not know (\p{Cn}) counts as part of a key, so that a name in a
+# newer script keeps its key.
+KEY_CHARACTER = r"[\p{L}\p{N}\p{Cn}_\-]"
 ORDINARY = r"^[A-Za-z0-9 _\-]*\z"
-NOT_KEY = r"[^\p{L}\p{N}_\-" + WHITESPACE + "]"
+NOT_KEY = r"[^\p{L}\p{N}\p{Cn}_\-" + WHITESPACE + "]"
 LABEL_LIMIT = 28
 # ---- end of fixed values ------------------------------------------------------------
 

@@ -79,12 +79,16 @@ def forecast_grid(
 
 
 def repaired_bounds(yhat: Column, lo: Column, hi: Column) -> dict[str, Column]:
-    """Non-negative prediction with ``lower <= predicted <= upper``."""
+    """Non-negative prediction with ``lower <= predicted <= upper``.
+
+    A missing bound stays missing, for the checks to refuse; ``least`` and ``greatest`` would
+    replace it.
+    """
     predicted = clip_low(yhat)
     return {
         "predicted_wait_min": predicted,
-        "lower_bound": F.least(clip_low(lo), predicted),
-        "upper_bound": F.greatest(hi, predicted),
+        "lower_bound": F.when(lo.isNotNull(), F.least(clip_low(lo), predicted)),
+        "upper_bound": F.when(hi.isNotNull(), F.greatest(hi, predicted)),
     }
 
 

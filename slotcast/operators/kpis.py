@@ -77,10 +77,15 @@ def best_candidate(kpis: DataFrame, settings: Settings) -> DataFrame:
 
 
 def incumbent(kpi_table: DataFrame) -> DataFrame:
-    """The serving model's MAE as published; no row on the first run."""
-    return kpi_table.where(F.col("is_serving") & (F.col("kpi_name") == "mae")).select(
-        F.col("model").alias("model_name"), F.col("kpi_value").alias("mae"), "run_id"
-    ).limit(1)
+    """The serving model's MAE as published; no row on the first run.
+
+    Should two models be marked as serving, the newest run counts, then the first name.
+    """
+    serving = kpi_table.where(F.col("is_serving") & (F.col("kpi_name") == "mae"))
+    row = F.struct(F.col("model").alias("model_name"), F.col("kpi_value").alias("mae"), "run_id")
+    newest = serving.agg(F.max("run_id")).scalar()
+    of_run = serving.where(F.col("run_id").eqNullSafe(newest))
+    return of_run.agg(F.min_by(row, "model").alias("row")).where("row IS NOT NULL").select("row.*")
 
 
 def decide_promotion(best: DataFrame, previous: DataFrame, settings: Settings) -> DataFrame:

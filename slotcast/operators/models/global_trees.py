@@ -7,7 +7,7 @@ same fit as on the rows, and every pass of the booster reads cells instead of ro
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,32 +44,17 @@ def calendar_cells(train: DataFrame) -> DataFrame:
     )
 
 
-def _width(train_cells: DataFrame, column: str) -> int:
-    return train_cells.agg(F.count_distinct(column)).first()[0]
-
-
 def fit(train: DataFrame, settings: Settings) -> PipelineModel:
-    """Fit the pipeline. The driver receives the category labels of the narrow columns only.
+    """Fit the pipeline. Site and unit enter as the mean of their training rows.
 
-    A column with more than ``max_categories`` values is ranked by its training mean and
-    split as a number: for squared loss, the best split of categories is a cut in the order
-    of their means. The means are part of the training features, see ``with_means``.
+    For squared loss the best split of categories is a cut in the order of their means, so a
+    number of categories of any size is split as one number, and no label reaches the driver.
     """
     shared_root(train.sparkSession)
     data = materialize(calendar_cells(train), "global-cells")
     params = settings.trees
-    widths = {c: _width(data, c) for c in CATEGORIES}
-    narrow = [c for c in CATEGORIES if widths[c] <= params.max_categories]
-    wide = [c for c in CATEGORIES if c not in narrow]
-    if wide:
-        data = with_means(data, unit_means(train, wide), wide)
-    indexer = StringIndexer(
-        inputCols=narrow,
-        outputCols=[f"{c}_idx" for c in narrow],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    )
-    inputs = [f"{c}_idx" for c in narrow] + [f"{c}_mean" for c in wide] + CALENDAR_FEATURES
+    data = with_means(data, unit_means(train))
+    inputs = [f"{c}_mean" for c in CATEGORIES] + CALENDAR_FEATURES
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
     booster = GBTRegressor(
         featuresCol="features",
@@ -81,43 +66,38 @@ def fit(train: DataFrame, settings: Settings) -> PipelineModel:
         subsamplingRate=params.row_sample,
         featureSubsetStrategy=str(params.column_sample),
         seed=params.seed,
-        maxBins=max([64, *(widths[c] + 1 for c in narrow)]),
+        maxBins=64,
         checkpointInterval=10,
     )
-    stages = ([indexer] if narrow else []) + [assembler, booster]
-    return Pipeline(stages=stages).fit(data)
+    return Pipeline(stages=[assembler, booster]).fit(data)
 
 
-def unit_means(train: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
+def unit_means(train: DataFrame) -> dict[str, DataFrame]:
+    """Mean of each category's training rows, by column."""
     return {
-        c: train.groupBy(c).agg(F.avg("wait_time").alias(f"{c}_mean")) for c in columns
+        c: train.groupBy(c).agg(F.avg("wait_time").alias(f"{c}_mean")) for c in CATEGORIES
     }
 
 
-def with_means(rows: DataFrame, means: dict[str, DataFrame], columns: list[str]) -> DataFrame:
-    for c in columns:
+def with_means(rows: DataFrame, means: dict[str, DataFrame]) -> DataFrame:
+    for c in CATEGORIES:
         rows = rows.join(means[c], c, "left")
     return rows
 
 
-def wide_columns(model: PipelineModel) -> list[str]:
-    """Columns the model reads as training means instead of categories."""
-    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
-    return [c for c in CATEGORIES if f"{c}_mean" in assembler.getInputCols()]
-
-
 def score(
     rows: DataFrame,
     model: PipelineModel,
     entities: DataFrame,
     offsets: DataFrame | None = None,
-    means: dict[str, DataFrame] | None = None,
+    *,
+    means: dict[str, DataFrame],
 ) -> DataFrame:
     """Predictions for the rows of known entities, plus residual offsets as bounds."""
     keep = [*with_entity(rows).columns, "yhat"]
     known = entities.select("entity", F.lit(True).alias("_known"))
     data = build_features(with_entity(rows)).join(known, "entity", "left")
-    data = with_means(data, means or {}, wide_columns(model))
+    data = with_means(data, means)
     scored = model.transform(data).withColumn("yhat", F.when(F.col("_known"), F.col("prediction")))
     scored = scored.select(*keep)
     if offsets is None:

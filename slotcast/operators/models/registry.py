@@ -46,7 +46,7 @@ class FittedModel:
                 for c in global_trees.CATEGORIES
                 if f"mean_{c}" in self.tables
             }
-            scored = global_trees.score(rows, self.trees, params, offsets, means)
+            scored = global_trees.score(rows, self.trees, params, offsets, means=means)
         else:
             scored = baseline.score(rows, params)
         return scored.withColumn("model", F.lit(self.family))
@@ -68,8 +68,7 @@ def fit(name: str, train: DataFrame, settings: Settings, trained_at: str) -> Fit
     elif role == "global":
         trees = global_trees.fit(train, settings)
         model = replace(model, trees=trees)
-        wide = global_trees.wide_columns(trees)
-        means = global_trees.unit_means(train, wide)
+        means = global_trees.unit_means(train)
         tables = {"params": materialize(baseline.fit(train).select("entity"), "global")}
         tables |= {f"mean_{c}": materialize(m, "mean") for c, m in means.items()}
     else:
@@ -168,7 +167,7 @@ def load(store: TableStore, pointer, settings: Settings) -> FittedModel:
             tables["offsets"] = spark.read.parquet(f"{path}/offsets")
         if role == "global":
             trees = PipelineModel.load(f"{path}/trees")
-            for c in global_trees.wide_columns(trees):
+            for c in global_trees.CATEGORIES:
                 tables[f"mean_{c}"] = spark.read.parquet(f"{path}/mean_{c}")
         model = FittedModel(head["model_name"], role, head["trained_at"], tables, trees)
         if not entity_difference(listed, model.entities).isEmpty():

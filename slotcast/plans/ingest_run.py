@@ -1,4 +1,4 @@
-"""One ingest run: read upstream above the mark, land, merge; again until caught up."""
+"""One ingest run: read upstream above the mark, land, merge; a drain goes on to the end."""
 
 from __future__ import annotations
 
@@ -28,6 +28,10 @@ def run_ingest(
 ) -> dict:
     """Summary of the run. A dry run only reports the gap.
 
+    Without ``drain`` one batch of the oldest ``batch_rows`` rows is taken. A drain takes the whole
+    backlog; there ``batch_rows`` is the width of the id ranges that it is transferred in, and
+    decides nothing about what arrives. The ranges come from one scan of the ids.
+
     The mark is read from bronze, so a run that was cut off anywhere is repeated from what
     really landed, and the merge drops what is there already.
     """
@@ -42,21 +46,23 @@ def run_ingest(
     if dry_run:
         return report
     mark = gap["mark"]
-    for number in range(settings.max_batches):
-        batch = up.read_since(*upstream, mark, settings.batch_rows)
+    if drain:
+        ranges = up.id_ranges(upstream[0], mark, settings.batch_rows)
+        batches = (up.read_range(*upstream, low, high) for low, high in ranges)
+    else:
+        batches = iter([up.read_since(*upstream, mark, settings.batch_rows)])
+    for number, batch in enumerate(batches):
         # Batches of one run may share a second; the stamp is what tells them apart.
         path = land_batch(batch, landing, mark + 1, now_utc + timedelta(seconds=number))
         landed = read_batch(spark, path)
         span = ing.batch_range(landed).first()
         if not span["rows"]:
-            report["caught_up"] = True
-            break
+            continue
         ing.append_new(ing.stamp_ingested(landed, now_utc), bronze_path, span["low"])
         mark = span["high"]
         report["rows"] += span["rows"]
         report["batches"] += 1
-        if not drain:
-            break
+    report["caught_up"] = drain or report["rows"] == 0
     total = ing.ingest_summary(bronze()).select(
         F.col("rows").alias("bronze_rows"), F.col("max_id").alias("bronze_max")
     )

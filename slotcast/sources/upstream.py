@@ -92,6 +92,31 @@ def read_since(
     return near.orderBy("wait_time_id").limit(batch_rows)
 
 
+def id_ranges(
+    fact: DataFrame, mark: int, width: int | None = None
+) -> list[tuple[int, int]]:
+    """Ranges of ids above the mark that hold rows, in order; one range without a width.
+
+    One scan of the id column, combined inside each task. The driver gets one number for each
+    transfer that the caller will make.
+    """
+    ids = fact.where(F.col("wait_time_id") > mark).select("wait_time_id")
+    if width is None:
+        top = ids.agg(F.max("wait_time_id")).first()[0]
+        return [] if top is None else [(mark + 1, top)]
+    parts = ids.select(F.expr(f"wait_time_id div {width}").alias("part")).distinct().collect()
+    return [
+        (max(mark + 1, p * width), p * width + width - 1) for p in sorted(r["part"] for r in parts)
+    ]
+
+
+def read_range(
+    fact: DataFrame, units: DataFrame, sites: DataFrame, low: int, high: int
+) -> DataFrame:
+    """Observations with ids from ``low`` to ``high``; the range reaches the scan."""
+    return observations(fact.where(F.col("wait_time_id").between(low, high)), units, sites)
+
+
 def batch_bound(rows: DataFrame, batch_rows: int) -> Column:
     """An id below which the oldest ``batch_rows`` rows lie, and not many more.
 
@@ -100,7 +125,7 @@ def batch_bound(rows: DataFrame, batch_rows: int) -> Column:
     first ranges are summed up, at most k of them, as none is empty. The batch is then cut
     from rows below the bound, which is pushed into the fact scan.
     """
-    part = F.floor(F.col("wait_time_id") / F.lit(batch_rows)).cast("bigint").alias("part")
+    part = F.expr(f"wait_time_id div {batch_rows}").alias("part")
     counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
     first = counts.orderBy("part").limit(batch_rows)
     upto = F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, W.currentRow))

@@ -107,15 +107,21 @@ def test_ingest_run(spark, scratch):
     assert (one["rows"], one["batches"], one["bronze_rows"]) == (6, 1, 6)
     rest = run_ingest(spark, source, *paths, small, NOW, drain=True)
     assert (rest["rows"], rest["bronze_rows"], rest["bronze_max"]) == (14, 20, 30)
+    assert rest["batches"] > 1
     assert rest["caught_up"]
     again = run_ingest(spark, source, *paths, replace(small, batch_rows=None), NOW, drain=True)
     assert (again["rows"], again["bronze_rows"]) == (0, 20)
 
 
-def test_ingest_stops_at_its_batch_limit(spark, scratch):
-    limited = replace(SETTINGS, batch_rows=2, max_batches=3)
-    done = run_ingest(spark, upstream(spark, 30), scratch("b"), scratch("l"), limited, NOW, drain=True)
-    assert (done["batches"], done["rows"], done["caught_up"]) == (3, 6, False)
+def test_the_width_of_a_transfer_changes_no_row(spark, scratch):
+    found = []
+    for width in (2, 7, None):
+        path, narrow = scratch("b"), replace(SETTINGS, batch_rows=width)
+        done = run_ingest(spark, upstream(spark, 30), path, scratch("l"), narrow, NOW, drain=True)
+        assert (done["rows"], done["caught_up"]) == (20, True)
+        rows = spark.read.parquet(path).drop("_ingested_at").collect()
+        found.append(sorted(map(tuple, rows)))
+    assert found[0] == found[1] == found[2]
 
 
 def test_landing_replaces_a_batch_sent_twice(spark, scratch):

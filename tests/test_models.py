@@ -94,15 +94,6 @@ def test_families_beat_the_baseline_and_keep_the_contract(spark, data, name):
     assert model.score(stranger, SETTINGS).where("yhat IS NOT NULL").isEmpty()
 
 
-def test_global_trees_with_a_wide_category(spark, data):
-    """Units beyond the category limit are split by the rank of their mean."""
-    train, test = data
-    narrow = replace(SETTINGS, trees=replace(SETTINGS.trees, max_categories=1))
-    model = registry.fit(MODEL_GLOBAL, train, narrow, TRAINED)
-    assert global_trees.wide_columns(model.trees) == ["ride_key"]
-    assert mae(model.score(test, narrow)) < mae(baseline.score(test, baseline.fit(train)))
-
-
 def test_local_trees_fit_the_cells_they_see():
     """With full sampling and no shrinkage, deep trees reproduce the cell means."""
     minutes, rng = 30, np.random.default_rng(0)

@@ -112,10 +112,11 @@ def test_slot_sequence(spark, start):
 
 @pytest.mark.parametrize(
     ("p", "lo", "hi", "fixed"),
-    [(-1.0, -3.0, -2.0, (0.0, 0.0, 0.0)), (5.0, 7.0, 4.0, (5.0, 5.0, 5.0)), (5.0, -1.0, 9.0, (5.0, 0.0, 9.0))],
+    [(-1.0, -3.0, -2.0, (0.0, 0.0, 0.0)), (5.0, 7.0, 4.0, (5.0, 5.0, 5.0)), (5.0, -1.0, 9.0, (5.0, 0.0, 9.0)),
+     (5.0, None, 9.0, (5.0, None, 9.0)), (5.0, 2.0, None, (5.0, 2.0, None))],
 )
 def test_bound_repair(spark, p, lo, hi, fixed):
-    bounds = go.repaired_bounds(F.lit(p), F.lit(lo), F.lit(hi))
+    bounds = go.repaired_bounds(*(F.lit(x).cast("double") for x in (p, lo, hi)))
     row = spark.range(1).select(*(c.alias(n) for n, c in bounds.items())).first()
     assert tuple(row) == fixed
 
