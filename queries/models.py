@@ -13,7 +13,7 @@ from slotcast.config import MODEL_ADDITIVE, MODEL_LOCAL, TreeParams
 from slotcast.operators import features as fe
 from slotcast.operators import kpis as kp
 from slotcast.operators.checks import QualityCheckError
-from slotcast.operators.models import additive, baseline, cells, global_trees, local_trees, registry
+from slotcast.operators.models import additive, baseline, cells, global_trees, local_effects, registry
 from slotcast.plans import weekly
 from slotcast.session import scratch_path
 from slotcast.sources.store import TableStore
@@ -153,11 +153,50 @@ def global_score(spark, sf):
     return rounded(rows, "yhat", "lo", "hi", digits=4)
 
 
-@query("model_local_score")
+def _stage(name: str, before: str) -> str:
+    """One stage of the local family: effects by a calendar feature, and what they leave."""
+    return f"""l_{name} AS (SELECT *, {name}_left - {name}_effect AS after_{name} FROM (
+    SELECT *, {before} AS {name}_left,
+        sum({before}) OVER (PARTITION BY entity, {name}) /
+        (count(*) OVER (PARTITION BY entity, {name}) + 10) AS {name}_effect FROM SOURCE))"""
+
+
+LOCAL = fx.SPLIT + [
+    HOLIDAYS,
+    """days AS (SELECT s.*, {e} AS entity, hour(ts_local) AS hour, isodow(ts_local) - 1 AS weekday,
+    month(ts_local) AS month, CAST(h.day IS NOT NULL AS INTEGER) AS holiday
+    FROM silver s LEFT JOIN (SELECT DISTINCT day FROM holidays) h
+    ON CAST(s.ts_local AS DATE) = h.day)""".replace("{e}", fx.entity()),
+    """l_base AS (SELECT *, wait_time - base AS after_base FROM (
+    SELECT *, avg(wait_time) OVER (PARTITION BY entity) AS base,
+        count(*) OVER (PARTITION BY entity) AS rows
+    FROM days WHERE ts_local <= (SELECT cutoff FROM cut)) WHERE rows >= 50)""",
+    _stage("hour", "after_base").replace("SOURCE", "l_base"),
+    _stage("weekday", "after_hour").replace("SOURCE", "l_hour"),
+    _stage("month", "after_weekday").replace("SOURCE", "l_weekday"),
+    _stage("holiday", "after_month").replace("SOURCE", "l_month"),
+    """l_offsets AS (SELECT entity, quantile_cont(after_holiday, 0.1) AS a,
+    quantile_cont(after_holiday, 0.9) AS b, any_value(base) AS base FROM l_holiday GROUP BY entity)""",
+    *(
+        f"""e_{name} AS (SELECT DISTINCT entity, {name}, first({name}_effect) OVER
+        (PARTITION BY entity, {name}) AS e_{name} FROM l_holiday)"""
+        for name in ("hour", "weekday", "month", "holiday")
+    ),
+    """l_scored AS (SELECT d.entity, d.ts_local, d.wait_time, o.a, o.b, o.base
+        + coalesce(e_hour, 0) + coalesce(e_weekday, 0) + coalesce(e_month, 0)
+        + coalesce(e_holiday, 0) AS yhat
+    FROM days d LEFT JOIN l_offsets o USING (entity) LEFT JOIN e_hour USING (entity, hour)
+    LEFT JOIN e_weekday USING (entity, weekday) LEFT JOIN e_month USING (entity, month)
+    LEFT JOIN e_holiday USING (entity, holiday) WHERE d.ts_local > (SELECT cutoff FROM cut))""",
+]
+
+
+@query("model_local_score", with_ctes(LOCAL, """SELECT entity, ts_local, wait_time,
+    round(yhat, 4) AS yhat, round(yhat + a, 4) AS lo, round(yhat + b, 4) AS hi FROM l_scored"""))
 def local_score(spark, sf):
     train, test = fx.split(spark, sf)
-    model = registry.fit(MODEL_LOCAL, train, QUICK, TRAINED_AT)
-    rows = model.score(test, QUICK).select("entity", "ts_local", "wait_time", "yhat", "lo", "hi")
+    model = registry.fit(MODEL_LOCAL, train, S, TRAINED_AT)
+    rows = model.score(test, S).select("entity", "ts_local", "wait_time", "yhat", "lo", "hi")
     return rounded(rows, "yhat", "lo", "hi", digits=4)
 
 

@@ -63,8 +63,6 @@ class TreeParams:
     column_sample: float = 0.9
     seed: int = 42
     ridge: float = 1.0
-    # Widest categorical feature the global trees split by category; wider ones are
-    # split by the rank of their training mean (see operators/models/global_trees.py).
 
 
 @dataclass(frozen=True)
@@ -107,6 +105,8 @@ class Settings:
     trees: TreeParams = TreeParams()
     # Ridge penalty of the additive fleet; keeps sparse calendars solvable.
     additive_ridge: float = 0.1
+    # Rows without any effect that each effect of the local family is averaged with.
+    local_shrinkage: float = 10.0
 
     @property
     def model_order(self) -> tuple[str, ...]:

@@ -8,6 +8,6 @@ come from one map-side combined aggregation; an entity has as many cells as the
 has positions, however many rows it has.
 """
 
-from slotcast.operators.models import additive, baseline, global_trees, local_trees
+from slotcast.operators.models import additive, baseline, global_trees, local_effects
 
-__all__ = ["additive", "baseline", "global_trees", "local_trees"]
+__all__ = ["additive", "baseline", "global_trees", "local_effects"]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotcast.config import Settings
-from slotcast.operators.models import additive, baseline, cells, global_trees, local_trees
+from slotcast.operators.models import additive, baseline, cells, global_trees, local_effects
 from slotcast.session import materialize
 from slotcast.sources.store import TableStore
 
@@ -39,7 +39,7 @@ class FittedModel:
         if self.role == "additive":
             scored = additive.score(rows, params, settings)
         elif self.role == "local":
-            scored = local_trees.score(rows, params, settings, offsets)
+            scored = local_effects.score(rows, params, settings, offsets)
         elif self.role == "global":
             means = {
                 c: self.tables[f"mean_{c}"]
@@ -64,7 +64,7 @@ def fit(name: str, train: DataFrame, settings: Settings, trained_at: str) -> Fit
     if role == "additive":
         tables = {"params": materialize(additive.fit(train, settings), "additive")}
     elif role == "local":
-        tables = {"params": materialize(local_trees.fit(train, settings), "local")}
+        tables = {"params": materialize(local_effects.fit(train, settings), "local")}
     elif role == "global":
         trees = global_trees.fit(train, settings)
         model = replace(model, trees=trees)

@@ -5,10 +5,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from slotcast.config import MODEL_ADDITIVE, MODEL_GLOBAL, MODEL_LOCAL, TreeParams
+from slotcast.config import MODEL_ADDITIVE, MODEL_GLOBAL, MODEL_LOCAL
 from slotcast.operators import features as fe
 from slotcast.operators import kpis as kp
-from slotcast.operators.models import additive, baseline, cells, global_trees, local_trees, registry
+from slotcast.operators.models import additive, baseline, cells, global_trees, local_effects, registry
 from slotcast.session import materialize
 from slotcast.sources.store import TableStore
 from tests.helpers import SETTINGS, seasonal_rows, silver
@@ -94,51 +94,23 @@ def test_families_beat_the_baseline_and_keep_the_contract(spark, data, name):
     assert model.score(stranger, SETTINGS).where("yhat IS NOT NULL").isEmpty()
 
 
-def test_local_trees_fit_the_cells_they_see():
-    """With full sampling and no shrinkage, deep trees reproduce the cell means."""
-    minutes, rng = 30, np.random.default_rng(0)
-    index = np.sort(rng.choice(12 * 7 * 48 * 2, 200, replace=False))
-    x = local_trees.cell_features(index, minutes)
-    n, mean = rng.integers(1, 5, 200).astype(float), rng.normal(30, 10, 200)
-    params = TreeParams(depth=8, trees=60, rate=0.5, row_sample=1.0, column_sample=1.0, ridge=0.0001)
-    fitted = local_trees.boost(x, n, n * mean, x, params)
-    assert np.abs(fitted - mean).max() < 0.5
-    shallow = local_trees.boost(x, n, n * mean, x, TreeParams(trees=1, depth=1, rate=1.0,
-                                                              row_sample=1.0, column_sample=1.0))
-    assert len(np.unique(shallow)) == 2
-
-
-def test_one_split_is_the_best_split():
-    """A single stump against every feature and threshold, by brute force."""
-    rng = np.random.default_rng(1)
-    index = np.sort(rng.choice(12 * 7 * 48 * 2, 60, replace=False))
-    x, n = local_trees.cell_features(index, 30), rng.integers(1, 6, 60).astype(float)
-    total = n * (x[:, 0] * 2 + rng.normal(0, 1, 60))
-    params = TreeParams(trees=1, depth=1, rate=1.0, row_sample=1.0, column_sample=1.0, ridge=1.0)
-    got = local_trees.boost(x, n, total, x, params)
-    base = total.sum() / n.sum()
-    grad = total - n * base
-    best, expected = -1.0, None
-    for f in range(x.shape[1]):
-        for cut in np.unique(x[:, f])[:-1]:
-            left = x[:, f] <= cut
-            parts = [(grad[s].sum(), n[s].sum()) for s in (left, ~left)]
-            gain = sum(g**2 / (w + 1) for g, w in parts)
-            if gain > best + 1e-9:
-                best = gain
-                values = [g / (w + 1) for g, w in parts]
-                expected = base + np.where(left, values[0], values[1])
-    assert np.allclose(got, expected)
-
-
-def test_cell_index_matches_the_features(spark):
-    rows = spark.sql(
-        "SELECT explode(sequence(timestamp_ntz '2024-01-01', timestamp_ntz '2024-12-31 23:30:00',"
-        " interval 30 minutes)) AS ts_local")
-    frame = fe.build_features(rows).withColumn("cell", local_trees.cell_index(F.col("ts_local"), 30))
-    got = frame.toPandas()
-    expected = local_trees.cell_features(got["cell"].to_numpy(), 30)
-    assert np.allclose(got[fe.CALENDAR_FEATURES].to_numpy(float), expected)
+def test_local_effects_are_stagewise_means(spark, data):
+    """Against the same stages on rows in pandas."""
+    train, test = data
+    params = local_effects.fit(train, SETTINGS)
+    rows = fe.with_entity(train).toPandas()
+    one = params.first()
+    own = rows[rows["entity"] == one["entity"]].copy()
+    assert one["n"] == len(own) and np.isclose(one["base"], own["wait_time"].mean())
+    ts, left = own["ts_local"].dt, own["wait_time"] - own["wait_time"].mean()
+    keys = {"hour": ts.hour, "weekday": ts.weekday, "month": ts.month}
+    for name, key in keys.items():
+        groups = left.groupby(key)
+        effect = groups.sum() / (groups.count() + SETTINGS.local_shrinkage)
+        assert {k: round(v, 6) for k, v in one[name].items()} == effect.round(6).to_dict()
+        left = left - key.map(effect)
+    plan = local_effects.score(test, params, SETTINGS)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
 
 
 def test_residual_quantiles_are_linear(spark, data):
