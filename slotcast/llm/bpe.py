@@ -13,12 +13,15 @@ Pieces are strings over an alphabet of base symbols: one character below 256 for
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
 import regex
 
 END = 0x1000
+BATCH = 20_000
+MARK = "\0\0special "
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The two splitting rules of the public vocabularies.
 BYTE_LEVEL_PIECES = (
@@ -65,11 +68,12 @@ class Merges:
             a, b, c = marked[left], marked[right], marked[left + right]
             self.rank[a, b] = order
             self.made.setdefault(c, (order, a, b))
-        self.longest = max(map(len, self.ids), default=1)
         self._right: dict[int, list[tuple[int, int]]] = {}
         self._left: dict[int, list[tuple[int, int]]] = {}
-        self._neighbours: dict[tuple[int, int], bool] = {}
-        self._whole: dict[int, bool] = {}
+        self._neighbours: dict[int, bool] = {}
+        known: dict[int, bool] = {}
+        self.ids = {w: number for w, number in self.ids.items() if self._whole(number, known)}
+        self.longest = max(map(len, self.ids), default=1)
 
     def _spine(self, token: int, side: int, known: dict) -> list[tuple[int, int]]:
         """(rank at which it appears, token) along one edge of a token, outermost symbol first."""
@@ -108,26 +112,22 @@ class Merges:
             else:
                 j += 1
 
-    def whole(self, token: int) -> bool:
-        """Whether merging the text of a token gives that token (some are out of reach)."""
-        known = self._whole.get(token)
-        if known is None:
+    def _whole(self, token: int, known: dict[int, bool]) -> bool:
+        """Whether merging the text of a token gives that token (some may be out of reach)."""
+        if token not in known:
             if token not in self.made:
-                known = True
+                known[token] = True
             else:
                 rank, a, b = self.made[token]
-                known = self.whole(a) and self.whole(b) and not self._seam(a, b, rank)
-            self._whole[token] = known
-        return known
+                parts = self._whole(a, known) and self._whole(b, known)
+                known[token] = parts and not self._seam(a, b, rank)
+        return known[token]
 
     def neighbours(self, left: int, right: int) -> bool:
-        known = self._neighbours.get((left, right))
-        if known is None:
-            known = not self._seam(left, right, 1 << 60)
-            if len(self._neighbours) >= 1 << 20:
-                self._neighbours.clear()
-            self._neighbours[left, right] = known
-        return known
+        if len(self._neighbours) >= 1 << 20:
+            self._neighbours.clear()
+        fits = self._neighbours[left << 32 | right] = not self._seam(left, right, 1 << 60)
+        return fits
 
     def walk(self, words: Iterable[str]) -> Iterator[tuple[str, list[int], list[int]]]:
         """Depth-first over the trie of distinct ``words``: per word its states, which stay shared.
@@ -136,7 +136,7 @@ class Merges:
         the path kept on the stack. State i holds the last token of the prefix of length i and
         that prefix's number of tokens (-1 where no encoding of the prefix exists).
         """
-        ids, longest = self.ids, self.longest
+        find, known, longest = self.ids.get, self._neighbours.get, self.longest
         last, count = [-1], [0]
         before = ""
         for word in sorted(set(words)):
@@ -146,11 +146,20 @@ class Merges:
             del last[shared + 1 :], count[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
                 found, tokens = -1, -1
-                for start in range(max(0, end - longest), end):
-                    token = ids.get(word[start:end])
-                    if token is None or count[start] < 0 or not self.whole(token):
+                for start in range(end - longest if end > longest else 0, end):
+                    token = find(word[start:end])
+                    if token is None:
+                        continue
+                    if not start:
+                        found, tokens = token, 1
+                        break
+                    left = last[start]
+                    if left < 0:
                         continue
-                    if start == 0 or self.neighbours(last[start], token):
+                    fits = known(left << 32 | token)
+                    if fits is None:
+                        fits = self.neighbours(left, token)
+                    if fits:
                         found, tokens = token, count[start] + 1
                         break
                 last.append(found)
@@ -184,10 +193,37 @@ class Pieces:
         if merges.special:
             ordered = sorted(merges.special, key=len, reverse=True)
             self._special = regex.compile("(" + "|".join(map(regex.escape, ordered)) + ")")
+        spaces = "" if self.marks_ends else r"\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+        self._rare = re.compile(rf"[\x1c-\x1f{spaces}]")
         self._odd = regex.compile(
             r"[\x1c-\x1f]" if self.marks_ends else rf"[{WHITE}]\x20[{WHITE}]|[{WHITE}]\x20$"
         )
 
+    def _plain(self, text: str) -> bool:
+        """A quick test that most texts pass; the others are searched."""
+        if self._rare.search(text):
+            return False
+        return self.marks_ends or not ("  " in text or " \n" in text or " \t" in text)
+
+    def _letter(self, char: str) -> bool:
+        """Whether a character is one letter or digit, also in the form that is encoded."""
+        if not self.marks_ends or char.isascii():
+            return char.isalnum()
+        return lower_each(unicodedata.normalize("NFC", char)).isalnum() and char.isalnum()
+
+    def split_tail(self, chunk: str) -> tuple[str, str]:
+        """(body, tail): a chunk as a part that many chunks share, and pieces that follow it.
+
+        A comma or full stop behind a letter or digit is a piece of its own. Where the vocabulary
+        is lower case, so is the body.
+        """
+        tail = ""
+        if chunk[-1:] in (",", ".") and self._letter(chunk[-2:-1]):
+            chunk, tail = chunk[:-1], chunk[-1]
+        if self.marks_ends and not chunk.islower() and chunk.isascii():
+            chunk = chunk.lower()
+        return chunk, tail
+
     def stretches(self, text: str) -> list[str]:
         """Plain text at even places, special strings at odd ones."""
         if self._special is None or "<" not in text:
@@ -200,7 +236,7 @@ class Pieces:
         A space with a non-space on one side always begins a piece, so most texts can be cut
         there and each distinct chunk is looked at once. The rest stay whole.
         """
-        if self._odd.search(text):
+        if not self._plain(text) and self._odd.search(text):
             return [text]
         if self.marks_ends:
             return text.split()
@@ -225,82 +261,119 @@ class Pieces:
 class Encoder:
     """Encodes texts by distinct chunk; what it remembers is bounded by ``memory`` bytes.
 
-    Forgetting costs time only: chunks of the texts at hand are always learned first.
+    Forgetting costs time only: chunks of the texts at hand are always learned first. ``value``
+    says what is kept of a chunk: its packed ids, or the number of its tokens.
     """
 
-    def __init__(self, path: str, memory: int = 160 << 20):
+    def __init__(self, path: str, memory: int = 256 << 20, counts: bool = False):
         self.merges = Merges(path)
         self.splitter = Pieces(self.merges)
         self.memory = memory
+        self.counts = counts
         self.width = 1 + max(self.merges.text, default=0)
-        self._chunks: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {}
+        self.known: dict[str, bytes | int] = {}
+        self._older: dict[str, bytes | int] = {}
         self._held = 0
-        self._special = {
-            s: number.to_bytes(4, "little") for s, number in self.merges.special.items()
+        self.special = {
+            s: 1 if counts else number.to_bytes(4, "little")
+            for s, number in self.merges.special.items()
         }
         self._bytes = {
             number: bytes(ord(c) % END if self.merges.suffix else ord(c) for c in word)
             for number, word in self.merges.text.items()
         } | {number: s.encode() for s, number in self.merges.special.items()}
 
-    def _learn(self, chunks: set[str]) -> None:
-        if self._held > self.memory:
-            self._chunks.clear()
-            self._words.clear()
-            self._held = 0
-        new = [c for c in chunks if c not in self._chunks]
-        split = {c: self.splitter.pieces(c) for c in new}
-        words = {w for pieces in split.values() for w in pieces if w not in self._words}
-        for word, last, _ in self.merges.walk(words):
-            ids = b"".join([t.to_bytes(4, "little") for t in self.merges.tokens(word, last)])
-            self._words[word] = ids
-            self._held += 200 + len(word) + len(ids)
-        for chunk, pieces in split.items():
-            ids = b"".join([self._words[p] for p in pieces])
-            self._chunks[chunk] = ids
-            self._held += 200 + len(chunk) + len(ids)
-
-    def cut(self, texts: list[str]) -> list[list[tuple[str, list[str]]]]:
-        """Per text its stretches: (special string or "", chunks), learning all chunks."""
-        cut = []
+    def _bodies(self, bodies: list[str]) -> None:
+        """Encode distinct bodies into ``known``."""
+        split = {c: self.splitter.pieces(c) for c in bodies}
+        words: dict[str, bytes | int] = {}
+        for word, last, count in self.merges.walk({w for p in split.values() for w in p}):
+            if self.counts:
+                words[word] = count[len(word)]
+            else:
+                ids = self.merges.tokens(word, last)
+                words[word] = b"".join([t.to_bytes(4, "little") for t in ids])
+        add = sum if self.counts else b"".join
+        for body, pieces in split.items():
+            self.known[body] = words[pieces[0]] if len(pieces) == 1 else add([words[p] for p in pieces])
+
+    def _learn(self, new: set[str]) -> None:
+        if self._held > self.memory // 2:
+            # The older half is forgotten; what is asked for again comes over from it.
+            self._older, self._held = self.known, 0
+            self.known = {}
+        older, known = self._older, self.known
+        fresh, derived = set(), []
+        for chunk in new:
+            value = older.get(chunk)
+            if value is not None:
+                known[chunk] = value
+                continue
+            body, tail = self.splitter.split_tail(chunk)
+            if body == chunk:
+                fresh.add(chunk)
+                continue
+            derived.append((chunk, body, tail))
+            for part in (body, tail):
+                if part and part not in known:
+                    value = older.get(part)
+                    if value is None:
+                        fresh.add(part)
+                    else:
+                        known[part] = value
+        listed = list(fresh)
+        for at in range(0, len(listed), BATCH):
+            self._bodies(listed[at : at + BATCH])
+        for chunk, body, tail in derived:
+            known[chunk] = known[body] + known[tail] if tail else known[body]
+        self._held += 220 * (len(new) + len(fresh)) + sum(map(len, new))
+
+    def values(self, texts: list[str]) -> list[list[bytes | int]]:
+        """Per text what is known of its chunks, in order, learning the new ones first."""
+        out, missing = [], []
+        get = self.known.get
         for text in texts:
             parts = self.splitter.stretches(text)
-            cut.append(
-                [
-                    (part, []) if place % 2 else ("", self.splitter.chunks(part))
-                    for place, part in enumerate(parts)
-                ]
-            )
-        self._learn({c for parts in cut for _, chunks in parts for c in chunks})
-        return cut
+            cut = self.splitter.chunks(parts[0])
+            if len(parts) > 1:
+                # Special strings stand alone, marked by a beginning that no chunk has.
+                for k, part in enumerate(parts[1:], 1):
+                    cut += [MARK + part] if k % 2 else self.splitter.chunks(part)
+            found = list(map(get, cut))
+            out.append(found)
+            if None in found:
+                at = found.index(None)
+                try:
+                    while True:
+                        missing.append((found, at, cut[at]))
+                        at = found.index(None, at + 1)
+                except ValueError:  # no more of them
+                    pass
+        if missing:
+            new = {chunk for _, _, chunk in missing}
+            special = {c for c in new if c.startswith(MARK) and c[len(MARK) :] in self.special}
+            self._learn(new - special)
+            known = self.known
+            for chunk in special:
+                known[chunk] = self.special[chunk[len(MARK) :]]
+            for found, at, chunk in missing:
+                found[at] = known[chunk]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Token ids of each text as little-endian unsigned 32-bit integers."""
-        known = self._chunks.__getitem__
-        return [
-            b"".join(
-                [
-                    self._special[special] if special else b"".join(map(known, chunks))
-                    for special, chunks in parts
-                ]
-            )
-            for parts in self.cut(texts)
-        ]
-
-    def chunk_tokens(self, chunk: str) -> int:
-        return len(self._chunks[chunk]) // 4
+        return [b"".join(found) for found in self.values(texts)]
 
     def decode(self, ids: list[int]) -> str:
         """Text of byte-level ids; bytes that are not UTF-8 become replacement characters."""
         return b"".join(map(self._bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, counts: bool = False) -> Encoder:
     """One encoder for each tokenizer file and Python worker."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, counts) not in _encoders:
+        _encoders[path, counts] = Encoder(path, counts=counts)
+    return _encoders[path, counts]

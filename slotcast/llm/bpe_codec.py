@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from slotcast.llm.bpe import encoder
 from slotcast.llm.common import id_and_text, slices
 
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 def encode_decode(

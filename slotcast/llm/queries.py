@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
-
-import numpy as np
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,25 +73,12 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     write_tokens(read(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE), END_ID)
-    rows = read_tokens(spark, path)
-
-    def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            ids, ends = part.column("ids"), part.column("ids").offsets.to_numpy()
-            raw = memoryview(ids.values.to_numpy().astype("<u4", copy=False)).cast("B")
-            crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(ends, ends[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    part.column("start"),
-                    pa.array(np.diff(ends), pa.int64()),
-                    pa.array(crc, pa.int64()),
-                ],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
-
-    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-    return rows.mapInArrow(checksums, schema)
+    return read_tokens(spark, path).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ empty files. Columns other than the two named ones are not read.
 from __future__ import annotations
 
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -27,15 +28,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from slotcast.llm.bpe import Encoder
+from slotcast.llm.bpe import END, Encoder, lower_each
 from slotcast.llm.common import id_and_text, slices
 from slotcast.session import materialize
 
-SLICE = 4 << 20
-SCALE = 20  # bits of the frequency table
+SLICE = 2 << 20
+SCALE = 18  # bits of the frequency table
 LOW = np.uint64(1 << 31)
-LANES, PER_LANE, STRIDE = 1024, 64, 128
-BLOCK_TOKENS = 1 << 18
+LANES, PER_LANE, STRIDE = 8192, 64, 64
+BLOCK_TOKENS = 1 << 20
 HEAD = struct.Struct("<4sIQIII")
 MAGIC = b"rAN1"
 
@@ -48,9 +49,9 @@ class Table:
 
     def __init__(self, symbols: np.ndarray, frequency: np.ndarray):
         size = int(symbols.max()) + 1 if len(symbols) else 1
-        self.frequency = np.zeros(size, np.uint64)
+        self.frequency = np.zeros(size, np.uint32)
         self.frequency[symbols] = frequency
-        self.before = np.zeros(size, np.uint64)
+        self.before = np.zeros(size, np.uint32)
         self.before[symbols] = np.cumsum(frequency) - frequency
         self.symbol = np.repeat(symbols, frequency).astype(np.uint32)
 
@@ -77,7 +78,7 @@ def encode_block(ids: np.ndarray, table: Table) -> bytes:
     for step in range(steps - 1, -1, -1):
         symbol = ids[step * lanes : (step + 1) * lanes]
         x = state[: len(symbol)]
-        f = table.frequency[symbol]
+        f = table.frequency[symbol].astype(np.uint64)
         full = x >= (f << shift)
         out = x[full].astype(np.uint32)
         words.append(out)
@@ -131,26 +132,44 @@ def decode_block(payload: bytes, table: Table, checkpoint: int = 0) -> np.ndarra
 
 
 class LibraryEncoder(Encoder):
-    """As ``Encoder``, but new chunks go through the tokenizers library, many in one call."""
+    """As ``Encoder``, but new bodies go through the tokenizers library, many in one call."""
 
-    def __init__(self, path: str, memory: int = 160 << 20):
-        super().__init__(path, memory)
+    def __init__(self, path: str):
+        super().__init__(path)
         self.library = Tokenizer.from_file(path)
-
-    def _learn(self, chunks: set[str]) -> None:
-        if self._held > self.memory:
-            self._chunks.clear()
-            self._held = 0
-        new = [c for c in chunks if c not in self._chunks]
-        starts = np.cumsum([0, *(len(c) + 1 for c in new)])
-        coded = self.library.encode(" ".join(new), add_special_tokens=False)
-        ids = np.array(coded.ids, "<u4")
-        begin = np.array([a for a, _ in coded.offsets], np.int64)
-        cuts = 4 * np.searchsorted(begin, starts)
+        self._ends = np.zeros(self.width + len(self.special), bool)
+        if self.merges.suffix:
+            self._ends[[n for n, w in self.merges.text.items() if w and ord(w[-1]) >= END]] = True
+
+    def _one_piece(self, body: str) -> bool:
+        if not self.merges.suffix or not body.isalpha():
+            return False
+        return body.isascii() or lower_each(unicodedata.normalize("NFC", body)).isalpha()
+
+    def _bodies(self, bodies: list[str]) -> None:
+        words = [b for b in bodies if self._one_piece(b)]
+        if words:
+            # Letters alone are one piece, which ends where a token ends a word.
+            text = " ".join(words)
+            (coded,) = self.library.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(coded.ids, "<u4")
+            cuts = np.append(0, 4 * (np.flatnonzero(self._ends[ids]) + 1)).tolist()
+            if len(cuts) == len(words) + 1:
+                self._keep(words, ids, cuts)
+            else:  # the libraries disagree about some letter
+                words = []
+        taken = set(words)
+        rest = [b for b in bodies if b not in taken]
+        if rest:
+            coded = self.library.encode(" ".join(rest), add_special_tokens=False)
+            starts = np.cumsum([0, *(len(b) + 1 for b in rest)])
+            begin = np.array([a for a, _ in coded.offsets], np.int64)
+            self._keep(rest, np.array(coded.ids, "<u4"), (4 * np.searchsorted(begin, starts)).tolist())
+
+    def _keep(self, bodies: list[str], ids: np.ndarray, cuts: list[int]) -> None:
         raw = ids.tobytes()
-        for k, chunk in enumerate(new):
-            self._chunks[chunk] = raw[cuts[k] : cuts[k + 1]]
-            self._held += 250 + len(chunk)
+        for body, a, b in zip(bodies, cuts, cuts[1:], strict=False):
+            self.known[body] = raw[a:b]
 
 
 _library: dict[str, LibraryEncoder] = {}
@@ -274,7 +293,10 @@ def write_tokens(
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it), ids (array), read from the files."""
+    """doc_id, start (ids of all documents before it), ids, read from the files.
+
+    ``ids`` holds little-endian unsigned 32-bit integers, the form in which readers take them.
+    """
     table = spark.sparkContext.broadcast(_load_table(spark, path))
     blocks = spark.read.parquet(f"{path}/blocks")
     tokens = F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, x: a + x)
@@ -293,18 +315,19 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "payload", 1 << 18):
             for row in piece.to_pylist():
-                ids = decode_block(row["payload"], table.value)
+                raw = decode_block(row["payload"], table.value).astype("<u4", copy=False).tobytes()
                 ends = np.concatenate([[0], np.cumsum(row["lengths"])]).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row["doc_ids"], pa.int64()),
                         pa.array(row["start"] + ends[:-1], pa.int64()),
-                        pa.ListArray.from_arrays(
-                            pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32))
+                        pa.array(
+                            [raw[4 * a : 4 * b] for a, b in zip(ends, ends[1:], strict=False)],
+                            pa.binary(),
                         ),
                     ],
                     names=["doc_id", "start", "ids"],
                 )
 
     placed = blocks.join(starts, ["part", "block"]).select("doc_ids", "lengths", "payload", "start")
-    return placed.mapInArrow(run, "doc_id bigint, start bigint, ids array<int>")
+    return placed.mapInArrow(run, "doc_id bigint, start bigint, ids binary")

@@ -11,6 +11,7 @@ repeated, an empty table gives an empty result, other columns are not read.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from slotcast.llm.bpe import END, Encoder, encoder
 from slotcast.llm.common import id_and_text, slices
 
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 def word_prefix_counts(coder: Encoder, word: str) -> list[int]:
@@ -34,14 +35,6 @@ def word_prefix_counts(coder: Encoder, word: str) -> list[int]:
     return [0, *(counts[w] for w in ended)]
 
 
-def _running(coder: Encoder, parts: list[tuple[str, list[str]]]) -> list[int]:
-    known = coder._chunks
-    steps = []
-    for special, chunks in parts:
-        steps += [1] if special else [len(known[c]) >> 2 for c in chunks]
-    return list(accumulate(steps))
-
-
 def token_counts(
     docs: DataFrame,
     tokenizer: str,
@@ -58,20 +51,17 @@ def token_counts(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(tokenizer)
+        coder = encoder(tokenizer, counts=True)
         for part in slices(batches, "text", SLICE):
             texts = part.column("text")
             totals, words, fits, tables = [], [], [], []
-            for parts in coder.cut(texts.to_pylist()):
-                table = _running(coder, parts)
-                totals.append(table[-1] if table else 0)
-                if totals[-1] <= budget:
-                    words.append(len(table))
-                    fits.append(totals[-1])
-                else:
-                    fit = next(k for k, count in enumerate(table) if count > budget)
-                    words.append(fit)
-                    fits.append(table[fit - 1] if fit else 0)
+            for counts in coder.values(texts.to_pylist()):
+                total = sum(counts)
+                totals.append(total)
+                table = list(accumulate(counts)) if prefixes or total > budget else []
+                fit = len(counts) if total <= budget else bisect_right(table, budget)
+                words.append(fit)
+                fits.append(total if total <= budget else table[fit - 1] if fit else 0)
                 if prefixes:
                     tables.append(table)
             columns = [
