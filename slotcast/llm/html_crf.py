@@ -326,9 +326,17 @@ def sample(pages: DataFrame, html_col: str, fit: Fit) -> list[str]:
     html = F.col(html_col).cast("string")
     named = html.rlike("(?i)<(article|main)[ >]")
     small = F.octet_length(html) <= fit.page_bytes
-    chosen = pages.where(small).select(html.alias("html"), (~named).cast("int").alias("other"))
-    rows = chosen.orderBy("other", F.xxhash64("html"), "html").limit(fit.pages).collect()
-    return [row["html"] for row in rows]
+    other, by = (~named).cast("int").alias("other"), F.xxhash64(html).alias("by")
+    chosen = pages.where(small).select(html.alias("html"), other, by)
+    # First the hashes alone, so that no task sends pages that are not used.
+    last = chosen.select("other", "by").distinct().orderBy("other", "by").limit(fit.pages).collect()
+    if not last:
+        return []
+    edge = F.struct(F.lit(last[-1]["other"]), F.lit(last[-1]["by"]))
+    rows = chosen.where(F.struct("other", "by") <= edge)
+    # Copies of a page are one row, so no more than ``fit.pages`` come back.
+    rows = rows.groupBy("other", "by").agg(F.min("html").alias("html")).collect()
+    return [row["html"] for row in sorted(rows, key=lambda r: (r["other"], r["by"]))]
 
 
 def main_text(blocks: list[Block], labels: list[int]) -> str:
