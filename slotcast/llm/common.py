@@ -29,6 +29,14 @@ def row_hash(doc_id: Column | str, text: Column | str) -> Column:
     return F.xxhash64(doc_id, text)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotcast.llm.common import id_and_text, row_hash, slices
+from slotcast.llm.common import id_and_text, row_hash, slices, unused
 from slotcast.llm.words import Words, find_words
 from slotcast.session import materialize
 
@@ -348,8 +348,9 @@ def keep_unleaked(
 ) -> DataFrame:
     """The rows of ``docs`` without a confirmed leak, with all their columns."""
     own = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.withColumn("_row", row_hash(F.col(id_col).cast("bigint"), own))
-    keyed = rows.select("_row", F.col(text_col).alias("_text"))
-    found = leaks(keyed, benchmark, rule, id_col="_row", text_col="_text")
-    spoiled = materialize(found.select(F.col("doc_id").alias("_row")).distinct(), "leaks")
-    return rows.join(spoiled, "_row", "left_anti").drop("_row")
+    key = unused(docs, "row_key")
+    rows = docs.withColumn(key, row_hash(F.col(id_col).cast("bigint"), own))
+    keyed = rows.select(F.col(key).alias("doc_id"), F.col(text_col).alias("text"))
+    found = leaks(keyed, benchmark, rule)
+    spoiled = materialize(found.select(F.col("doc_id").alias(key)).distinct(), "leaks")
+    return rows.join(spoiled, key, "left_anti").drop(key)

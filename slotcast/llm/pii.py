@@ -48,6 +48,7 @@ PATTERNS = {
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Cheap test for texts that cannot hold an entity.
 HINT = r"[0-9@]|(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sra|Господин|Госпожа)\.? "
+LONGER = 8  # turns after which surrogates get one character or syllable more
 MALE = r"^(?:Mr|Herr|Monsieur|Señor|Господин)$"
 
 #: Given names by script and gender; surnames are made from syllables.
@@ -154,7 +155,7 @@ def _ip(seed: Column) -> Column:
     return F.concat_ws(".", *octets)
 
 
-def _name(value: Column, seed: Column) -> Column:
+def _name(value: Column, seed: Column, length: int) -> Column:
     """Title kept; given names by gender and script, the surname from syllables.
 
     Each word is drawn from the key and the word alone, so "Ms Ada Kern" and "Ms Kern" keep the
@@ -187,14 +188,17 @@ def _name(value: Column, seed: Column) -> Column:
     return F.array_join(F.transform(words, word), " ")
 
 
-def _surrogate(what: Column, value: Column, seed: Column, word_seed: Column) -> Column:
+def _surrogate(
+    what: Column, value: Column, seed: Column, word_seed: Column, turn: int
+) -> Column:
+    """A draw for one entity; where short values leave no room, later turns draw longer ones."""
     return (
         F.when(what == "email", _email(value, seed))
         .when(what == "ip", _ip(seed))
         .when(what == "phone", _phone(value, seed))
         .when(what == "secret", _letters(value, seed, hexadecimal=True))
-        .when(what == "name", F.lower(_name(value, word_seed)))
-        .otherwise(_letters(value, seed))
+        .when(what == "name", F.lower(_name(value, word_seed, 4 + turn // LONGER)))
+        .otherwise(_letters(F.concat(value, F.lit("0" * (turn // LONGER))), seed))
     )
 
 
@@ -208,7 +212,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         word_seed = F.concat_ws("|", F.lit(key), F.lit(str(turn)))
         drawn = materialize(
             open_rows.withColumn(
-                "surrogate", _surrogate(F.col("type"), F.col("canonical"), seed, word_seed)
+                "surrogate", _surrogate(F.col("type"), F.col("canonical"), seed, word_seed, turn)
             ),
             "drawn",
         )
@@ -240,7 +244,9 @@ def _in_format(mention: Column, surrogate: Column) -> Column:
         left = F.struct(F.concat(held["out"], char).alias("out"), held["next"].alias("next"))
         return F.when(char.rlike(r"[\p{L}\p{N}]"), taken).otherwise(left)
 
-    return F.aggregate(F.split(mention, ""), start, step, lambda held: held["out"])
+    # A surrogate that had to be longer ends with what is left.
+    whole = lambda held: F.concat(held["out"], F.substring(letters, held["next"], F.length(letters)))
+    return F.aggregate(F.split(mention, ""), start, step, whole)
 
 
 def replacements(mentions: DataFrame, key: str) -> DataFrame:
