@@ -46,7 +46,9 @@ def utc_from_text(spark, sf):
     )
 
 
-@query("scalar_now_local")
+@query("scalar_now_local", f"""SELECT {fx.loc('newest')} AS newest_local,
+    timezone('{fx.ZONE}', now()) > {fx.loc('newest')} AS is_past
+    FROM (SELECT max(ts) AS newest FROM events)""")
 def now_local(spark, sf):
     """Local clock of the session beside the newest observation."""
     rows = fx.landing(spark, sf).agg(F.max("ts_utc").alias("newest_utc"))

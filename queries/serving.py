@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from queries import fixtures as fx
 from queries.gold import PAIR, RUN_ID, VALUES, pair
 from queries.registry import query, rounded, table, with_ctes
+from slotcast.plans.publish import run_publish
 from slotcast.schemas import PREDICTION_KEY, SILVER
 from slotcast.session import scratch_path
 from slotcast.sources import serving as sv
@@ -54,6 +55,19 @@ def publish_pair(spark, sf):
     return sv.publish_pair(_store(spark), *pair(spark, sf), RUN_ID)
 
 
+@query("io_publish_job", with_ctes(PAIR, """SELECT (SELECT count(*) FROM kpi_pair) AS kpis,
+    (SELECT count(*) FROM predictions) AS predictions"""))
+def publish_job(spark, sf):
+    """The whole job: what one store serves is fetched, checked, saved, loaded and swapped."""
+    source, target = _store(spark), _store(spark)
+    sv.publish_pair(source, *pair(spark, sf), RUN_ID)
+    run_publish(source, target, fx.now_local(), scratch_path(spark, "saved"))
+    kpis, predictions = sv.fetch_pair(target)
+    return kpis.agg(F.count(F.lit(1)).alias("kpis")).withColumn(
+        "predictions", predictions.agg(F.count(F.lit(1))).scalar()
+    )
+
+
 @query("io_fetch_pair", with_ctes(PAIR, PAIR_SELECT))
 def fetch_pair(spark, sf):
     store = _store(spark)

@@ -66,21 +66,29 @@ class EmptyStagingError(Exception):
     """A table of the pair has no rows; nothing was published."""
 
 
+class RepeatedKeyError(Exception):
+    """Rows of a table differ but share a key; nothing was published."""
+
+
 def publish_pair(
     store: TableStore, kpis: DataFrame, predictions: DataFrame, run_id: str
 ) -> DataFrame:
     """Load both tables as candidates, then swap both at once. Returns their row counts.
 
+    Equal rows, as a resend leaves them, become one; rows that differ under one key are refused.
     Predictions are laid out for the serving query: a folder per kind, rows clustered by
     site and time.
     """
-    unique_kpis = kpis.dropDuplicates(KPI_KEY)
-    unique_rows = predictions.dropDuplicates(PREDICTION_KEY)
-    staged_kpis = store.write("kpis", unique_kpis, run_id)
+    staged_kpis = store.write("kpis", kpis.distinct(), run_id)
     staged = store.write(
-        "predictions", unique_rows, run_id, partition_by=["row_kind"],
+        "predictions", predictions.distinct(), run_id, partition_by=["row_kind"],
         sort_by=["park_name", "ts_local"],
     )
+    for name, rows, key in (("kpis", staged_kpis, KPI_KEY), ("predictions", staged, PREDICTION_KEY)):
+        repeated = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if not repeated.isEmpty():
+            store.discard("kpis", "predictions")
+            raise RepeatedKeyError(f"nothing published: {name} repeat a key with other values")
     counts = staged_kpis.agg(F.count(F.lit(1)).alias("kpis")).withColumn(
         "predictions", staged.agg(F.count(F.lit(1))).scalar()
     )

@@ -8,9 +8,12 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from slotcast.functions import clock
 from slotcast.operators import gold as go
 from slotcast.operators import ingest as ing
+from slotcast.operators.checks import QualityCheckError
 from slotcast.plans.ingest_run import run_ingest
+from slotcast.plans.publish import run_publish
 from slotcast.schemas import BRONZE, KPIS, LANDING, LANDING_COLUMNS, PREDICTIONS
 from slotcast.sources import catalog, landing
 from slotcast.sources import serving as sv
@@ -226,6 +229,37 @@ def test_delivery_sends_whole_chunks(spark, scratch):
     assert sizes == {"0.json": 10, "1.json": 10, "2.json": 4}
 
 
+def test_the_publish_job_refuses_what_a_guard_finds(spark, scratch):
+    kpis, predictions = a_pair(spark)
+    early, late = clock.naive(datetime(2000, 1, 1)), clock.naive(datetime(2100, 1, 1))
+
+    def served(left, right):
+        store = TableStore(spark, scratch("source"))
+        store.write("kpis", left, "r")
+        store.write("predictions", right, "r")
+        store.promote("kpis", "predictions")
+        return store
+
+    target = TableStore(spark, scratch("target"))
+    done = run_publish(served(kpis, predictions), target, early)
+    assert (done["published_kpis"], done["published_rows"]) == (1, 24)
+    spoiled = [
+        (kpis, predictions, late),
+        (kpis.where("false"), predictions, early),
+        (kpis, predictions.where("row_kind <> 'forecast'"), early),
+        (kpis.withColumn("run_id", F.lit("other")), predictions, early),
+        (kpis, predictions.unionByName(predictions.limit(1)), early),
+    ]
+    for left, right, now in spoiled:
+        with pytest.raises(QualityCheckError):
+            run_publish(served(left, right), target, now)
+    assert [t.count() for t in sv.fetch_pair(target)] == [1, 24]
+    differing = predictions.unionByName(
+        predictions.limit(1).withColumn("predicted_wait_min", F.lit(99.0)))
+    with pytest.raises(sv.RepeatedKeyError):
+        sv.publish_pair(target, kpis, differing, "r3")
+
+
 def test_publishing_swaps_both_or_none(spark, scratch):
     store = TableStore(spark, scratch("serving"))
     kpis, predictions = a_pair(spark)
