@@ -12,11 +12,13 @@ candidate buckets of representatives. Links are confirmed on full sets, in round
 list all pairs of a bucket:
 
 1. each representative against the smallest one it meets in any bucket;
-2. members against their bucket's smallest, where components still differ;
-3. pairs of a bucket that are still in different components and not yet compared.
+2. in ``HUBS`` turns each member outside of the largest component of a bucket against one member
+   of that, another one in each turn;
+3. pairs of a bucket that are still in different components, unless the windows that others
+   share at all, or the sketches (``Scheme.least_equal``), rule out the similarity.
 
-After 1 and 2 a group of near copies is one component, so 3 is left with chance collisions; it is
-there to lose no link. Components are joined by contraction of edges in written tables, so
+After 1 and 2 a group of near copies is one component or a few, so 3 is left with stragglers; it
+is there to lose no link. Components are joined by contraction of edges in written tables, so
 nothing but counts reaches the driver.
 
 Defined cases: a text without words, or null, has no windows, is linked with nothing and kept. A
@@ -34,14 +36,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotcast.llm.common import id_and_text, row_hash, slices
+from slotcast.llm.common import id_and_text, row_hash, slices, unused
 from slotcast.llm.words import find_words, mix
 from slotcast.session import materialize
 
 SLICE = 2 << 20
+HUBS = 4
 _EMPTY = np.uint64((1 << 64) - 1)
 
 
@@ -55,6 +58,12 @@ class Scheme:
     bands: int = 40
     rows: int = 6
 
+    @property
+    def least_equal(self) -> int:
+        """Coordinates in which two sets at the threshold agree but for a chance of 1e-6."""
+        bins, p = self.bands * self.rows, self.percent / 100
+        return int(bins * p - 4.75 * (bins * p * (1 - p)) ** 0.5)
+
 
 def window_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     """Sorted distinct hashes of the windows of each text."""
@@ -134,46 +143,110 @@ def _sketches(docs: DataFrame, scheme: Scheme) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _sets(docs: DataFrame, k: int) -> DataFrame:
+def _sets(docs: DataFrame, scheme: Scheme) -> DataFrame:
+    """node, members (the set), marks."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE):
-            sets = window_sets(part.column("text"), k)
+            sets = window_sets(part.column("text"), scheme.words)
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            # A byte of each coordinate, eight to a number.
+            rows = sketch(sets, scheme.bands * scheme.rows)
+            marks = np.ascontiguousarray(rows.astype(np.uint8)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
-                names=["node", "members"],
+                [
+                    part.column("doc_id"),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.arange(len(sets) + 1, dtype=np.int32) * marks.shape[1]),
+                        pa.array(marks.reshape(-1)),
+                    ),
+                ],
+                names=["node", "members", "marks"],
             )
 
-    return docs.mapInArrow(run, "node bigint, members array<bigint>")
+    return docs.mapInArrow(run, "node bigint, members array<bigint>, marks array<bigint>")
+
+
+def _equal_marks(a: str, b: str) -> Column:
+    """In how many coordinates the marks of two sketches agree (and, rarely, in more)."""
 
+    def differing(x: Column, y: Column) -> Column:
+        bits = x.bitwiseXOR(y)
+        for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
+            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift)).bitwiseAND(F.lit(mask))
+        return F.bit_count(bits)
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    left = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
+    total = F.aggregate(F.zip_with(a, b, differing), F.lit(0), lambda held, n: held + n)
+    return 8 * F.size(a) - total
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough.
+
+    Sketches first rule out what they can, so that full sets are fetched for likely pairs only.
+    """
+    marks = sets.select("node", "marks")
+    near = (
+        pairs.join(marks.toDF("a", "ma"), "a")
+        .join(marks.toDF("b", "mb"), "b")
+        .where(_equal_marks("ma", "mb") >= scheme.least_equal)
+    )
+    likely = materialize(near.select("a", "b").distinct(), "likely")
+    used = materialize(likely.select("a").union(likely.select("b")).distinct().toDF("node"), "used")
+    full = sets.select("node", "members").join(used, "node", "left_semi")
     both = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - both
     return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .where(100 * both >= percent * union)
+        likely.join(full.toDF("a", "set_a"), "a")
+        .join(full.toDF("b", "set_b"), "b")
+        .where(100 * both >= scheme.percent * union)
         .select("a", "b")
         .distinct()
     )
 
 
+def _possible(rest: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+    """Pairs (a, b) of a bucket in different components that may be similar enough.
+
+    Windows that only one of the remaining sets has cannot be shared. What is left of either set
+    bounds the pair's intersection, which rules out far copies without looking at their pairs'
+    windows; sketches rule out most others.
+    """
+    nodes = materialize(rest.select("node").distinct(), "stragglers")
+    own = materialize(sets.join(nodes, "node", "left_semi"), "own")
+    windows = own.select("node", F.explode("members").alias("window"))
+    holders = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+    alone = holders.where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    size = F.size("members").cast("bigint")
+    known = materialize(
+        own.join(alone, "node", "left").select(
+            "node", "marks", size.alias("size"), (size - F.coalesce("alone", F.lit(0))).alias("most")
+        ),
+        "known",
+    )
+    rest = rest.select("key", "node", "label").distinct().join(known, "node")
+    a = rest.toDF("a", "key", "la", "ma", "na", "xa")
+    b = rest.toDF("b", "key", "lb", "mb", "nb", "xb")
+    most = F.least("xa", "xb")
+    near = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))
+    near &= 100 * most >= scheme.percent * (F.col("na") + F.col("nb") - most)
+    near &= _equal_marks("ma", "mb") >= scheme.least_equal
+    return a.join(b, "key").where(near).select("a", "b").distinct()
+
+
 class Components:
     """node -> smallest node reachable, kept as a table and contracted edge by edge."""
 
     def __init__(self, nodes: DataFrame):
         self.labels = nodes.select("node", F.col("node").alias("label"))
 
-    def link(self, edges: DataFrame) -> None:
-        """Merge the components that ``edges`` (a, b) join."""
+    def link(self, edges: DataFrame) -> bool:
+        """Merge the components that ``edges`` (a, b) join; whether there were any."""
         a, b = self.labels.toDF("a", "la"), self.labels.toDF("b", "lb")
         now = edges.join(a, "a").join(b, "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
-        step = None
+        linked = False
         while True:
             now = materialize(
                 now.where("a <> b")
@@ -182,7 +255,8 @@ class Components:
                 "edges",
             )
             if now.isEmpty():
-                return
+                return linked
+            linked = True
             both = now.unionAll(now.select("b", "a"))
             up = both.groupBy(F.col("a").alias("old")).agg(F.min("b").alias("least"))
             step = materialize(up.select("old", F.least("old", "least").alias("new")), "parents")
@@ -229,28 +303,41 @@ def near_duplicates(
     )
     nodes = materialize(shared.select("node").distinct(), "nodes")
     sets = materialize(
-        _sets(own.join(nodes.toDF("doc_id"), "doc_id", "left_semi"), scheme.words), "sets"
+        _sets(own.join(nodes.toDF("doc_id"), "doc_id", "left_semi"), scheme), "sets"
     )
     found = Components(nodes)
 
     first = shared.groupBy("node").agg(F.min("least").alias("a"))
     pairs = materialize(first.where("a < node").select("a", F.col("node").alias("b")), "pairs")
-    found.link(_confirmed(pairs, sets, scheme.percent))
+    found.link(_confirmed(pairs, sets, scheme))
 
     def labelled(rows: DataFrame) -> DataFrame:
-        return rows.join(found.labels, "node")
-
-    stars = labelled(shared).join(found.labels.toDF("least", "least_label"), "least")
-    pairs = stars.where("label <> least_label").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    found.link(_confirmed(pairs.distinct(), sets, scheme.percent))
+        return rows.select("key", "node").join(found.labels, "node")
+
+    for turn in range(HUBS):
+        spread = materialize(labelled(shared), "spread")
+        # One member of each component of a bucket, then that of the largest one.
+        parts = spread.groupBy("key", "label").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("a"),
+        )
+        hubs = parts.groupBy("key").agg(
+            F.max_by(
+                F.struct("a", "n", F.col("label").alias("hub_label")), F.struct("n", "label")
+            ).alias("hub"),
+            F.count(F.lit(1)).alias("components"),
+        )
+        hubs = hubs.where("components > 1").select("key", "hub.*")
+        # One hub for each member in a turn, that of its bucket with the largest component.
+        pairs = spread.join(hubs, "key").where("label <> hub_label")
+        pairs = pairs.groupBy("node").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
+        found.link(_confirmed(pairs.select("a", F.col("node").alias("b")), sets, scheme))
 
     spread = materialize(labelled(shared), "spread")
     mixed = spread.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
-    rest = spread.join(mixed.where("l0 < l1").select("key"), "key").where("node <> least")
-    a = rest.select("key", F.col("node").alias("a"), F.col("label").alias("la"))
-    b = rest.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
-    pairs = a.join(b, "key").where("a < b and la <> lb").select("a", "b").distinct()
-    found.link(_confirmed(pairs, sets, scheme.percent))
+    rest = spread.join(mixed.where("l0 < l1").select("key"), "key")
+    pairs = _possible(materialize(rest, "rest"), sets, scheme)
+    found.link(_confirmed(pairs, sets, scheme))
 
     named = classes.join(found.labels, "node", "left").select(
         "d1", "d2", F.coalesce("label", "node").alias("label")
@@ -273,9 +360,8 @@ def keep_first(
 ) -> DataFrame:
     """One row of each component, with all its columns."""
     found = near_duplicates(docs, scheme, id_col, text_col)
-    kept = materialize(found.where("kept").select(F.col("row").alias("_row")).distinct(), "kept")
-    own = F.col(text_col).cast("string")
-    rows = docs.withColumn(
-        "_row", row_hash(F.col(id_col).cast("bigint"), F.coalesce(own, F.lit("")))
-    )
-    return rows.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+    key = unused(docs, "row_key")
+    kept = materialize(found.where("kept").select(F.col("row").alias(key)).distinct(), "kept")
+    own = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.withColumn(key, row_hash(F.col(id_col).cast("bigint"), own))
+    return rows.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
