@@ -11,8 +11,8 @@ and sends each to its home's bucket. A bucket so holds every copy of each string
 its distinct pieces get one suffix array, whose common prefixes name equal strings and so the
 smallest id of each.
 
-Anchors found in more than ``HOT`` documents of a bucket would gather too much at one home. Their
-strings are sent one by one, each to the bucket of its own hash, and equal ones are one row for
+Copies of a text count once, under their smallest id, and travel through this once. Anchors found
+in more than ``HOT`` texts would still gather too much at one home. Their strings are sent one by one, each to the bucket of its own hash, and equal ones are one row for
 each slice of texts. Numbers of buckets follow from the bytes of the table, so a bucket stays as
 large as it is while the table grows.
 
@@ -29,18 +29,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotcast.llm.common import id_and_text, row_hash, slices
+from slotcast.llm.common import id_and_text, slices
 from slotcast.llm.suffixes import common_prefixes, suffix_array, words_at
 from slotcast.llm.words import _VALUES, _grow, buffers, mix
 from slotcast.session import materialize
 
 SLICE = 2 << 20
 GRAM = 16
-HOT = 256
-ANCHORS, PIECES = 24 << 20, 12 << 20  # bytes of text for each bucket of anchors and of pieces
+HOT = 4096
+KEY_BITS = 40
+ANCHORS, PIECES = 24 << 20, 4 << 20  # bytes of text for each bucket of anchors and of pieces
 LAST = (1 << 63) - 1
 
 
@@ -69,15 +71,49 @@ def anchors(texts: pa.Array, length: int) -> tuple[np.ndarray, ...]:
     return least[first], text[first], start[first], sizes, data, offsets
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, id, row, check and z: texts travel compressed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3, write_content_size=True).compress
+        for part in slices(batches, "text", SLICE):
+            texts = part.column("text").cast(pa.binary()).to_pylist()
+            columns = [part.column(c) for c in ("doc_id", "id", "row", "check")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(map(squeeze, texts), pa.binary())],
+                names=["doc_id", "id", "row", "check", "z"],
+            )
+
+    return docs.mapInArrow(run, "doc_id bigint, id bigint, row bigint, check bigint, z binary")
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Slices with their texts, as bytes."""
+    expand = zstandard.ZstdDecompressor().decompress
+    for part in slices(batches, "z", SLICE // 3):
+        yield part, pa.array([expand(z) for z in part.column("z").to_pylist()], pa.binary())
+
+
+def _bucketed(anchor: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each anchor and KEY_BITS of it.
+
+    A bucket holds about as many anchors whatever the size of the table, so that many bits leave
+    about one pair of anchors in a bucket that only seem equal; the suffix arrays see through them.
+    """
+    whole = np.uint64(buckets)
+    return (anchor % whole).astype(np.int64), (anchor // whole) & np.uint64((1 << KEY_BITS) - 1)
+
+
 def _runs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
-    """Anchors of texts by bucket, packed: per row the documents and (anchor, document) pairs."""
+    """Anchors of texts by bucket, packed: per row the texts and (anchor, text) pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE):
             anchor, text, _, _, _, _ = anchors(part.column("text"), length)
             ids = part.column("id").to_numpy(zero_copy_only=False)
             rows = part.column("row").to_numpy(zero_copy_only=False)
-            bucket = (anchor % np.uint64(buckets)).astype(np.int64)
+            bucket, key = _bucketed(anchor, buckets)
+            raw = np.ascontiguousarray(key).view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8]
             order = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
             columns: list[list] = [[], [], [], [], []]
@@ -90,7 +126,7 @@ def _runs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                         int(number),
                         ids[used].astype("<i8").tobytes(),
                         rows[used].astype("<i8").tobytes(),
-                        anchor[own].astype("<u8").tobytes(),
+                        raw[own].tobytes(),
                         place.astype("<u2" if len(used) <= 1 << 16 else "<u4").tobytes(),
                     ),
                     strict=True,
@@ -111,28 +147,36 @@ def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Per document of a bucket its anchors that two or more ids have, and their homes.
+    """Per text of a bucket its anchors that texts of two or more ids have, and their homes.
 
-    A home is an id; for anchors of many documents it is -1 and strings go their own ways.
+    A home is a hash of the smallest id; for anchors of very many texts it is -1.
     """
     anchor, doc_id, row = [], [], []
+    width = KEY_BITS // 8
     columns = (table.column(c).to_pylist() for c in ("ids", "rows", "anchors", "places"))
     for ids, rows, packed, places in zip(*columns, strict=True):
-        own = np.frombuffer(packed, "<u8")
+        narrow = np.frombuffer(packed, np.uint8).reshape(-1, width)
+        own = np.zeros((len(narrow), 8), np.uint8)
+        own[:, :width] = narrow
         place = np.frombuffer(places, f"<u{len(places) // len(own)}")
-        anchor.append(own)
+        anchor.append(own.view("<u8").reshape(-1))
         doc_id.append(np.frombuffer(ids, "<i8")[place])
         row.append(np.frombuffer(rows, "<i8")[place])
     anchor, doc_id, row = (np.concatenate(x) for x in (anchor, doc_id, row))
-    order = np.argsort(anchor)
+    # Copies of a text are one row, under its smallest id.
+    order = np.lexsort((doc_id, row, anchor))
     anchor, doc_id, row = anchor[order], doc_id[order], row[order]
+    new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])])
+    anchor, doc_id, row = anchor[new], doc_id[new], row[new]
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     count = np.diff(np.append(first, len(anchor)))
     low, high = np.minimum.reduceat(doc_id, first), np.maximum.reduceat(doc_id, first)
-    home = np.where(count > HOT, -1, mix(low.view(np.uint64)).view(np.int64) & LAST)
+    spread = (mix(low.view(np.uint64)) >> np.uint64(33)).astype(np.int32)
+    home = np.where(count > HOT, np.int32(-1), spread)
     kept = np.repeat(low < high, count)
-    anchor, row, home = anchor[kept], row[kept], np.repeat(home, count)[kept]
-    order = np.lexsort((anchor, row))
+    bucket = np.uint64(table.column("bucket")[0].as_py()) << np.uint64(KEY_BITS)
+    anchor, row, home = anchor[kept] | bucket, row[kept], np.repeat(home, count)[kept]
+    order = np.argsort(row, kind="stable")
     anchor, row, home = anchor[order], row[order], home[order]
     first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else []
     ends = np.append(first, len(row)).astype(np.int64)
@@ -148,11 +192,13 @@ def _shared(table: pa.Table) -> pa.Table:
 _PIECE = ["bucket", "piece", "ids", "rows", "starts"]
 
 
-def _pieces(docs: DataFrame, length: int, buckets: int) -> DataFrame:
+def _pieces(docs: DataFrame, length: int, key_buckets: int, buckets: int) -> DataFrame:
     """Pieces of texts by bucket; equal strings of much-shared anchors are one row per slice."""
 
-    def cut(part: pa.RecordBatch) -> pa.RecordBatch:
-        anchor, text, start, count, data, offsets = anchors(part.column("text"), length)
+    def cut(part: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
+        anchor, text, start, count, data, offsets = anchors(texts, length)
+        number, anchor = _bucketed(anchor, key_buckets)
+        anchor |= number.astype(np.uint64) << np.uint64(KEY_BITS)
         known, homes = part.column("anchors"), part.column("homes")
         owner = np.repeat(np.arange(part.num_rows), np.diff(known.offsets.to_numpy()))
         a, b = known.offsets.to_numpy()[[0, -1]]
@@ -204,8 +250,8 @@ def _pieces(docs: DataFrame, length: int, buckets: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, names=_PIECE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", SLICE):
-            yield cut(part)
+        for part, texts in _unpacked(batches):
+            yield cut(part, texts)
 
     schema = "bucket int, piece binary, ids array<bigint>, rows array<bigint>, starts array<bigint>"
     return docs.mapInArrow(run, schema)
@@ -260,7 +306,7 @@ def _spans_of(length: int):
         most, fewest = np.maximum.reduceat(packed, edge), np.minimum.reduceat(packed, edge)
         whole = np.flatnonzero(ids > most[piece])
         out = [
-            (rows[whole], starts[whole], starts[whole] + sizes[piece[whole]]),
+            (rows[whole], ids[whole], starts[whole], starts[whole] + sizes[piece[whole]]),
         ]
         some = np.flatnonzero((ids > fewest[piece]) & (ids <= most[piece]))
         for at in some:
@@ -269,43 +315,54 @@ def _spans_of(length: int):
             breaks = np.flatnonzero(np.diff(taken) > length)
             a = taken[np.concatenate([[0], breaks + 1])] + starts[at]
             b = taken[np.append(breaks, len(taken) - 1)] + length + starts[at]
-            out.append((np.full(len(a), rows[at]), a, b))
-        row, a, b = (np.concatenate(x) for x in zip(*out, strict=True))
+            out.append((np.full(len(a), rows[at]), np.full(len(a), ids[at]), a, b))
+        columns = (np.concatenate(x) for x in zip(*out, strict=True))
         return pa.table(
-            {"row": pa.array(row, pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}
+            {n: pa.array(c, pa.int64()) for n, c in zip(("row", "id", "a", "b"), columns, strict=True)}
         )
 
     return spans
 
 
-def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, "text", SLICE):
-        kept, spans = [], []
-        texts = part.column("text").cast(pa.binary()).to_pylist()
-        for text, found in zip(texts, part.column("spans").to_pylist(), strict=True):
-            runs: list[list[int]] = []
+def _remove_with(length: int):
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _unpacked(batches):
+            yield _without_spans(part, texts.to_pylist(), length)
+
+    return remove
+
+
+def _without_spans(part: pa.RecordBatch, texts: list[bytes], length: int) -> pa.RecordBatch:
+    kept, spans = [], []
+    copies = part.column("copy").to_pylist()
+    for text, found, copy in zip(texts, part.column("spans").to_pylist(), copies, strict=True):
+        runs: list[list[int]] = []
+        if copy:
+            # A smaller id has the whole text.
+            runs = [[0, len(text)]] if len(text) >= length else []
+        else:
             for span in sorted((s["a"], s["b"]) for s in found or ()):
                 if runs and span[0] <= runs[-1][1]:
                     runs[-1][1] = max(runs[-1][1], span[1])
                 else:
                     runs.append(list(span))
-            at, left = 0, []
-            for a, b in runs:
-                left.append(text[at:a])
-                at = b
-            left.append(text[at:])
-            kept.append(b"".join(left))
-            spans.append([{"a": a, "b": b} for a, b in runs])
-        kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-        yield pa.RecordBatch.from_arrays(
-            [
-                part.column("doc_id"),
-                pa.array([len(t) for t in texts], pa.int64()),
-                pa.array(spans, kind),
-                pa.array(kept, pa.binary()),
-            ],
-            names=["doc_id", "n_bytes", "removed", "kept"],
-        )
+        at, left = 0, []
+        for a, b in runs:
+            left.append(text[at:a])
+            at = b
+        left.append(text[at:])
+        kept.append(b"".join(left))
+        spans.append([{"a": a, "b": b} for a, b in runs])
+    kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+    return pa.RecordBatch.from_arrays(
+        [
+            part.column("doc_id"),
+            pa.array([len(t) for t in texts], pa.int64()),
+            pa.array(spans, kind),
+            pa.array(kept, pa.binary()),
+        ],
+        names=["doc_id", "n_bytes", "removed", "kept"],
+    )
 
 
 def remove_repeats(
@@ -319,23 +376,36 @@ def remove_repeats(
     own = own.select(
         "doc_id",
         F.coalesce("doc_id", F.lit(LAST)).alias("id"),
-        row_hash("doc_id", "text").alias("row"),
+        F.xxhash64("text").alias("row"),
+        F.xxhash64("text", F.lit(1)).alias("check"),
         "text",
     )
-    runs = _runs(own, length, 1 + size // ANCHORS)
-    shared = runs.groupBy("bucket").applyInArrow(
-        _shared, "row bigint, anchors array<bigint>, homes array<bigint>"
+    copies = own.groupBy("row", "check").agg(F.min("id").alias("least"))
+    copies = materialize(copies, "copies")
+    packed = _packed(own)
+    key_buckets = 1 + size // ANCHORS
+    shared = _runs(own, length, key_buckets).groupBy("bucket").applyInArrow(
+        _shared, "row bigint, anchors array<bigint>, homes array<int>"
     )
-    shared = materialize(shared, "anchors")
     per_row = shared.groupBy("row").agg(
         F.flatten(F.collect_list("anchors")).alias("anchors"),
         F.flatten(F.collect_list("homes")).alias("homes"),
     )
-    pieces = _pieces(own.join(per_row, "row"), length, 1 + size // PIECES)
+    first = per_row.join(copies.select("row", F.col("least").alias("id")), "row")
+    pieces = _pieces(
+        packed.join(first, ["row", "id"]), length, key_buckets, 1 + size // PIECES
+    )
     spans = materialize(
-        pieces.groupBy("bucket").applyInArrow(_spans_of(length), "row bigint, a bigint, b bigint"),
+        pieces.groupBy("bucket").applyInArrow(
+            _spans_of(length), "row bigint, id bigint, a bigint, b bigint"
+        ),
         "spans",
     )
-    per_row = spans.groupBy("row").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    per_text = spans.groupBy("row", "id").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    verdict = copies.join(per_text.withColumnRenamed("id", "least"), ["row", "least"], "left")
     schema = "doc_id bigint, n_bytes bigint, removed array<struct<a:bigint,b:bigint>>, kept binary"
-    return own.join(per_row, "row", "left").select("doc_id", "text", "spans").mapInArrow(_remove, schema)
+    return (
+        packed.join(verdict, ["row", "check"])
+        .select("doc_id", "z", "spans", (F.col("id") > F.col("least")).alias("copy"))
+        .mapInArrow(_remove_with(length), schema)
+    )

@@ -80,7 +80,7 @@ class Words:
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string array, without copying; nulls count as empty."""
     if texts.null_count:
-        texts = texts.fill_null("")
+        texts = texts.fill_null(b"" if pa.types.is_binary(texts.type) else "")
     wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
     kind = np.int64 if wide else np.int32
     _, offsets, data = texts.buffers()
