@@ -9,7 +9,7 @@ from queries import fixtures as fx
 from queries import gold
 from queries.features import HOLIDAYS
 from queries.registry import query, rounded, table, with_ctes
-from slotcast.config import MODEL_ADDITIVE, MODEL_LOCAL, TreeParams
+from slotcast.config import MODEL_ADDITIVE, MODEL_LOCAL
 from slotcast.operators import features as fe
 from slotcast.operators import kpis as kp
 from slotcast.operators.checks import QualityCheckError
@@ -19,8 +19,6 @@ from slotcast.session import scratch_path
 from slotcast.sources.store import TableStore
 
 S = fx.SETTINGS
-# Fewer trees than by default, so that the driver's run stays short.
-QUICK = replace(S, trees=TreeParams(trees=8, depth=5, rate=0.3))
 TRAINED_AT = "2024-01-31T00:00:00+00:00"
 
 
@@ -148,8 +146,8 @@ def offsets(spark, sf):
 @query("model_global_score")
 def global_score(spark, sf):
     train, test = fx.split(spark, sf)
-    model = registry.fit(QUICK.candidates[1], train, QUICK, TRAINED_AT)
-    rows = model.score(test, QUICK).select("entity", "ts_local", "wait_time", "yhat", "lo", "hi")
+    model = registry.fit(S.candidates[1], train, S, TRAINED_AT)
+    rows = model.score(test, S).select("entity", "ts_local", "wait_time", "yhat", "lo", "hi")
     return rounded(rows, "yhat", "lo", "hi", digits=4)
 
 
@@ -215,8 +213,8 @@ def contracts(spark, sf):
     """Each family answers every row of the entities it fits, with bounds in order."""
     train, test = fx.split(spark, sf)
     out = None
-    for name in QUICK.model_order:
-        scored = registry.fit(name, train, QUICK, TRAINED_AT).score(test, QUICK)
+    for name in S.model_order:
+        scored = registry.fit(name, train, S, TRAINED_AT).score(test, S)
         row = scored.agg(
             F.lit(name).alias("model"),
             F.count(F.lit(1)).alias("rows"),
@@ -302,7 +300,7 @@ def expired_runs(spark, sf):
 # ---- the whole run ------------------------------------------------------------------
 
 # Some units are too short at a small scale for a model of their own.
-WEEKLY = replace(QUICK, min_entities=10, min_train_rows=30)
+WEEKLY = replace(S, min_entities=10, min_train_rows=30)
 
 
 def _run(spark, store, now):
@@ -404,8 +402,8 @@ def degraded_forecasts(spark, sf):
 def candidates_kpis(spark, sf):
     """KPIs of the four real families on the same test rows."""
     silver = fx.silver(spark, sf)
-    train, test = fe.chrono_split(silver, QUICK)
+    train, test = fe.chrono_split(silver, S)
     run = _run(spark, TableStore(spark, scratch_path(spark, "store")), fx.NOW_UTC)
-    models = [registry.fit(n, train, QUICK, TRAINED_AT) for n in QUICK.model_order]
+    models = [registry.fit(n, train, S, TRAINED_AT) for n in S.model_order]
     scored = weekly.score_models(run, models, train, test)
-    return kp.compute_kpis(scored, QUICK)
+    return kp.compute_kpis(scored, S)

@@ -6,6 +6,8 @@ same fit as on the rows, and every pass of the booster reads cells instead of ro
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -19,6 +21,9 @@ from slotcast.operators.models import cells
 from slotcast.session import materialize, shared_root
 
 CATEGORIES = ("park_name", "ride_key")
+POSITIONS = ["hour", "minute", "dayofweek", "month", "is_holiday"]
+#: Each tree runs a job per level, so small partitions cost more than they save.
+CELLS_PER_PARTITION = 50_000
 
 
 def category_index(train: DataFrame, column: str) -> DataFrame:
@@ -35,9 +40,8 @@ def apply_category(rows: DataFrame, codes: DataFrame, column: str) -> DataFrame:
 
 def calendar_cells(train: DataFrame) -> DataFrame:
     """Counts and sums per site, unit and calendar position."""
-    positions = ["hour", "minute", "dayofweek", "month", "is_holiday"]
-    derived = [c for c in CALENDAR_FEATURES if c not in positions]
-    grouped = build_features(train).groupBy(*CATEGORIES, *positions)
+    derived = [c for c in CALENDAR_FEATURES if c not in POSITIONS]
+    grouped = build_features(train).groupBy(*CATEGORIES, *POSITIONS)
     # The derived features are functions of the position, so any of their values is theirs.
     return grouped.agg(*cells.sums(), *(F.first(c).alias(c) for c in derived)).withColumn(
         "label", F.col("total") / F.col("n")
@@ -51,9 +55,11 @@ def fit(train: DataFrame, settings: Settings) -> PipelineModel:
     number of categories of any size is split as one number, and no label reaches the driver.
     """
     shared_root(train.sparkSession)
-    data = materialize(calendar_cells(train), "global-cells")
     params = settings.trees
-    data = with_means(data, unit_means(train))
+    data = materialize(with_means(calendar_cells(train), unit_means(train)), "global-cells")
+    # Row samples go by position, so a fixed order makes the fit repeatable.
+    few = data.coalesce(max(1, math.ceil(data.count() / CELLS_PER_PARTITION)))
+    few = few.sortWithinPartitions(*CATEGORIES, *POSITIONS)
     inputs = [f"{c}_mean" for c in CATEGORIES] + CALENDAR_FEATURES
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
     booster = GBTRegressor(
@@ -69,7 +75,7 @@ def fit(train: DataFrame, settings: Settings) -> PipelineModel:
         maxBins=64,
         checkpointInterval=10,
     )
-    return Pipeline(stages=[assembler, booster]).fit(data)
+    return Pipeline(stages=[assembler, booster]).fit(few)
 
 
 def unit_means(train: DataFrame) -> dict[str, DataFrame]:

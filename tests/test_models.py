@@ -5,7 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from slotcast.config import MODEL_ADDITIVE, MODEL_GLOBAL, MODEL_LOCAL
+from queries import models as registered
+from slotcast.config import MODEL_ADDITIVE, MODEL_GLOBAL, MODEL_LOCAL, TreeParams
 from slotcast.operators import features as fe
 from slotcast.operators import kpis as kp
 from slotcast.operators.models import additive, baseline, cells, global_trees, local_effects, registry
@@ -133,6 +134,11 @@ def test_category_codes(spark):
     assert coded == {"c": 2, "z": None}
 
 
+def test_registered_queries_fit_the_documented_trees():
+    assert registered.S.trees == registered.WEEKLY.trees == TreeParams()
+    assert not hasattr(registered, "QUICK")
+
+
 @pytest.mark.parametrize("name", [MODEL_ADDITIVE, MODEL_GLOBAL, MODEL_LOCAL])
 def test_saved_models_score_the_same(spark, data, scratch, name):
     train, test = data
