@@ -24,6 +24,8 @@ CATEGORIES = ("park_name", "ride_key")
 POSITIONS = ["hour", "minute", "dayofweek", "month", "is_holiday"]
 #: Each tree runs a job per level, so small partitions cost more than they save.
 CELLS_PER_PARTITION = 50_000
+#: MLlib squares the number of bins in 32 bits.
+MOST_BINS = 46_340
 
 
 def category_index(train: DataFrame, column: str) -> DataFrame:
@@ -51,16 +53,19 @@ def calendar_cells(train: DataFrame) -> DataFrame:
 def fit(train: DataFrame, settings: Settings) -> PipelineModel:
     """Fit the pipeline. Site and unit enter as the mean of their training rows.
 
-    For squared loss the best split of categories is a cut in the order of their means, so a
-    number of categories of any size is split as one number, and no label reaches the driver.
+    For squared loss the best split of categories is a cut in the order of their means, so
+    categories are split as one number, and no label reaches the driver. Bins follow the number of
+    distinct means, so any two of them can be told apart; more than ``MOST_BINS`` are refused.
     """
     shared_root(train.sparkSession)
     params = settings.trees
     data = materialize(with_means(calendar_cells(train), unit_means(train)), "global-cells")
     # Row samples go by position, so a fixed order makes the fit repeatable.
-    few = data.coalesce(max(1, math.ceil(data.count() / CELLS_PER_PARTITION)))
+    means = [f"{c}_mean" for c in CATEGORIES]
+    size = data.agg(F.count(F.lit(1)).alias("n"), *(F.count_distinct(m).alias(m) for m in means)).first()
+    few = data.coalesce(max(1, math.ceil(size["n"] / CELLS_PER_PARTITION)))
     few = few.sortWithinPartitions(*CATEGORIES, *POSITIONS)
-    inputs = [f"{c}_mean" for c in CATEGORIES] + CALENDAR_FEATURES
+    inputs = means + CALENDAR_FEATURES
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
     booster = GBTRegressor(
         featuresCol="features",
@@ -72,12 +77,24 @@ def fit(train: DataFrame, settings: Settings) -> PipelineModel:
         subsamplingRate=params.row_sample,
         featureSubsetStrategy=str(params.column_sample),
         seed=params.seed,
-        maxBins=64,
+        maxBins=bins_for(size["n"], max(size[m] for m in means)),
         checkpointInterval=10,
     )
     return Pipeline(stages=[assembler, booster]).fit(few)
 
 
+def bins_for(n_cells: int, distinct: int) -> int:
+    """Bins that hold every distinct value of a feature.
+
+    MLlib looks for thresholds in a sample of about bins * bins cells, so the square must cover
+    all cells, or a unit of few cells might be left out.
+    """
+    bins = max(64, distinct + 1, math.isqrt(n_cells) + 1)
+    if bins > MOST_BINS:
+        raise ValueError(f"{bins} bins are needed to keep all units apart, {MOST_BINS} are possible")
+    return bins
+
+
 def unit_means(train: DataFrame) -> dict[str, DataFrame]:
     """Mean of each category's training rows, by column."""
     return {

@@ -139,6 +139,20 @@ def test_registered_queries_fit_the_documented_trees():
     assert not hasattr(registered, "QUICK")
 
 
+def test_trees_tell_more_units_apart_than_64(spark):
+    """One deep tree has a leaf for each of 200 levels, also for a unit of one row among many."""
+    hours = [f"2026-01-{d:02}T{h:02}:00:00" for d in (5, 6) for h in (9, 11, 13, 15, 17, 19)]
+    rows = [("North", f"u{u:03}", t, 3 * u) for u in range(200) for t in (hours if u else hours[:1])]
+    whole = TreeParams(trees=1, depth=8, rate=1.0, row_sample=1.0, column_sample=1.0)
+    settings, train = replace(SETTINGS, trees=whole), materialize(silver(spark, rows), "units")
+    scored = registry.fit(MODEL_GLOBAL, train, settings, TRAINED).score(train, settings)
+    assert scored.select("yhat").distinct().count() == 200
+    assert scored.agg(F.max(F.abs(F.col("yhat") - F.col("wait_time")))).first()[0] < 1e-6
+    assert global_trees.bins_for(10**6, 109) ** 2 >= 10**6 and global_trees.bins_for(10, 5000) > 5000
+    with pytest.raises(ValueError, match="bins"):
+        global_trees.bins_for(10, 50_000)
+
+
 @pytest.mark.parametrize("name", [MODEL_ADDITIVE, MODEL_GLOBAL, MODEL_LOCAL])
 def test_saved_models_score_the_same(spark, data, scratch, name):
     train, test = data
