@@ -24,19 +24,33 @@ from pyspark.sql import functions as F
 from slotcast.session import materialize
 
 EDGE, END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+#: What may stand between two digits of a phone number, while brackets may open and after that.
+CLOSED = r"(?:\)?[ .\u00a0/-]?)"
+OPEN = r"(?:\)?[ .\u00a0/-]?\(?)"
+NUMBER = (
+    r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
+    r"|[0-9]{3}-[0-9]{2}-[0-9]{4})"
+)
+#: No address, number or national phone number begins after a space.
+OTHER = (
+    r"(?! (?:(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[\p{L}\p{N}])|(?:" + NUMBER
+    + r"|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})" + END + "))"
+)
+#: Country codes of one and two digits; all others have three.
+COUNTRY = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 #: Patterns by type; the first that matches at a place wins.
 PATTERNS = {
     "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
     "ip": EDGE + r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}" + END,
+    # After a plus sign 7 to 15 digits in any groups, with North America's 10 after its 1; where they
+    # could end, another entity is not taken in. Else the national forms of North America.
     "phone": (
-        r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,8}"
-        + r"(?:(?<sep>[ .-])[0-9]{2,8}(?:\k<sep>[0-9]{2,8}){0,2})?" + END
-        + r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}" + END
-        + "|" + EDGE + r"[0-9]{3}-[0-9]{3}-[0-9]{4}" + END
-    ),
-    "number": (
-        EDGE + r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{3}-[0-9]{2}-[0-9]{4})" + END
+        r"\+1(?:" + OPEN + r"[0-9]){10}" + END
+        + r"|\+[0-9](?:" + OPEN + r"[0-9]){6}(?:" + OTHER + CLOSED + r"[0-9]){0,8}" + END
+        + r"|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}" + END
+        + "|" + EDGE + r"[0-9]{3}(?<sep>[.-])[0-9]{3}\k<sep>[0-9]{4}" + END
     ),
+    "number": EDGE + NUMBER + END,
     "account": EDGE + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?" + END,
     "secret": EDGE + r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})" + END,
     "name": (
@@ -88,13 +102,10 @@ def kind(mention: Column) -> Column:
 def canonical(mention: Column, what: Column) -> Column:
     """What spellings of one entity share."""
     digits = F.regexp_replace(mention, r"[^0-9]", "")
-    # The country's part stays apart; numbers without one are taken as North American.
-    country = F.regexp_extract(mention, r"^\+([0-9]{1,3})[^0-9]", 1)
-    local = F.substring(digits, F.length(country) + 1, F.length(digits))
-    phone = (
-        F.when(~mention.startswith("+"), F.concat(F.lit("1 "), digits))
-        .when(country == "", digits)
-        .otherwise(F.concat(country, F.lit(" "), local))
+    # The country's part stays apart, however the digits are grouped; numbers without one are
+    # taken as North American.
+    phone = F.when(~mention.startswith("+"), F.concat(F.lit("1 "), digits)).otherwise(
+        F.regexp_replace(digits, COUNTRY, "$1 ")
     )
     return (
         F.when(what == "phone", phone)

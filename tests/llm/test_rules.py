@@ -97,6 +97,32 @@ def test_surrogates_keep_type_format_and_identity(spark):
     assert pii.replace_pii(frame(spark, []), "k").count() == 0
 
 
+PHONES = [
+    "+447911123456", "+919876543210", "+33 6 12 34 56 78", "+46 8 123 456 78", "+49 30 12 34 56 78",
+    "555.123.4567", "(555) 123 4567", "+49 (30) 123456", "+33.6.12.34.56.78", "+683 4002",
+    "+15551234567", "+1 555 123 4567", "3782 822463 10005", "3782-822463-10005",
+]
+
+
+def test_numbers_of_all_groupings_are_replaced_whole(spark):
+    texts = [f"at {phone}{end}" for phone in PHONES for end in ("", ", 7 of them", " 190.137.223.204")]
+    got = pii.replace_pii(frame(spark, [(k, t, "s") for k, t in enumerate(texts)]), "k").collect()
+    one = {}
+    for r in got:
+        before, phone = texts[r.doc_id], PHONES[r.doc_id // 3]
+        assert r.n_entities == 1 + (r.doc_id % 3 == 2), before
+        after = r.text[3 : 3 + len(phone)]
+        assert re.sub("[0-9]", "0", after) == re.sub("[0-9]", "0", phone) and after != phone, (before, r.text)
+        assert r.text[:3] == "at " and (r.doc_id % 3 == 2 or r.text.endswith(before[3 + len(phone) :]))
+        one.setdefault(phone, set()).add(after)
+    assert all(len(v) == 1 for v in one.values())
+    bare = {p: re.sub("[^0-9]", "", min(one[p])) for p in PHONES}
+    assert bare["+15551234567"] == bare["+1 555 123 4567"] == "1" + bare["555.123.4567"]
+    clean = ["up +12.5 or +1234", "items 1 - 1000 at 3.14.15", "2024-01-02 to 2025-02-03", "+" + "1" * 25]
+    kept = pii.replace_pii(frame(spark, [(k, t, "s") for k, t in enumerate(clean)]), "k")
+    assert {r.text for r in kept.collect()} == set(clean)
+
+
 def test_surrogates_are_distinct_and_not_real(spark, monkeypatch):
     """All single digits are taken, so theirs have to be longer."""
     monkeypatch.setattr(pii, "LONGER", 1)
