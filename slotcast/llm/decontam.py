@@ -12,8 +12,8 @@ threshold without ``threshold - slack`` from the others. Only passages in which
 that much from its other terms are queried.
 
 A retrieved item is confirmed on words: those in five-word windows shared with the passage must
-make up ``overlap`` of the item and ``part_overlap`` of its question (all sentences but the last)
-and of its answer (the last one, if there are several).
+make up ``overlap`` of the item, or ``part_overlap`` of its question (all sentences but the last)
+and of its answer (the last one, if there are several). So an item without its short answer is found.
 
 Items are indexed in blocks of ``block_items``, each broadcast (its size is bounded by that number
 and checked against ``block_bytes``) and run against all texts. Term statistics are those of all
@@ -262,7 +262,7 @@ def _search(docs: DataFrame, index: Index, rule: Rule) -> DataFrame:
                     terms = sorted({number[w] for w in own if w in number})
                     for place, score in block_max_wand(index, terms, rule.threshold):
                         whole, question, answer = overlaps(index.items[place], own)
-                        if whole >= rule.overlap and min(question, answer) >= rule.part_overlap:
+                        if whole >= rule.overlap or min(question, answer) >= rule.part_overlap:
                             rows.append((ids[text], index.items[place].name, score, question, answer))
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())

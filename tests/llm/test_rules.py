@@ -42,6 +42,22 @@ def test_leaks_are_found_and_clean_texts_left(spark):
     assert decontam.leaks(frame(spark, []), bench).count() == 0
 
 
+def test_leaks_without_their_end_or_beginning_are_found(spark):
+    import random
+
+    draw = random.Random(4)
+    words = [[f"w{k}x{i}" for i in range(58)] for k in range(4)]
+    texts = [" ".join(w[:30]) + ". " + " ".join(w[30:57]) + f". {w[57]}." for w in words]
+    bench = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    parts = [words[0][:57], words[1][8:57], words[2][:57][:40], words[3][25:]]
+    docs = [(k, f"{sentence(draw, 40)} {' '.join(p)} {sentence(draw, 40)}", "s") for k, p in enumerate(parts)]
+    # Documents 2 and 3 hold too little of their items.
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(frame(spark, docs), bench).collect()}
+    assert got == {(0, 0), (1, 1)}
+    left = decontam.keep_unleaked(frame(spark, docs), bench)
+    assert sorted(r.doc_id for r in left.collect()) == [2, 3]
+
+
 def test_block_max_wand_finds_what_scoring_all_items_finds():
     import random
 
