@@ -62,3 +62,115 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     NOT (short OR repeats) AND rid NOT IN (SELECT rid FROM rejected) AS kept
 FROM failed
 """
+
+OP11_SQL = r"""
+WITH vectors AS (
+    SELECT row_number() OVER () AS rid, vec_id,
+        CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.rid AS anchor, a.vec_id AS anchor_id, c.rid, c.vec_id, a.label = c.label AS same,
+        CAST(list_inner_product(a.q, c.q) AS BIGINT) AS score
+    FROM vectors a JOIN vectors c ON a.rid <> c.rid
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor, anchor_id, rid AS positive, vec_id AS positive_id, score AS positive_score
+    FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+    CAST(row_number() OVER (
+        PARTITION BY p.anchor, p.positive ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+    n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n USING (anchor)
+WHERE NOT n.same AND 30 * p.positive_score <= 100 * n.score
+    AND 100 * n.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""
+
+OP12_SQL = r"""
+WITH own AS (
+    SELECT doc_id,
+        sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+    FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id) = 1 AS kept, text_sha256
+FROM own WINDOW same AS (PARTITION BY text_sha256)
+"""
+
+_CRC32 = """list_reduce(
+    list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda held, byte: list_reduce(range(8), lambda bits, k:
+        xor(bits >> 1, CASE WHEN bits & 1 = 1 THEN 3988292384 ELSE 0 END), xor(held, byte)),
+    4294967295)"""
+
+
+def _leaf(n_chars: str) -> str:
+    framed = [
+        f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+        for c in ("doc_id", "source", "lang", n_chars, "text")
+    ]
+    return f"sha256({' || '.join(framed)})"
+
+
+def _tree(name: str, start: str) -> str:
+    return f"""{name} AS (
+    {start}
+    UNION ALL
+    SELECT tree, lvl + 1, pos // 2, (max(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM {name} WHERE n > 1 GROUP BY tree, lvl, pos // 2
+)"""
+
+
+def _steps(nodes: str, tree: str, pos: str, first: int) -> str:
+    """Per row and level: where the other node stands, and its digest or nothing."""
+    return f"""SELECT rid, {first} + own.lvl AS nth,
+        CASE WHEN (CAST({pos} AS BIGINT) >> own.lvl) & 1 = 1 THEN 'L' ELSE 'R' END
+            || coalesce(other.digest, '') AS step
+    FROM placed
+    JOIN (SELECT DISTINCT tree, CAST(lvl AS INTEGER) AS lvl FROM {nodes} WHERE n > 1) own
+        ON own.tree = {tree}
+    LEFT JOIN {nodes} other ON other.tree = own.tree AND other.lvl = own.lvl
+        AND other.pos = xor(CAST({pos} AS BIGINT) >> own.lvl, CAST(1 AS BIGINT))"""
+
+
+OP13_SQL = f"""
+WITH RECURSIVE claims AS (
+    SELECT *, {_leaf("n_chars")} AS leaf, {_leaf("claim")} AS claimed
+    FROM (SELECT *, n_chars + CASE WHEN xor({_CRC32}, 4294967295) % 7 = 0 THEN 1 ELSE 0 END AS claim
+          FROM documents)
+), placed AS (
+    SELECT row_number() OVER () AS rid, doc_id, leaf, claimed,
+        dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+        count(*) OVER (PARTITION BY lang) AS n
+    FROM claims
+), {_tree("nodes", "SELECT tree, 0 AS lvl, pos, n, leaf AS digest FROM placed")
+}, {_tree("tops", '''SELECT 0 AS tree, 0 AS lvl, tree AS pos, count(*) OVER () AS n, digest
+    FROM nodes WHERE n = 1''')
+}, steps AS (
+    {_steps("nodes", "placed.tree", "placed.pos", 0)}
+    UNION ALL
+    {_steps("tops", "0", "placed.tree", 100)}
+), paths AS (
+    SELECT rid, list(step ORDER BY nth) AS path FROM steps GROUP BY rid
+), whole AS (
+    SELECT doc_id, leaf, claimed, sub.digest AS subroot,
+        (SELECT digest FROM tops WHERE n = 1) AS root,
+        coalesce(path, CAST([] AS VARCHAR[])) AS path
+    FROM placed JOIN (SELECT tree, digest FROM nodes WHERE n = 1) sub USING (tree)
+    LEFT JOIN paths USING (rid)
+), folds AS (
+    SELECT *, list_reduce(path, lambda held, step: sha256(CASE WHEN step[1] = 'L'
+        THEN step[2:] || held ELSE held || step[2:] END), claimed) AS folded_root
+    FROM whole
+)
+SELECT doc_id, leaf, subroot, root,
+    sha256(array_to_string(list_transform(path, lambda step: step[2:]), '')) AS proof_sha256,
+    folded_root, folded_root = root AS verified
+FROM folds
+"""

@@ -6,13 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm import quality, sharding
+from slotcast.llm import merkle, negatives, quality, sharding
 from slotcast.llm.bpe_codec import encode_decode
 from slotcast.llm.common import read
 from slotcast.llm.decontam import leaks
+from slotcast.llm.exact_dedup import exact_duplicates
 from slotcast.llm.html_crf import extract
 from slotcast.llm.minhash import Scheme, near_duplicates
-from slotcast.llm.oracles import OP8_SQL
+from slotcast.llm.oracles import OP8_SQL, OP11_SQL, OP12_SQL, OP13_SQL
 from slotcast.llm.pii import replace_pii
 from slotcast.llm.rans import read_tokens, write_tokens
 from slotcast.llm.suffix_dedup import remove_repeats
@@ -109,6 +110,35 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = exact_duplicates(read(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    picked = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    longer = (F.col("n_chars").cast("decimal(38,0)") + 1).cast("string")
+    tampered = F.when(picked, longer).otherwise(F.col("n_chars").cast("string"))
+    rows = merkle.manifest(read(spark, sf_dir, "documents"), claim={"n_chars": tampered})
+    return rows.withColumn("folded_root", merkle.folded("claimed", "path")).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings("path"), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_bpe": op2_bpe,
@@ -120,5 +150,13 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_html": op10_html,
+    "op11_negatives": op11_negatives,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_merkle": op13_merkle,
+}
+ORACLES = {
+    "op8_quality": OP8_SQL,
+    "op11_negatives": OP11_SQL,
+    "op12_exact_dedup": OP12_SQL,
+    "op13_merkle": OP13_SQL,
 }
-ORACLES = {"op8_quality": OP8_SQL}
