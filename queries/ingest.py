@@ -15,6 +15,7 @@ from slotcast.operators import ingest as ing
 from slotcast.plans.ingest_run import run_ingest
 from slotcast.schemas import BRONZE, LANDING_COLUMNS
 from slotcast.sources import upstream as up
+from slotcast.sources.bronze import Bronze
 from slotcast.sources.landing import land_batch, read_batch
 from slotcast.session import scratch_path
 
@@ -210,16 +211,50 @@ def capped_batch_small(spark, sf):
     return up.read_since(fact, units, sites, _mark(fact, 0.5), 1000)
 
 
-@query("ingest_drain", with_ctes([UP], "SELECT * REPLACE (wait_time_id + 1 AS wait_time_id) FROM up"))
-def drain(spark, sf):
-    """Bronze after an ingest run that drains the whole upstream in several transfers.
+MOVED = with_ctes([UP], "SELECT * REPLACE (wait_time_id + 1 AS wait_time_id) FROM up")
+
+
+def _drained(spark, sf, shares):
+    """Bronze after one drain for each share of the id range that the upstream held at the time.
 
     The mark of an empty bronze is 0 and the predicate is strict, so the ids are moved by one.
     """
     bronze, landing = scratch_path(spark, "bronze"), scratch_path(spark, "landing")
     fact, units, sites = _tables(spark, sf)
     top = fact.agg(F.max("wait_time_id")).first()[0] or 0
-    settings = replace(fx.SETTINGS, batch_rows=1 + top // 3)
+    settings = replace(fx.SETTINGS, batch_rows=1 + top // 3, bronze_range_ids=1 + top // 5)
     moved = fact.withColumn("wait_time_id", F.col("wait_time_id") + 1)
-    run_ingest(spark, (moved, units, sites), bronze, landing, settings, fx.NOW_UTC, drain=True)
+    for share in shares:
+        known = moved.where(F.col("wait_time_id") <= int(top * share) + 1)
+        run_ingest(spark, (known, units, sites), bronze, landing, settings, fx.NOW_UTC, drain=True)
     return spark.read.schema(BRONZE).parquet(bronze).select(*LANDING_COLUMNS)
+
+
+@query("ingest_drain", MOVED)
+def drain(spark, sf):
+    """The whole upstream through the stream of ids, as one batch."""
+    return _drained(spark, sf, [1])
+
+
+@query("ingest_drain_resumed", MOVED)
+def drain_resumed(spark, sf):
+    """Three drains of a growing upstream; each goes on where the checkpoint of the last one ends."""
+    return _drained(spark, sf, [0.4, 0.41, 1])
+
+
+@query("io_bronze_ranges", with_ctes(CTES, """SELECT batch.* FROM batch, marks
+    WHERE wait_time_id <= most"""))
+def bronze_ranges(spark, sf):
+    """Two overlapping transfers merged into folders of ids; the read names the folders it needs."""
+    low, high = _tables(spark, sf)[0].agg(
+        F.floor(F.max("wait_time_id") * 0.5) + 1, F.floor(F.max("wait_time_id") * 0.75)
+    ).first()
+    bronze = Bronze(spark, scratch_path(spark, "bronze"), 1 + high // 7)
+    bronze.ensure()
+    for rows in (_target(spark, sf), _batch(spark, sf)):
+        path = land_batch(rows, scratch_path(spark, "landing"), 0, fx.NOW_UTC)
+        landed = ing.stamp_ingested(read_batch(spark, path), fx.INGESTED)
+        span = ing.batch_range(landed).first()
+        if span["rows"]:
+            bronze.merge(landed, span["low"], span["high"])
+    return bronze.between(low, high).select(*LANDING_COLUMNS)

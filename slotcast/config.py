@@ -97,6 +97,8 @@ class Settings:
 
     # Rows of one ingest transfer; None reads the whole backlog in one parallel job.
     batch_rows: int | None = 200_000
+    # Ids of one bronze folder; fixed for the life of a table.
+    bronze_range_ids: int = 10_000_000
     chunk_rows: int = 5_000
     retain_runs: int = 4
 

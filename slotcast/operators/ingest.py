@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotcast.functions.clock import naive
-from slotcast.schemas import BRONZE, BRONZE_COLUMNS
+from slotcast.schemas import BRONZE_COLUMNS
 
 
 def high_water(df: DataFrame, name: str = "mark") -> DataFrame:
@@ -25,7 +25,7 @@ def batch_range(batch: DataFrame) -> DataFrame:
 
 
 def gap_report(upstream: DataFrame, bronze: DataFrame) -> DataFrame:
-    """How many ids bronze is behind; writes nothing."""
+    """How many ids bronze is behind; writes nothing. Of bronze the newest rows are enough."""
     mark = high_water(bronze).scalar()
     return high_water(upstream, "upstream_max").select(
         mark.alias("mark"),
@@ -57,12 +57,6 @@ def merge(batch: DataFrame, bronze: DataFrame, low: int | Column | None = None)
     return bronze.unionByName(new_rows(batch, bronze, low))
 
 
-def append_new(batch: DataFrame, bronze_path: str, low: int) -> None:
-    """Append the unseen rows of a stamped batch to bronze. Safe to repeat."""
-    bronze = batch.sparkSession.read.schema(BRONZE).parquet(bronze_path)
-    new_rows(batch, bronze, low).write.mode("append").parquet(bronze_path)
-
-
 def ingest_summary(bronze: DataFrame) -> DataFrame:
     return bronze.agg(
         F.count(F.lit(1)).alias("rows"), F.max("wait_time_id").alias("max_id")

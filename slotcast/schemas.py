@@ -47,6 +47,9 @@ CHECK = _struct(
     "passed BOOLEAN, message STRING"
 )
 
+#: Folder that a bronze row is stored in.
+ID_RANGE = "id_range"
+
 PROVENANCE = ["run_id", "run_status", "generated_at", "model_trained_at"]
 LANDING_COLUMNS = LANDING.fieldNames()
 BRONZE_COLUMNS = BRONZE.fieldNames()

@@ -35,6 +35,55 @@ def read_jdbc(
     return reader.options(**(options or {})).load()
 
 
+class Frames:
+    """The upstream as three DataFrames. A range of ids reaches the scan as a pushed filter."""
+
+    def __init__(self, fact: DataFrame, units: DataFrame, sites: DataFrame):
+        self.fact, self.units, self.sites = fact, units, sites
+
+    def top(self) -> int:
+        """Highest id, 0 when there is none: one scan of the id column."""
+        return self.fact.agg(F.max("wait_time_id")).first()[0] or 0
+
+    def facts(self, low: int, high: int) -> DataFrame:
+        return self.fact.where(F.col("wait_time_id").between(low, high))
+
+
+class Jdbc:
+    """The upstream behind JDBC. Each read of facts is split evenly over the ids that it asks for."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        url: str,
+        tables: tuple[str, str, str] = ("wait_times", "attractions", "themeparks"),
+        options: dict[str, str] | None = None,
+        partitions: int = 32,
+    ):
+        self.spark, self.url, self.tables = spark, url, tables
+        self.options, self.partitions = options or {}, partitions
+
+    @property
+    def units(self) -> DataFrame:
+        return read_jdbc(self.spark, self.url, self.tables[1], self.options)
+
+    @property
+    def sites(self) -> DataFrame:
+        return read_jdbc(self.spark, self.url, self.tables[2], self.options)
+
+    def top(self) -> int:
+        """Asked of the database, which answers with one row."""
+        asked = f"(SELECT max(wait_time_id) AS top FROM {self.tables[0]}) newest"
+        return read_jdbc(self.spark, self.url, asked, self.options).first()[0] or 0
+
+    def facts(self, low: int, high: int) -> DataFrame:
+        rows = read_jdbc(
+            self.spark, self.url, self.tables[0], self.options, "wait_time_id", (low, high + 1),
+            self.partitions,
+        )
+        return rows.where(F.col("wait_time_id").between(low, high))
+
+
 def coerce_landing(df: DataFrame) -> DataFrame:
     """The seven landing columns, typed.
 
@@ -92,29 +141,9 @@ def read_since(
     return near.orderBy("wait_time_id").limit(batch_rows)
 
 
-def id_ranges(
-    fact: DataFrame, mark: int, width: int | None = None
-) -> list[tuple[int, int]]:
-    """Ranges of ids above the mark that hold rows, in order; one range without a width.
-
-    One scan of the id column, combined inside each task. The driver gets one number for each
-    transfer that the caller will make.
-    """
-    ids = fact.where(F.col("wait_time_id") > mark).select("wait_time_id")
-    if width is None:
-        top = ids.agg(F.max("wait_time_id")).first()[0]
-        return [] if top is None else [(mark + 1, top)]
-    parts = ids.select(F.expr(f"wait_time_id div {width}").alias("part")).distinct().collect()
-    return [
-        (max(mark + 1, p * width), p * width + width - 1) for p in sorted(r["part"] for r in parts)
-    ]
-
-
-def read_range(
-    fact: DataFrame, units: DataFrame, sites: DataFrame, low: int, high: int
-) -> DataFrame:
-    """Observations with ids from ``low`` to ``high``; the range reaches the scan."""
-    return observations(fact.where(F.col("wait_time_id").between(low, high)), units, sites)
+def read_range(source: Frames | Jdbc, low: int, high: int) -> DataFrame:
+    """Observations with ids from ``low`` to ``high``."""
+    return observations(source.facts(low, high), source.units, source.sites)
 
 
 def batch_bound(rows: DataFrame, batch_rows: int) -> Column:

@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from slotcast.config import Settings
 from slotcast.functions import clock
 from slotcast.operators import ingest as ing
-from slotcast.schemas import BRONZE, LANDING, LANDING_COLUMNS
+from slotcast.schemas import LANDING, LANDING_COLUMNS
+from slotcast.session import materialize
+from slotcast.sources.bronze import Bronze
 
 
 def read_landing(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
@@ -21,11 +24,6 @@ def read_landing(spark: SparkSession, landing: str, max_files: int | None = None
     return reader.parquet(landing).select(*LANDING_COLUMNS)
 
 
-def ensure_bronze(spark: SparkSession, path: str) -> None:
-    """An empty, typed bronze table if there is none."""
-    spark.createDataFrame([], BRONZE).write.mode("ignore").parquet(path)
-
-
 def drain_to_bronze(
     spark: SparkSession,
     landing: str,
@@ -33,18 +31,22 @@ def drain_to_bronze(
     checkpoint: str,
     now_utc: datetime | None = None,
     max_files: int | None = None,
+    range_ids: int = Settings().bronze_range_ids,
 ) -> StreamingQuery:
     """Merge everything that has landed into bronze, a few files at a time, and stop.
 
     Each batch goes through the insert-only merge, so a batch that is run again after a
     failure, or a file that lands twice, adds nothing.
     """
-    ensure_bronze(spark, bronze)
+    table = Bronze(spark, bronze, range_ids)
+    table.ensure()
 
     def merge_batch(batch: DataFrame, _epoch: int) -> None:
-        low = batch.agg(F.min("wait_time_id")).first()[0]
-        if low is not None:
-            ing.append_new(ing.stamp_ingested(batch, now_utc), bronze, low)
+        # Written once: the merge reads it for its ids, its order and its rows.
+        rows = materialize(ing.stamp_ingested(batch, now_utc), "batch")
+        span = ing.batch_range(rows).first()
+        if span["low"] is not None:
+            table.merge(rows, span["low"], span["high"])
 
     return (
         read_landing(spark, landing, max_files)
