@@ -8,6 +8,7 @@ from queries.registry import query, rounded
 from slotcast.schemas import BRONZE, LANDING_COLUMNS
 from slotcast.session import scratch_path
 from slotcast.streaming import landing_stream as ls
+from slotcast.streaming import silence_stream as quiet
 from slotcast.streaming import slot_stream as ss
 
 S = fx.SETTINGS
@@ -65,6 +66,34 @@ def slot_means(spark, sf):
     return rounded(ss.latest_slot_means(spark, out), "wait_time")
 
 
+@query("stream_closed_slots", f"""WITH {fx.BRONZE}
+    SELECT park_name, ride_name, {fx.loc('slot')} AS ts_local, slot AS ts_utc,
+    round(avg(wait_time), 6) AS wait_time, count(*) AS rows
+    FROM (SELECT *, time_bucket(INTERVAL 30 MINUTE, ts_utc) AS slot FROM bronze)
+    WHERE slot + INTERVAL 30 MINUTE <= date_trunc('millisecond', (SELECT max(ts_utc) FROM bronze))
+      - INTERVAL 2 DAY
+    GROUP BY ALL""")
+def closed_slots(spark, sf):
+    """Slots that the watermark has closed, each written once; two days of slots stay open."""
+    landing, out = _land(spark, sf), scratch_path(spark, "slots")
+    means = ss.slot_means(ls.read_landing(spark, landing, 1), S, "2 days")
+    _done(ss.drain_closed_slots(means, out, scratch_path(spark, "checkpoint")))
+    return rounded(spark.read.parquet(out).drop("epoch"), "wait_time")
+
+
+@query("stream_unit_silence", f"""WITH {fx.BRONZE}, newest AS (
+      SELECT park_name, ride_name, max(ts_utc) AS newest_utc FROM bronze GROUP BY ALL)
+    SELECT *, newest_utc + INTERVAL 4 HOUR <
+      date_trunc('millisecond', (SELECT max(ts_utc) FROM bronze)) - INTERVAL 1 HOUR AS silent
+    FROM newest""")
+def unit_silence(spark, sf):
+    """Units without an observation for four hours, when the stream is an hour behind at most."""
+    landing, out = _land(spark, sf), scratch_path(spark, "silence")
+    changes = quiet.silence(ls.read_landing(spark, landing, 1), 240, "1 hour")
+    _done(quiet.drain_silence(changes, out, scratch_path(spark, "checkpoint")))
+    return quiet.unit_freshness(spark, out)
+
+
 @query("stream_freshness", f"""WITH {fx.BRONZE} SELECT max({fx.loc('ts_utc')}) AS newest_local,
     round(date_diff('microsecond', max({fx.loc('ts_utc')}), {fx.ts(fx.NOW_LOCAL)}) / 3.6e9, 6)
     AS age_hours FROM bronze""")
