@@ -123,6 +123,24 @@ def chunks(spark, sf):
     return rows.select(*key[:4], "chunk_id")
 
 
+@query("io_delivery_ledger", """WITH items AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey,
+      l_shipdate, l_extendedprice FROM lineitem),
+    half AS (SELECT count(*) AS n FROM items WHERE l_orderkey <= (SELECT max(l_orderkey) // 2 FROM lineitem)),
+    cut AS (SELECT (row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_shipdate,
+      l_extendedprice) - 1) // 5000 AS chunk_id FROM items)
+    SELECT chunk_id, count(*) AS rows FROM cut GROUP BY chunk_id
+    UNION ALL SELECT n // 5000, n % 5000 FROM half WHERE n % 5000 > 0""")
+def delivery_ledger(spark, sf):
+    """Half of the line items delivered, then all: full chunks that have arrived go out once."""
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_extendedprice"]
+    items = table(spark, sf, "lineitem").select(*key)
+    top = items.agg(F.max("l_orderkey")).first()[0] or 0
+    ledger = sv.Ledger(spark, scratch_path(spark, "ledger"))
+    for rows in (items.where(F.col("l_orderkey") <= top // 2), items):
+        sv.deliver(rows, key, S, lambda chunk_id, records: None, ledger)
+    return ledger.read().select("chunk_id", "rows")
+
+
 @query("io_prediction_chunks", with_ctes(PAIR, f"""SELECT chunk_id, count(*) AS rows FROM
     (SELECT CAST(floor((row_number() OVER (ORDER BY {', '.join(PREDICTION_KEY)}) - 1) / 5000)
      AS BIGINT) AS chunk_id FROM predictions) GROUP BY chunk_id"""))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-from itertools import groupby
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, Row
+import pandas as pd
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +14,7 @@ from slotcast.config import Settings
 from slotcast.functions.numbers import finite_or_null
 from slotcast.functions.ranking import with_row_index
 from slotcast.schemas import KPI_KEY, KPIS, PREDICTION_KEY, PREDICTIONS
+from slotcast.session import materialize, scratch_path
 from slotcast.sources.store import TableStore
 
 # ---- fixed values -------------------------------------------------------------------
@@ -37,29 +39,117 @@ def to_records(df: DataFrame, name: str = "record") -> DataFrame:
 
 
 def with_chunks(df: DataFrame, key: list[str], settings: Settings) -> DataFrame:
-    """One row per key, numbered in key order and cut into chunks of ``chunk_rows``."""
-    placed = with_row_index(df.dropDuplicates(key), key)
+    """Rows numbered in key order and cut into chunks of ``chunk_rows``.
+
+    Equal rows, as a resend leaves them, become one; rows that differ under one key are refused.
+    They are written before they are numbered, as the range shuffle looks at its input twice.
+    """
+    rows = materialize(df.distinct(), "distinct")
+    refuse_repeated(rows, key, "rows")
+    placed = with_row_index(rows, key)
     size = F.lit(settings.chunk_rows)
     return placed.withColumn("chunk_id", F.floor(F.col("row_index") / size).cast("bigint"))
 
 
-def deliver(
-    df: DataFrame, key: list[str], settings: Settings, send: Callable[[int, list[str]], None]
-) -> None:
-    """Send every chunk as a list of JSON records, from the executors.
+def refuse_repeated(rows: DataFrame, key: list[str], name: str) -> None:
+    repeated = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        raise RepeatedKeyError(f"nothing published: {name} repeat a key with other values")
+
 
-    A chunk never leaves its task. A task that is retried sends its chunks again, so the
-    receiver has to ignore rows whose key it holds.
+class DeliveryError(Exception):
+    """Chunks that could not be sent; those that were are in the ledger."""
+
+
+class Ledger:
+    """Delivered chunks, an append-only table: digest of the content, chunk_id, rows.
+
+    A chunk counts as delivered by what is in it, so a delivery that was stopped, or a table that
+    changed in part, sends only what the receiver has not seen.
     """
 
-    def send_partition(rows: Iterator[Row]) -> None:
-        for chunk_id, group in groupby(rows, key=lambda r: r["chunk_id"]):
-            send(chunk_id, [r["record"] for r in group])
+    SCHEMA = "digest string, chunk_id bigint, rows bigint"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def read(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], self.SCHEMA)
 
-    records = to_records(df)
-    chunks = with_chunks(records, key, settings).select("chunk_id", "row_index", "record")
-    ordered = chunks.repartitionByRange("chunk_id").sortWithinPartitions("row_index")
-    ordered.foreachPartition(send_partition)
+    def missing(self, chunks: DataFrame) -> DataFrame:
+        """Of ``chunks`` (digest, ...) those that were not delivered."""
+        return chunks.join(self.read().select("digest").distinct(), "digest", "left_anti")
+
+    def add(self, chunks: DataFrame) -> None:
+        columns = [c.split()[0] for c in self.SCHEMA.split(", ")]
+        chunks.select(*columns).write.mode("append").parquet(self.path)
+
+
+def digests(records: DataFrame) -> DataFrame:
+    """digest, chunk_id, rows of each chunk: two 64-bit sums over its rows and their places."""
+    own = F.xxhash64("row_index", "record")
+    other = F.xxhash64("record", "row_index").cast("decimal(38,0)")
+    content = F.concat_ws("|", "chunk_id", "rows", "mixed", "total")
+    return (
+        records.groupBy("chunk_id")
+        .agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(own).alias("mixed"), F.sum(other).alias("total"))
+        .select(F.sha2(content, 256).alias("digest"), "chunk_id", "rows")
+    )
+
+
+def deliver(
+    df: DataFrame,
+    key: list[str],
+    settings: Settings,
+    send: Callable[[int, list[str]], None],
+    ledger: Ledger | None = None,
+    attempts: int = 3,
+) -> dict[str, int]:
+    """Send every chunk that the ledger lacks as a list of JSON records, from the executors.
+
+    A send that raises does not stop its task: the chunks beside it go into the ledger, and the
+    next attempt sends only the others. What is still missing after the last one raises. An
+    executor that dies takes the notes of its running task with it, so only that task's chunks
+    can arrive twice. Returns how many chunks were sent now and how many had been before.
+    """
+    spark = df.sparkSession
+    ledger = ledger or Ledger(spark, scratch_path(spark, "ledger"))
+    columns = ["chunk_id", "row_index", "record"]
+    records = materialize(with_chunks(to_records(df), key, settings).select(*columns), "records")
+    chunks = materialize(digests(records), "chunks")
+    total = chunks.count()
+    due = materialize(ledger.missing(chunks), "due")
+    before = total - due.count()
+
+    def send_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
+        chunk_id, failure = int(pdf["chunk_id"].iloc[0]), None
+        try:
+            send(chunk_id, pdf.sort_values("row_index")["record"].tolist())
+        except Exception as error:  # goes back as a value, beside what its task did send
+            failure = f"{type(error).__name__}: {error}"
+        return pd.DataFrame({"chunk_id": [chunk_id], "failure": [failure]})
+
+    failed = None
+    for _ in range(attempts):
+        rows = records.join(due.select("chunk_id"), "chunk_id", "left_semi")
+        answers = rows.groupBy("chunk_id").applyInPandas(
+            send_chunk, "chunk_id bigint, failure string"
+        )
+        done = materialize(due.join(answers, "chunk_id"), "answers")
+        ledger.add(done.where(F.col("failure").isNull()))
+        due = done.where(F.col("failure").isNotNull()).drop("failure")
+        failed = done.where(F.col("failure").isNotNull()).orderBy("chunk_id").first()
+        if failed is None:
+            return {"sent": total - before, "skipped": before}
+    raise DeliveryError(
+        f"{due.count()} of {total} chunks were not delivered in {attempts} attempts; "
+        f"chunk {failed['chunk_id']}: {failed['failure']}"
+    )
 
 
 class EmptyStagingError(Exception):
@@ -85,10 +175,11 @@ def publish_pair(
         sort_by=["park_name", "ts_local"],
     )
     for name, rows, key in (("kpis", staged_kpis, KPI_KEY), ("predictions", staged, PREDICTION_KEY)):
-        repeated = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        if not repeated.isEmpty():
+        try:
+            refuse_repeated(rows, key, name)
+        except RepeatedKeyError:
             store.discard("kpis", "predictions")
-            raise RepeatedKeyError(f"nothing published: {name} repeat a key with other values")
+            raise
     counts = staged_kpis.agg(F.count(F.lit(1)).alias("kpis")).withColumn(
         "predictions", staged.agg(F.count(F.lit(1))).scalar()
     )
