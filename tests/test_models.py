@@ -63,6 +63,36 @@ def test_additive_fit_on_cells_equals_least_squares_on_rows(spark, data):
     assert np.allclose(got["yhat"] - got["lo"], 1.2815515655446004 * sigma)
 
 
+def test_an_entity_without_a_solution_is_skipped_alone(spark, data):
+    """Without a penalty one slot of the week cannot tell the 15 coefficients apart."""
+    train, _ = data
+    rows = [("North", "stuck", f"2026-0{m}-02T12:00", 5.0) for m in (2, 3)] * 40
+    stuck = silver(spark, rows)
+    both = train.select(*stuck.columns).unionByName(stuck)
+    assert {r["entity"] for r in additive.fit(both, SETTINGS).select("entity").collect()} == {
+        "North::a", "North::b", "North::stuck"}
+    bare = additive.fit(both, replace(SETTINGS, additive_ridge=0.0)).select("entity").collect()
+    assert {r["entity"] for r in bare} == {"North::a", "North::b"}
+
+
+def test_cholesky_and_its_passes_against_numpy(spark):
+    draw, n = np.random.default_rng(2), 6
+    rows = []
+    for k in range(20):
+        x = draw.normal(size=(9, n))
+        matrix, right = x.T @ x, draw.normal(size=n)
+        if k == 0:
+            matrix[2, 2] = -1.0
+        lower = [float(matrix[i, j]) for i in range(n) for j in range(i + 1)]
+        rows.append((k, lower, right.tolist(), np.linalg.solve(matrix, right).tolist()))
+    found = spark.createDataFrame(
+        rows, "k int, m array<double>, b array<double>, x array<double>"
+    ).withColumn("lower", additive.cholesky(F.col("m"), n)).withColumn(
+        "got", additive.solve(F.col("lower"), F.col("b"), n)).collect()
+    assert None in found[0]["got"]
+    assert all(np.allclose(r["got"], r["x"]) for r in found[1:])
+
+
 def test_short_histories_are_skipped(spark, data):
     train, _ = data
     strict = replace(SETTINGS, min_train_rows=10**6)
