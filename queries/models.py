@@ -339,9 +339,54 @@ def weekly_baseline(spark, sf):
     )
 
 
-@query("run_four_statuses")
+def _later(days: int) -> list[str]:
+    """The forecast grid of a clock so many days later."""
+    slots = gold.SLOTS.replace(fx.ts(fx.NOW_LOCAL), fx.ts(fx.NOW_LOCAL + timedelta(days=days)))
+    return [
+        slots.replace("all_slots", f"slots_{days}"),
+        gold.GRID.replace("fgrid", f"grid_{days}").replace("all_slots", f"slots_{days}"),
+    ]
+
+
+STATUSES = {0: "fresh_model", 1: "kept_previous_model", 4: "stale_input"}
+SUMMARY_DOUBLES = "silver_rows attractions forecast_rows backtest_rows raw_rows sites train_rows test_rows".split()
+
+
+@query("run_four_statuses", with_ctes(SEASONAL + [
+    gold.ENTITIES, *_later(0), *_later(1), *_later(4),
+    "sizes AS (SELECT entity, count(*) AS n FROM train GROUP BY entity)",
+    """tested AS (SELECT count(*) AS test_rows, 2 * count(n) + 2 * count(*) FILTER (n >= 30)
+    AS backtest_rows FROM test LEFT JOIN sizes USING (entity))""",
+    """fits AS (SELECT count(*) AS fitted, count(*) FILTER (n < 30) AS skipped,
+    sum(n) AS train_rows FROM sizes)""",
+    """profile AS (SELECT count(*) AS silver_rows, count(DISTINCT (park_name, ride_key)) AS attractions,
+    count(DISTINCT park_name) AS sites, round(avg(wait_time), 6) AS mean_wait,
+    round(avg(CASE WHEN wait_time = 0 THEN 100.0 ELSE 0.0 END), 6) AS zero_pct,
+    min(ts_local) AS first_local, max(ts_local) AS last_local,
+    (SELECT count(*) FROM bronze) AS raw_rows FROM silver)""",
+    """days AS (SELECT days, days < 4 AS learns, '2024' || strftime(TIMESTAMP '2024-01-31'
+    + to_days(days), '%m%d') || 'T000000Z' AS run_id, run_status, forecast_rows FROM (VALUES """
+    + ", ".join(f"({d}, '{s}', (SELECT count(*) FROM grid_{d}))" for d, s in STATUSES.items())
+    + ") v(days, run_status, forecast_rows))",
+    """summary AS (SELECT run_id, run_status, '20240131T000000Z' AS serving_run_id, silver_rows,
+    attractions, forecast_rows, backtest_rows, raw_rows, sites, mean_wait, zero_pct, first_local,
+    last_local, CASE WHEN learns THEN cutoff END AS cutoff,
+    CASE WHEN learns THEN train_rows END AS train_rows,
+    CASE WHEN learns THEN test_rows END AS test_rows,
+    CASE WHEN learns THEN fitted END AS fitted_floor,
+    CASE WHEN learns THEN fitted - skipped END AS fitted_additive,
+    CASE WHEN learns THEN skipped END AS skipped_additive
+    FROM days, profile, tested, fits, cut
+    UNION ALL BY NAME
+    SELECT '20240205T000000Z' AS run_id, 'fallback_after_failure' AS run_status FROM profile)""",
+], "SELECT * REPLACE (" + ", ".join(
+    f"CAST({c} AS DOUBLE) AS {c}" for c in
+    [*SUMMARY_DOUBLES, "fitted_floor", "fitted_additive", "skipped_additive"]) + ") FROM summary"))
 def four_statuses(spark, sf):
-    """A fresh run, the same again (kept), one on stale input, and one that fails."""
+    """A fresh run, the same again (kept), one on stale input, and one that fails.
+
+    Of the last only the status of what it left is known. Scores are left out: they are MLlib's.
+    """
     store = TableStore(spark, scratch_path(spark, "store"))
     bronze, now = fx.seasonal_bronze(spark, sf), fx.NOW_UTC
     out = []
@@ -360,7 +405,43 @@ def four_statuses(spark, sf):
     result = frames[0]
     for frame in frames[1:]:
         result = result.unionByName(frame)
-    return result
+    report = result.select(
+        "run_id", "run_status", "serving_run_id", "mean_wait", "zero_pct", "first_local",
+        "last_local", F.date_trunc("second", "cutoff").cast("timestamp_ntz").alias("cutoff"),
+        *[F.col(c).cast("double").alias(c) for c in SUMMARY_DOUBLES],
+        F.col("fitted")[S.baseline].cast("double").alias("fitted_floor"),
+        F.col("fitted")[MODEL_ADDITIVE].cast("double").alias("fitted_additive"),
+        F.col("skipped")[MODEL_ADDITIVE].cast("double").alias("skipped_additive"),
+    )
+    return rounded(report, "mean_wait", "zero_pct")
+
+
+@query("model_retention", """WITH weeks AS (
+    SELECT run, row_number() OVER (ORDER BY run) AS n, count(*) OVER () AS total
+    FROM (SELECT DISTINCT strftime(date_trunc('week', ts), '%Y%m%d') AS run FROM events))
+    SELECT name, run, CAST(n AS DOUBLE) AS last_named FROM weeks,
+      (VALUES ('silver'), ('models')) v(name) WHERE n <= total - 2
+    UNION ALL SELECT 'silver', 'abandoned', NULL FROM weeks WHERE n = 1""")
+def retention(spark, sf):
+    """A run for each week of the events, promoted one after the other, and one that was cut off:
+    what the two newest promotions do not name may go."""
+    store = TableStore(spark, scratch_path(spark, "store"))
+    week = F.date_format(F.date_trunc("week", "ts"), "yyyyMMdd")
+    events = table(spark, sf, "events").withColumn("run", week)
+    # One entry a week, however many events there are.
+    for run in sorted(r["run"] for r in events.select("run").distinct().collect()):
+        rows = events.where(F.col("run") == run)
+        store.write("silver", rows, run)
+        rows.select("event_type").distinct().write.parquet(f"{store.root}/models/run={run}/params")
+        store.promote("silver", serving={"run_id": run, "model_name": MODEL_ADDITIVE,
+                                         "trained_at": TRAINED_AT, "ride_count": 1})
+    store.write("silver", events, "abandoned")
+    found = registry.unreachable(store, replace(S, retain_runs=2))
+    return found.select(
+        "name",
+        F.regexp_replace("run", "-[0-9a-f]{8}$", "").alias("run"),
+        F.col("last_named").cast("double").alias("last_named"),
+    )
 
 
 STALE_SLOTS = gold.SLOTS.replace(fx.ts(fx.NOW_LOCAL), fx.ts(fx.STALE_LOCAL))

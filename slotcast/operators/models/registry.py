@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotcast.config import Settings
 from slotcast.operators.models import additive, baseline, cells, global_trees, local_effects
+from slotcast.watch import unwatched
 from slotcast.session import materialize
 from slotcast.sources.store import TableStore
 
@@ -57,22 +59,32 @@ def roles(settings: Settings) -> dict[str, str]:
     return dict(zip(settings.model_order, ("additive", "global", "local", "baseline"), strict=True))
 
 
-def fit(name: str, train: DataFrame, settings: Settings, trained_at: str) -> FittedModel:
-    """Fit one family. Its parameters are written once, so scoring never repeats a fit."""
+def fit(
+    name: str, train: DataFrame, settings: Settings, trained_at: str, watch=unwatched
+) -> FittedModel:
+    """Fit one family. Its parameters are written once, so scoring never repeats a fit.
+
+    ``watch`` counts the fitted entities in that pass, under the name of the family; for the
+    baseline, which sees every entity, also their rows.
+    """
+
+    def written(params: DataFrame, **more: Column) -> DataFrame:
+        return materialize(watch(params, name, fitted=F.count(F.lit(1)), **more), role)
+
     role = roles(settings)[name]
     model = FittedModel(name, role, trained_at)
     if role == "additive":
-        tables = {"params": materialize(additive.fit(train, settings), "additive")}
+        tables = {"params": written(additive.fit(train, settings))}
     elif role == "local":
-        tables = {"params": materialize(local_effects.fit(train, settings), "local")}
+        tables = {"params": written(local_effects.fit(train, settings))}
     elif role == "global":
         trees = global_trees.fit(train, settings)
         model = replace(model, trees=trees)
         means = global_trees.unit_means(train)
-        tables = {"params": materialize(baseline.fit(train).select("entity"), "global")}
+        tables = {"params": written(baseline.fit(train).select("entity"))}
         tables |= {f"mean_{c}": materialize(m, "mean") for c, m in means.items()}
     else:
-        tables = {"params": materialize(baseline.fit(train), "baseline")}
+        tables = {"params": written(baseline.fit(train), train_rows=F.sum("train_rows"))}
     model = replace(model, tables=tables)
     if tables["params"].isEmpty():
         raise ModelError(f"{name} fitted no entity")
@@ -179,6 +191,56 @@ def load(store: TableStore, pointer, settings: Settings) -> FittedModel:
         raise ModelError(f"cannot load the model of run {pointer['run_id']}: {error}") from error
 
 
+def versions(store: TableStore) -> DataFrame:
+    """name, run: every version that lies under the store, tables and models alike.
+
+    Spark lists the files; no content is read, and a folder counts by its part files. Where
+    nothing was ever written the frame is empty.
+    """
+    spark, names = store.spark, "name string, run string"
+    try:
+        files = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.parquet")
+            .load(store.root)
+            .select("path")
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], names)
+    parts = F.regexp_extract("path", r"/([^/]+)/run=([^/]+)/", 0)
+    return (
+        files.select(parts.alias("at"))
+        .where(F.col("at") != "")
+        .select(F.split("at", "/")[1].alias("name"), F.split("at", "/run=|/")[2].alias("run"))
+        .distinct()
+    )
+
+
+def unreachable(store: TableStore, settings: Settings) -> DataFrame:
+    """name, run, last_named: versions that none of the newest ``retain_runs`` promotions names.
+
+    A promotion names the version of each table and the run of its model, so what a reader of
+    one of the kept promotions can reach is never listed, however old it is. ``last_named`` is
+    the promotion that last named the version, null if none ever did.
+    """
+    log = store.promotions()
+    model = F.create_map(F.lit("models"), F.col("run_id"))
+    named = log.select("version", F.explode(F.map_concat("tables", model)).alias("name", "path"))
+    run = F.coalesce(F.nullif(F.regexp_extract("path", "run=([^/]+)$", 1), F.lit("")), F.col("path"))
+    last = (
+        named.select("version", "name", run.alias("run"))
+        .groupBy("name", "run")
+        .agg(F.max("version").alias("last_named"))
+    )
+    # Promotions are numbered one after the other.
+    newest = log.agg(F.max("version") - settings.retain_runs).scalar()
+    found = versions(store).join(last, ["name", "run"], "left")
+    return found.where(F.col("last_named").isNull() | (F.col("last_named") <= newest))
+
+
 def expired_runs(runs: DataFrame, pointer_run: str | Column | None, settings: Settings):
     """Runs beyond the newest ``retain_runs``, except the one the pointer names.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,10 @@ from pyspark.sql import Window as W
 from slotcast.config import Settings
 from slotcast.functions import clock, text
 from slotcast.schemas import SILVER_COLUMNS, SLOT_KEY, UNIT_KEY
+from slotcast.session import materialize
+
+#: Counts a frame while it is computed: (frame, name, metrics) to the same frame.
+Watched = Callable[..., DataFrame]
 
 
 def site_table(spark: SparkSession, settings: Settings) -> DataFrame:
@@ -30,22 +36,40 @@ def site_table(spark: SparkSession, settings: Settings) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def first_per_id(bronze: DataFrame) -> DataFrame:
+def repeated_ids(bronze: DataFrame, watch: Watched | None = None) -> DataFrame:
+    """Ids that two or more observations share, written once so that their size is known.
+
+    Only ids are counted: a hash aggregate over one column, combined inside each task. This is
+    the one pass that sees every observation, so ``watch`` counts them here, as ``raw``.
+    """
+    if watch is not None:
+        bronze = watch(bronze.select("wait_time_id"), "raw", rows=F.count(F.lit(1)))
+    counted = bronze.groupBy("wait_time_id").agg(F.count(F.lit(1)).alias("n"))
+    several = counted.where((F.col("n") > 1) & F.col("wait_time_id").isNotNull())
+    return materialize(several.select("wait_time_id", F.lit(True).alias("_again")), "repeated_ids")
+
+
+def first_per_id(bronze: DataFrame, watch: Watched | None = None) -> DataFrame:
     """One row per id, the earliest ingested; equal ids beyond it are dropped.
 
-    The row is the minimum over (ingest time, then the other columns), so the choice does
-    not depend on row order. As an aggregate it combines before the shuffle: an id that
-    fills a third of the table (null ids all count as one) leaves each task as one row.
+    Most ids occur once, and their rows pass through as they are: nothing sorts or shuffles
+    them while the repeated ids are few enough to broadcast. Only rows of repeated ids and
+    those without an id are compared. Among them the row is the minimum over (ingest time, then
+    the other columns), so the choice does not depend on row order, and an id that fills a third
+    of the table (null ids all count as one) leaves each task as one row.
     """
     if "wait_time_id" not in bronze.columns:
         return bronze
     order = ["_ingested_at"] if "_ingested_at" in bronze.columns else []
     rest = [c for c in bronze.columns if c not in ("wait_time_id", *order)]
+    marked = bronze.join(repeated_ids(bronze, watch), "wait_time_id", "left")
+    compared = F.col("_again") | F.col("wait_time_id").isNull()
     first = F.min(F.struct(*order, *rest)).alias("_row")
-    return (
-        bronze.groupBy("wait_time_id").agg(first).select("wait_time_id", "_row.*")
-        .select(*bronze.columns)
+    chosen = (
+        marked.where(compared).groupBy("wait_time_id").agg(first).select("wait_time_id", "_row.*")
     )
+    alone = marked.where(F.col("_again").isNull() & F.col("wait_time_id").isNotNull())
+    return alone.select(*bronze.columns).unionByName(chosen.select(*bronze.columns))
 
 
 def valid_waits(df: DataFrame, settings: Settings) -> DataFrame:
@@ -114,10 +138,32 @@ def slot_means(df: DataFrame, settings: Settings) -> DataFrame:
     return with_key(means).select("park_name", "ride_key", "ride_name", "ts_local", "wait_time")
 
 
+def numbered_names(spelled: DataFrame) -> DataFrame:
+    """The spellings of each unit with their place in order, from 1; written once.
+
+    A window holds the distinct spellings of one unit, not its rows.
+    """
+    names = spelled.select(*UNIT_KEY, "ride_name").distinct()
+    place = F.row_number().over(W.partitionBy(*UNIT_KEY).orderBy("ride_name"))
+    return materialize(names.withColumn("nth_name", place), "names")
+
+
 def collapse_spellings(grid: DataFrame) -> DataFrame:
-    """One row per slot: the plain mean of the spellings' means, and the smallest name."""
-    return grid.groupBy(*SLOT_KEY).agg(
-        F.min("ride_name").alias("ride_name"), F.avg("wait_time").alias("wait_time")
+    """One row per slot: the plain mean of the spellings' means, and the smallest name.
+
+    The smallest name is taken as the smallest number of a spelling, which a hash aggregate can
+    hold; a minimum of texts would sort the grid before and after its shuffle. The grid by
+    spelling is written first, as its names and its rows are both read from it.
+    """
+    spelled = materialize(grid, "spelled")
+    names = numbered_names(spelled)
+    slots = (
+        spelled.join(names, [*UNIT_KEY, "ride_name"])
+        .groupBy(*SLOT_KEY)
+        .agg(F.min("nth_name").alias("nth_name"), F.avg("wait_time").alias("wait_time"))
+    )
+    return slots.join(names, [*UNIT_KEY, "nth_name"]).select(
+        *SLOT_KEY, "ride_name", "wait_time"
     )
 
 
@@ -138,7 +184,12 @@ def with_utc(grid: DataFrame, settings: Settings) -> DataFrame:
     return grid.withColumn("ts_utc", utc).select(*SILVER_COLUMNS)
 
 
-def clean(bronze: DataFrame, settings: Settings, sites: DataFrame | None = None) -> DataFrame:
+def clean(
+    bronze: DataFrame,
+    settings: Settings,
+    sites: DataFrame | None = None,
+    watch: Watched | None = None,
+) -> DataFrame:
     """All row-wise steps before the grid, on only the columns the grid needs.
 
     The join with the opening hours also is the allow list of sites, so it is the only one.
@@ -147,20 +198,47 @@ def clean(bronze: DataFrame, settings: Settings, sites: DataFrame | None = None)
     sites = site_table(bronze.sparkSession, settings) if sites is None else sites
     allowed = sites.where(~F.col("park_name").isin(*settings.excluded_sites))
     work = bronze.select(*(c for c in needed if c in bronze.columns))
-    work = clean_names(valid_waits(first_per_id(work), settings), settings)
+    work = clean_names(valid_waits(first_per_id(work, watch), settings), settings)
     work = open_hours(localize(work, settings), settings, allowed)
     return work.where(text.has_key(F.col("ride_name")))
 
 
-def slot_grid(bronze: DataFrame, settings: Settings, sites: DataFrame | None = None) -> DataFrame:
+def slot_grid(
+    bronze: DataFrame,
+    settings: Settings,
+    sites: DataFrame | None = None,
+    watch: Watched | None = None,
+) -> DataFrame:
     """Cleaned slots of every unit, however short its history."""
-    return collapse_spellings(slot_means(clean(bronze, settings, sites), settings))
+    return collapse_spellings(slot_means(clean(bronze, settings, sites, watch), settings))
 
 
 def build_silver(
-    bronze: DataFrame, settings: Settings, sites: DataFrame | None = None
+    bronze: DataFrame,
+    settings: Settings,
+    sites: DataFrame | None = None,
+    watch: Watched | None = None,
 ) -> DataFrame:
-    return with_utc(long_histories(slot_grid(bronze, settings, sites), settings), settings)
+    """Silver; with ``watch``, its profile is counted while it is written (see ``profiled``)."""
+    grid = long_histories(slot_grid(bronze, settings, sites, watch), settings)
+    silver = with_utc(grid, settings)
+    return silver if watch is None else profiled(silver, settings, watch)
+
+
+def profiled(silver: DataFrame, settings: Settings, watch: Watched) -> DataFrame:
+    """Rows, their sites, mean, share of zeros and time range, as ``silver`` of the watch."""
+    here = [F.max((F.col("park_name") == s.name).cast("int")) for s in settings.sites]
+    return watch(
+        silver,
+        "silver",
+        silver_rows=F.count(F.lit(1)),
+        sites=sum((F.coalesce(h, F.lit(0)) for h in here), F.lit(0)),
+        mean_wait=F.avg("wait_time"),
+        zero_pct=F.count_if(F.col("wait_time") == 0) * 100.0
+        / F.nullif(F.count(F.lit(1)), F.lit(0)),
+        first_local=F.min("ts_local"),
+        last_local=F.max("ts_local"),
+    )
 
 
 def silver_profile(silver: DataFrame, raw_rows: DataFrame | None = None) -> DataFrame:

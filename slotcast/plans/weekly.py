@@ -8,7 +8,7 @@ driver receives check rows, scalars and the run summary.
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -28,6 +28,7 @@ from slotcast.operators import gold as go
 from slotcast.operators import kpis as kp
 from slotcast.operators import silver as si
 from slotcast.operators.models import registry
+from slotcast.watch import Watch
 from slotcast.schemas import KPIS, PREDICTIONS, SILVER, UNIT_KEY
 from slotcast.session import materialize, pin_utc
 from slotcast.sources.store import TableStore
@@ -38,7 +39,11 @@ TABLES = ("silver", "kpis", "predictions")
 SUMMARY = (
     "run_id string, run_status string, serving_model string, serving_run_id string, "
     "new_model_mae double, previous_mae double, decision string, silver_rows bigint, "
-    "attractions bigint, forecast_rows bigint, backtest_rows bigint, input_age_hours double"
+    "attractions bigint, forecast_rows bigint, backtest_rows bigint, input_age_hours double, "
+    "raw_rows bigint, sites int, mean_wait double, zero_pct double, first_local timestamp_ntz, "
+    "last_local timestamp_ntz, cutoff timestamp_ntz, train_rows bigint, test_rows bigint, "
+    "fitted map<string,bigint>, skipped map<string,bigint>, uncovered bigint, "
+    "expired array<string>"
 )
 
 
@@ -53,6 +58,7 @@ class Run:
     store: TableStore
     settings: Settings
     now_utc: datetime
+    watch: Watch = field(default_factory=Watch)
 
     @property
     def run_id(self) -> str:
@@ -99,13 +105,15 @@ def reload_serving(run: Run, previous: dict | None, why: str):
 
 def forecast(run: Run, model: registry.FittedModel, silver: DataFrame) -> DataFrame:
     entities = go.covered_entities(go.active_entities(silver), model.entities)
+    entities = run.watch(entities, "covered", entities=F.count(F.lit(1)))
     grid = go.forecast_grid(entities, run.now_local, run.settings)
     return go.forecast_rows(model.score(grid, run.settings), model.family, run.settings)
 
 
 def write_silver(run: Run, bronze: DataFrame) -> DataFrame:
     """Silver candidate, checked against the last version."""
-    silver = run.store.write("silver", si.build_silver(bronze, run.settings), run.run_id)
+    built = si.build_silver(bronze, run.settings, watch=run.watch)
+    silver = run.store.write("silver", built, run.run_id)
     if silver.isEmpty():
         raise RunError("cleaning removed every row: check times and site names")
     last_rows = run.store.count("silver")
@@ -139,19 +147,44 @@ def score_models(
     for model in models:
         rows = model.score(flagged, run.settings)
         scored = rows if scored is None else scored.unionByName(rows)
-    return materialize(scored, "scored")
+    tested = F.count_if(F.col("model") == run.settings.baseline)
+    return materialize(run.watch(scored, "scored", test_rows=tested), "scored")
 
 
-def _summary(run: Run, status: str, model, serving_run: str, silver, active, predictions, **extra):
+def _report(run: Run, active: int) -> dict:
+    """Profile, split, fits and coverage, as counted on the way; empty for what did not run."""
+    watch, order = run.watch, run.settings.model_order
+    fits = {name: watch.get(name) for name in order}
+    known = fits[run.settings.baseline]
+    covered = watch.get("covered").get("entities")
+    return {
+        "raw_rows": watch.get("raw").get("rows"),
+        **watch.get("silver"),
+        "train_rows": known.get("train_rows"),
+        "test_rows": watch.get("scored").get("test_rows"),
+        "fitted": {n: f["fitted"] for n, f in fits.items() if f},
+        "skipped": {n: known["fitted"] - f["fitted"] for n, f in fits.items() if f},
+        "uncovered": None if covered is None else active - covered,
+    }
+
+
+def _expired(run: Run) -> list[str]:
+    """The last step: versions that no kept promotion names. Their names, a few a run."""
+    rows = registry.unreachable(run.store, run.settings).orderBy("name", "run").collect()
+    return [f"{r['name']}/run={r['run']}" for r in rows]
+
+
+def _summary(run: Run, status: str, model, serving_run: str, active, predictions, **extra):
     counts = go.row_counts(predictions).first()
     return {
+        **_report(run, active),
+        "expired": _expired(run),
         "run_id": run.run_id,
         "run_status": status,
         "serving_model": model.family,
         "serving_run_id": serving_run,
         "new_model_mae": None,
         "previous_mae": None,
-        "silver_rows": silver.count(),
         "attractions": active,
         "forecast_rows": counts["forecast_rows"],
         "backtest_rows": counts["backtest_rows"],
@@ -177,7 +210,7 @@ def run_forecast_only(run: Run, silver: DataFrame, age_hours: float) -> dict:
     )
     limit = run.settings.max_input_age_hours
     return _summary(
-        run, STATUS_STALE, model, pointer["run_id"], silver, active, written,
+        run, STATUS_STALE, model, pointer["run_id"], active, written,
         previous_mae=_round(previous["mae"] if previous else None, 3),
         decision=f"input is {age_hours:.1f} h old (limit {limit:g} h): forecast only",
         input_age_hours=round(age_hours, 1),
@@ -193,9 +226,11 @@ def run_weekly(run: Run, bronze: DataFrame) -> dict:
     if age > settings.max_input_age_hours:
         return run_forecast_only(run, silver, age)
 
-    cutoff = clock.naive(fe.time_cutoff(silver, settings).first()["cutoff"])
-    train, test = fe.chrono_split(silver, settings, cutoff)
-    models = {n: registry.fit(n, train, settings, run.trained_at) for n in settings.model_order}
+    cutoff = fe.time_cutoff(silver, settings).first()["cutoff"]
+    train, test = fe.chrono_split(silver, settings, clock.naive(cutoff))
+    models = {
+        n: registry.fit(n, train, settings, run.trained_at, run.watch) for n in settings.model_order
+    }
     scored = score_models(run, list(models.values()), train, test)
     kpis = materialize(kp.compute_kpis(scored, settings), "kpis")
 
@@ -238,11 +273,12 @@ def run_weekly(run: Run, bronze: DataFrame) -> dict:
         run, go.stamp(kpi_rows, *stamps), go.stamp(rows, *stamps), active, serving
     )
     return _summary(
-        run, status, model, serving_run, silver, active, written,
+        run, status, model, serving_run, active, written,
         new_model_mae=_round(choice["new_mae"], 3),
         previous_mae=_round(choice["old_mae"], 3),
         decision=choice["reason"],
         input_age_hours=round(age, 1),
+        cutoff=cutoff,
     )
 
 

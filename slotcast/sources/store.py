@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from slotcast.session import materialize
+
 POINTER = T.StructType(
     [
         T.StructField("version", T.LongType()),
@@ -52,11 +54,13 @@ class TableStore:
     ) -> DataFrame:
         """Write a candidate version and read it back; readers of the table see no change.
 
-        ``sort_by`` clusters the rows, so that row-group statistics can skip most files.
+        ``sort_by`` clusters the rows, so that row-group statistics can skip most files. Such
+        rows are computed once and written aside first: a range shuffle looks at its input twice.
         """
         path = f"{self.root}/{table}/run={run_id}-{uuid.uuid4().hex[:8]}"
         if sort_by:
             keys = [*(partition_by or []), *sort_by]
+            df = materialize(df, table)
             df = df.repartitionByRange(*[F.col(c) for c in keys]).sortWithinPartitions(*keys)
         writer = df.write.option("compression", "snappy")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
@@ -73,15 +77,18 @@ class TableStore:
 
     # ---- the pointer ----------------------------------------------------------------
 
-    def pointer(self) -> Row | None:
+    def promotions(self) -> DataFrame:
+        """Every promotion so far, a row each."""
         try:
-            log = self.spark.read.schema(POINTER).json(f"{self.root}/pointer")
-            return log.orderBy(F.col("version").desc()).first()
+            return self.spark.read.schema(POINTER).json(f"{self.root}/pointer")
         except AnalysisException as error:
             if _missing(error):
-                return None
+                return self.spark.createDataFrame([], POINTER)
             raise
 
+    def pointer(self) -> Row | None:
+        return self.promotions().orderBy(F.col("version").desc()).first()
+
     def serving(self) -> Row | None:
         """The pointer, if it names a serving model completely."""
         row = self.pointer()

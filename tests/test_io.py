@@ -18,9 +18,12 @@ from slotcast.schemas import BRONZE, KPIS, LANDING, LANDING_COLUMNS, PREDICTIONS
 from slotcast.sources import catalog, landing
 from slotcast.sources import serving as sv
 from slotcast.sources import upstream as up
+from slotcast.sources.bronze import Bronze
 from slotcast.sources.store import TableStore
 from slotcast.streaming import landing_stream as ls
+from slotcast.streaming import silence_stream as quiet
 from slotcast.streaming import slot_stream as ss
+from slotcast.streaming.id_stream import IdRangeReader, drain_ids
 from tests.helpers import SETTINGS, at, bronze, silver
 
 NOW = datetime(2026, 3, 1, 6)
@@ -127,6 +130,86 @@ def test_the_width_of_a_transfer_changes_no_row(spark, scratch):
     assert found[0] == found[1] == found[2]
 
 
+def stored(spark, scratch, ids, width=10):
+    table = Bronze(spark, scratch("bronze"), width)
+    table.ensure()
+    table.merge(bronze(spark, [(i, 1, NOON, "a", "North") for i in ids]), min(ids), max(ids))
+    return table
+
+
+def test_the_merge_opens_only_folders_of_the_batch(spark, scratch):
+    table = stored(spark, scratch, range(1, 61))
+    assert sorted(f for f in os.listdir(table.path) if f.startswith("id_range")) == [
+        f"id_range={k}" for k in range(7)
+    ]
+    plan = table.between(45, 52)._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):].split("]")[0]
+    assert "id_range" in filters and "4" in filters and "5" in filters
+    assert "GreaterThanOrEqual(wait_time_id,45)" in plan
+    assert sorted(r[0] for r in table.between(45, 52).select("wait_time_id").collect()) == list(
+        range(45, 53))
+    files = {r[0] for r in table.between(45, 52).select(F.input_file_name()).distinct().collect()}
+    assert {f.split("id_range=")[1][0] for f in files} == {"4", "5"}
+
+
+def test_spans_say_where_bronze_can_hold_an_id(spark, scratch):
+    table = stored(spark, scratch, [1, 2, 33, 39])
+    assert table.may_hold(2, 5) and table.may_hold(34, 50)
+    assert not table.may_hold(3, 20) and not table.may_hold(40, 90)
+    # Sent again, with one row that is new, and one id twice: inserted once each time it is there.
+    again = bronze(spark, [(i, 5, NOON, "a", "North") for i in (33, 34, 39, 50, 50)])
+    for _ in range(2):
+        table.merge(again, 33, 50)
+    found = sorted((r["wait_time_id"], r["wait_time"]) for r in table.read().collect())
+    assert found == [(1, 1), (2, 1), (33, 1), (34, 5), (39, 1), (50, 5), (50, 5)]
+    assert ing.high_water(table.newest_range()).first()["mark"] == 50
+
+
+def test_id_ranges_cover_every_id_once():
+    for start, top, width in ((0, 30, 6), (9, 30, 6), (9, 9, 6), (0, 1, 100), (7, 100_000, 3)):
+        reader = IdRangeReader(start, top, width)
+        slices = reader.partitions(reader.initialOffset(), reader.latestOffset())
+        ranges = [r for s in slices for r in reader.read(s)]
+        assert [x for low, high in ranges for x in range(low, high + 1)] == list(
+            range(start + 1, top + 1))
+        assert all(low // width == high // width for low, high in ranges) and len(slices) <= 17
+    assert IdRangeReader(50, 20, 5).initialOffset() == {"id": 20}
+
+
+def test_a_drain_that_was_cut_off_comes_again_with_its_ids(spark, scratch):
+    checkpoint, seen = scratch("cp"), []
+
+    def broken(low, high, ranges, epoch):
+        seen.append((low, high, ranges, epoch))
+        raise RuntimeError("the connection is gone")
+
+    with pytest.raises(Exception, match="connection is gone"):
+        drain_ids(spark, broken, 10, 30, 10, checkpoint).awaitTermination()
+    for top in (40, 40, 55):
+        drain_ids(
+            spark, lambda *x: seen.append(x), 99, top, 10, checkpoint
+        ).awaitTermination()
+    # The batch that failed keeps its end, then what came since; a stream without news does nothing.
+    assert seen == [(11, 30, 3, 0), (11, 30, 3, 0), (31, 40, 2, 1), (41, 55, 2, 2)]
+
+
+def test_jdbc_reads_are_bounded_by_the_ids_they_ask_for(spark, scratch, monkeypatch):
+    asked, (fact, units, sites) = [], upstream(spark, 30)
+
+    def read_jdbc(_spark, _url, table, _options=None, column=None, bounds=None, partitions=None):
+        asked.append((table, column, bounds))
+        if "max(" in table:
+            return fact.agg(F.max("wait_time_id"))
+        return {"wait_times": fact, "attractions": units, "themeparks": sites}[table]
+
+    monkeypatch.setattr(up, "read_jdbc", read_jdbc)
+    paths = scratch("bronze"), scratch("landing")
+    done = run_ingest(spark, up.Jdbc(spark, "jdbc:none"), *paths, SETTINGS, NOW, drain=True)
+    assert (done["rows"], done["bronze_rows"]) == (20, 20)
+    assert ("wait_times", "wait_time_id", (1, 31)) in asked
+    assert all(bounds for table, _, bounds in asked if table == "wait_times")
+
+
 def test_landing_replaces_a_batch_sent_twice(spark, scratch):
     root, rows = scratch("landing"), bronze(spark, [(7, 1, NOON, "a", "North")])
     first = landing.land_batch(rows, root, 7, NOW)
@@ -229,6 +312,46 @@ def test_delivery_sends_whole_chunks(spark, scratch):
     assert sizes == {"0.json": 10, "1.json": 10, "2.json": 4}
 
 
+def test_each_chunk_is_delivered_once(spark, scratch):
+    """One chunk fails at first, beside others of its task; a second delivery sends what changed."""
+    out = scratch("delivered")
+    os.makedirs(out)
+
+    def send(chunk_id, records):
+        tried = f"{out}/tried-{chunk_id}-{len(os.listdir(out))}"
+        open(tried, "w").close()
+        if chunk_id in (1, 4) and not any(f.startswith(f"failed-{chunk_id}") for f in os.listdir(out)):
+            open(f"{out}/failed-{chunk_id}", "w").close()
+            raise ConnectionError("gone")
+        with open(f"{out}/got-{chunk_id}-{len(records)}-{len(os.listdir(out))}", "w") as f:
+            json.dump(records, f)
+
+    def got():
+        return sorted(f.split("-")[1] for f in os.listdir(out) if f.startswith("got-"))
+
+    rows = spark.range(47).select(F.col("id"), (F.col("id") % 7).alias("v")).coalesce(1)
+    small, ledger = replace(SETTINGS, chunk_rows=10), sv.Ledger(spark, scratch("ledger"))
+    assert sv.deliver(rows, ["id"], small, send, ledger) == {"sent": 5, "skipped": 0}
+    assert got() == list("01234")
+    assert sv.deliver(rows, ["id"], small, send, ledger) == {"sent": 0, "skipped": 5}
+    changed = rows.withColumn("v", F.when(F.col("id") == 25, 99).otherwise(F.col("v")))
+    assert sv.deliver(changed, ["id"], small, send, ledger) == {"sent": 1, "skipped": 4}
+    assert got() == list("012234") and ledger.read().count() == 6
+    with pytest.raises(sv.RepeatedKeyError):
+        sv.deliver(rows.unionByName(changed), ["id"], small, send, ledger)
+
+
+def test_chunks_that_never_arrive_are_named(spark, scratch):
+    def send(chunk_id, records):
+        if chunk_id == 2:
+            raise TimeoutError("no answer")
+
+    ledger = sv.Ledger(spark, scratch("ledger"))
+    with pytest.raises(sv.DeliveryError, match="1 of 4 chunks .* chunk 2: TimeoutError: no answer"):
+        sv.deliver(spark.range(35), ["id"], replace(SETTINGS, chunk_rows=10), send, ledger, 2)
+    assert sorted(r["chunk_id"] for r in ledger.read().collect()) == [0, 1, 3]
+
+
 def test_the_publish_job_refuses_what_a_guard_finds(spark, scratch):
     kpis, predictions = a_pair(spark)
     early, late = clock.naive(datetime(2000, 1, 1)), clock.naive(datetime(2100, 1, 1))
@@ -349,3 +472,66 @@ def test_freshness_per_batch(spark, scratch):
     query.awaitTermination()
     ages = [r["age_hours"] for r in spark.read.parquet(out).collect()]
     assert len(ages) == 3 and min(ages) == 0.0
+
+
+def in_order(spark, scratch, rows, files):
+    """Landed files of rows that follow each other in time."""
+    root = scratch("landing")
+    for k in range(files):
+        part = rows[k * len(rows) // files : (k + 1) * len(rows) // files]
+        bronze(spark, part).select(*LANDING_COLUMNS).coalesce(1).write.parquet(f"{root}/dt=2026-03-{k + 1:02d}")
+    return root
+
+
+def days_of_rows(days):
+    return [(d * 100 + k, k, f"2026-03-{d + 1:02d}T{k:02d}:10", f"u{k % 3}", "North")
+            for d in range(days) for k in range(24)]
+
+
+def test_closed_slots_are_written_once_and_forgotten(spark, scratch):
+    root, out = in_order(spark, scratch, days_of_rows(12), 12), scratch("out")
+    means = ss.slot_means(ls.read_landing(spark, root, 1), SETTINGS, "1 day")
+    query = ss.drain_closed_slots(means, out, scratch("cp"))
+    query.awaitTermination()
+    closed = spark.read.parquet(out)
+    assert closed.count() == closed.dropDuplicates(["park_name", "ride_name", "ts_utc"]).count()
+    rows = spark.read.schema(LANDING).parquet(root).select(*LANDING_COLUMNS)
+    batch = ss.slot_means(rows, SETTINGS, "1 day")
+    # A slot is closed when its end is a day before the newest observation, 23:10 of the last day.
+    due = batch.where("ts_utc + interval 30 minutes <= timestamp_ntz '2026-03-11 23:10:00'")
+    assert closed.count() == due.count() > 200
+    assert closed.select(*batch.columns).exceptAll(due).isEmpty()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(held) <= 3 * 24 and held[-1] <= 25
+
+
+def test_zones_off_the_grid_are_refused(spark):
+    for zone in ("America/Los_Angeles", "Asia/Kolkata", "Australia/Adelaide"):
+        ss.check_zone(zone, 30)
+    for zone, grid in (("Asia/Kathmandu", 30), ("Australia/Eucla", 30), ("Asia/Kolkata", 60)):
+        with pytest.raises(ValueError, match="off the"):
+            ss.check_zone(zone, grid)
+
+
+def test_silent_units_are_reported_and_forgotten(spark, scratch):
+    """u0 speaks to the end, u1 stops for good, u2 stops and comes back."""
+    spoken = {"u0": range(0, 80), "u1": range(0, 20), "u2": [*range(0, 20), *range(60, 80)]}
+    rows = sorted(
+        (f"2026-03-{1 + h // 24:02d}T{h % 24:02d}:00", u) for u, hours in spoken.items() for h in hours
+    )
+    rows = [(k, 1, at_, u, "North") for k, (at_, u) in enumerate(rows)]
+    root, out = in_order(spark, scratch, rows, 10), scratch("out")
+    changes = quiet.silence(ls.read_landing(spark, root, 1), 600, "1 hour")
+    query = quiet.drain_silence(changes, out, scratch("cp"))
+    query.awaitTermination()
+    found = {r["ride_name"]: (r["newest_utc"], r["silent"])
+             for r in quiet.unit_freshness(spark, out).collect()}
+    assert found == {
+        "u0": (at("2026-03-04T07:00"), False),
+        "u1": (at("2026-03-01T19:00"), True),
+        "u2": (at("2026-03-04T07:00"), False),
+    }
+    silent = {(r["ride_name"], r["newest_micros"]) for r in spark.read.parquet(out).where("silent").collect()}
+    stopped = 1772391600_000000
+    assert silent == {("u1", stopped), ("u2", stopped)}
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 2

@@ -26,17 +26,31 @@ def no_products(text):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_no_sort_over_observations(spark, sf):
+    """Only rows of repeated ids and rows without one reach the ordered choice."""
+    text = plan(si.first_per_id(fx.dirty_bronze(spark, sf)))
+    no_products(text)
+    assert "SortMergeJoin" not in text
+    alone, chosen = text.split("SortAggregate", 1)[0], text.split("SortAggregate", 1)[1]
+    assert "Exchange" not in alone.replace("BroadcastExchange", "").replace("ReusedExchange", "")
+    assert "partial_min(struct(" in chosen and "_again" in chosen and "isnull(wait_time_id" in chosen
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
+
+
 def test_silver_combines_before_every_shuffle_of_observations(spark, sf):
+    observed = si.clean(fx.bronze(spark, sf), fx.SETTINGS)
+    means = plan(si.slot_means(observed, fx.SETTINGS))
+    no_products(means)
+    assert "SortMergeJoin" not in means and "partial_avg" in means
+    # Observations are never shuffled by unit, only their slots are.
+    by_unit = means.index("Exchange hashpartitioning(park_name")
+    assert "Aggregate" in means[by_unit:].split("\n")[1]
+    # The rest reads the written slots, and sorts none of them before the window of each unit.
     text = plan(si.build_silver(fx.bronze(spark, sf), fx.SETTINGS))
     no_products(text)
-    assert len(re.findall(r"Exchange hashpartitioning", text)) == 4
-    assert text.count("BroadcastExchange") == 1 and "SortMergeJoin" not in text
-    assert text.count("partial_min(struct(") == 1
-    # Observations are never shuffled by unit, only their slots are.
-    by_unit = text.index("Exchange hashpartitioning(park_name")
-    assert "Aggregate" in text[by_unit:].split("\n")[1]
-    assert text.count("FileScan") == 1
-    assert "props" not in text
+    assert "SortAggregate" not in text and "SortMergeJoin" not in text
+    assert "spelled-" in text and "partial_min(nth_name" in text
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
 
 
 def test_split_is_a_pushed_filter(spark, sf):
@@ -69,7 +83,7 @@ def test_kpis_are_one_small_shuffle(spark, sf):
 def test_fits_see_cells_not_rows(spark, sf):
     silver = materialize(si.build_silver(fx.bronze(spark, sf), fx.SETTINGS), "silver")
     text = plan(additive.fit(silver, fx.SETTINGS))
-    assert "FlatMapGroupsInPandas" in text and "partial_sum" in text
+    assert "Pandas" not in text and "Python" not in text and "partial_sum" in text
     params = materialize(baseline.fit(silver), "params")
     scored = plan(baseline.score(silver, params))
     assert "Python" not in scored and "Pandas" not in scored

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from slotcast.operators import checks as ck
+from slotcast.operators import features as fe
 from slotcast.operators import silver as si
+from slotcast.operators.models import registry
 from slotcast.plans import weekly
 from slotcast.session import scratch_path
 from slotcast.sources.store import TableStore
@@ -41,6 +43,19 @@ def statuses(store, table="predictions"):
 def test_statuses_one_after_the_other(spark, store, observations):
     first = weekly.run_weekly(run_at(store), observations)
     assert first["run_status"] == "fresh_model" and first["previous_mae"] is None
+    silver = store.read("silver")
+    profile = si.silver_profile(silver).first()
+    assert first["raw_rows"] == observations.count() and first["silver_rows"] == silver.count()
+    assert (first["sites"], first["mean_wait"], first["zero_pct"]) == (
+        profile["sites"], pytest.approx(profile["mean_wait"]), pytest.approx(profile["zero_pct"]))
+    assert (first["first_local"], first["last_local"]) == (
+        profile["first_local"], profile["last_local"])
+    train, test = fe.chrono_split(silver, SETTINGS)
+    assert (first["train_rows"], first["test_rows"]) == (train.count(), test.count())
+    assert first["cutoff"] == fe.time_cutoff(silver, SETTINGS).first()["cutoff"]
+    assert first["fitted"] == dict.fromkeys(SETTINGS.model_order, 2)
+    assert first["skipped"] == dict.fromkeys(SETTINGS.model_order, 0)
+    assert first["uncovered"] == 0 and first["expired"] == []
     pointer = store.serving()
     assert pointer["run_id"] == first["run_id"] and pointer["ride_count"] == 2
     kpis = store.read("kpis")
@@ -60,6 +75,8 @@ def test_statuses_one_after_the_other(spark, store, observations):
 
     third = weekly.run_weekly(run_at(store, 3), observations)
     assert third["run_status"] == "stale_input" and third["new_model_mae"] is None
+    assert third["raw_rows"] == first["raw_rows"] and third["train_rows"] is None
+    assert third["fitted"] == {} and third["uncovered"] == 0
     window = store.read("predictions").where("row_kind = 'forecast'").agg(F.max("ts_local")).first()[0]
     assert window > NOW + timedelta(days=9)
 
@@ -128,3 +145,27 @@ def test_mismatched_run_ids_are_refused(served, observations):
         weekly.run_weekly(run_at(served, 3), observations)
     assert weekly.run_fallback(run_at(served, 3)) is False
     assert served.pointer() == before
+
+
+def test_versions_without_a_promotion_are_listed(spark, store):
+    rows = spark.range(3)
+    for run in ("a", "b", "c", "d"):
+        store.write("silver", rows, run)
+        if run != "b":
+            rows.write.parquet(f"{store.root}/models/run={run}/params")
+            store.promote("silver", serving={"run_id": run, "model_name": "m", "trained_at": "t"})
+        store.discard()
+
+    def found(keep):
+        listed = registry.unreachable(store, replace(SETTINGS, retain_runs=keep)).collect()
+        return {(r["name"], r["run"][:1], r["last_named"]) for r in listed}
+
+    assert found(3) == {("silver", "b", None)}
+    assert found(2) == {("silver", "b", None), ("silver", "a", 1), ("models", "a", 1)}
+    # A fallback promotes only the predictions: the other tables stay reachable by its row.
+    store.write("predictions", rows, "e")
+    store.promote("predictions")
+    assert found(1) == {("silver", "b", None), ("silver", "a", 1), ("models", "a", 1),
+                        ("silver", "c", 2), ("models", "c", 2)}
+    empty = TableStore(spark, store.root + "-none")
+    assert registry.unreachable(empty, SETTINGS).count() == 0
