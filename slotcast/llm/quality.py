@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotcast.llm.common import slices
+from slotcast.llm.common import slices, unused
 from slotcast.llm.words import Words, find_words
 from slotcast.session import materialize
 
@@ -92,9 +92,9 @@ def measure(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
-    carry: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, host and the counts of each document; with ``carry`` also its row, as ``doc``."""
+    """doc_id, host and the counts of each document; also the short columns ``keep``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE):
@@ -117,17 +117,17 @@ def measure(
                 [
                     part.column("doc_id"),
                     part.column("host"),
-                    *([part.column("doc")] if carry else []),
+                    *(part.column(c) for c in keep),
                     *(pa.array(np.asarray(c, np.int64)) for c in counts),
                 ],
-                names=["doc_id", "host", *(["doc"] if carry else []), *COUNTS],
+                names=["doc_id", "host", *keep, *COUNTS],
             )
 
     own = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.col(host_col).cast("string").alias("host"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if carry else []),
+        *keep,
     )
     counts = [T.StructField(name, T.LongType()) for name in COUNTS]
     return own.mapInArrow(run, T.StructType([*own.drop("text").schema.fields, *counts]))
@@ -216,9 +216,26 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with all their columns.
 
-    Texts are measured again beside their rows, which is cheaper than to shuffle them to the
-    verdicts.
+    Only keys of rejected rows come back from the workers: 96 bits of hashes of id, host and text,
+    on which a verdict depends. They are written, and the rows are taken from ``docs`` itself.
     """
-    strict = materialize(_strict(measure(docs, id_col, text_col, host_col), limits), "strict")
-    again = measure(docs, id_col, text_col, host_col, carry=True)
-    return _judged(again, strict, limits).where("kept").select("doc.*")
+    key, check = unused(docs, "row_key"), unused(docs, "row_check")
+    own = [
+        F.col(id_col).cast("bigint"),
+        F.col(host_col).cast("string"),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")),
+    ]
+    rows = docs.withColumns({key: F.xxhash64(*own), check: F.hash(*own)})
+    named = rows.select(
+        F.col(key).alias("doc_id"),
+        F.col(host_col).alias("host"),
+        F.col(text_col).alias("text"),
+        F.col(check).alias("check"),
+    )
+    measured = materialize(measure(named, "doc_id", "text", "host", ("check",)), "measured")
+    judged = _judged(measured, _strict(measured, limits), limits)
+    rejected = judged.where(~F.col("kept")).select(
+        F.col("doc_id").alias(key), F.col("check").alias(check)
+    )
+    rejected = materialize(rejected.distinct(), "rejected")
+    return rows.join(rejected, [key, check], "left_anti").drop(key, check)
