@@ -5,7 +5,8 @@ letters of the same script and case, separators stay, octets of an address stay
 names are taken from the list of the same gender and script, and ends of mail domains stay.
 A surrogate depends on the key and on the entity's canonical form (lower case, digits only), so
 all its spellings in all documents stay one entity. Surrogates that meet each other or a real
-entity are drawn again, until none does; different entities thus stay different.
+entity are drawn again, until none does; different entities thus stay different. Surnames have
+surrogates of their own, from which the names of all who share one are built.
 
 Texts are cut into gaps and mentions. Distinct mentions, not texts, are shuffled to their
 surrogates; a mention that occurs everywhere is one row per task after the partial ``distinct``,
@@ -38,9 +39,12 @@ OTHER = (
 )
 #: Country codes of one and two digits; all others have three.
 COUNTRY = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
-#: Patterns by type; the first that matches at a place wins.
+#: Patterns by type; the first that matches at a place wins. Repeats are bounded or never given back
+#: and begin at the edge of a word, so a text of any kind is read in linear time and flat.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
+    # No longer than mail allows: 64 characters before the sign, labels of 63 after it.
+    "email": EDGE
+    + r"[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}+(?:\.[\p{L}\p{N}-]{1,63}+){1,126}+",
     "ip": EDGE + r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}" + END,
     # After a plus sign 7 to 15 digits in any groups, with North America's 10 after its 1; where they
     # could end, another entity is not taken in. Else the national forms of North America.
@@ -56,7 +60,7 @@ PATTERNS = {
     "name": (
         EDGE
         + r"(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sra|Господин|Госпожа)\.? "
-        + r"\p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+){0,2}"
+        + r"\p{Lu}[\p{L}'-]++(?: \p{Lu}[\p{L}'-]++){0,2}"
     ),
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -166,64 +170,91 @@ def _ip(seed: Column) -> Column:
     return F.concat_ws(".", *octets)
 
 
-def _name(value: Column, seed: Column, length: int) -> Column:
-    """Title kept; given names by gender and script, the surname from syllables.
+def _family(value: Column, seed: Column, length: int) -> Column:
+    """A surname of ``length`` syllables in the script of ``value``."""
 
-    Each word is drawn from the key and the word alone, so "Ms Ada Kern" and "Ms Kern" keep the
-    surname they share.
-    """
+    def drawn(script: str) -> Column:
+        listed = SYLLABLES[script]
+        return F.concat(*[_pick(listed, _draw(seed, F.lit(k), len(listed))) for k in range(length)])
+
+    return F.when(value.rlike(r"\p{IsCyrillic}"), drawn("cyrillic")).otherwise(drawn("latin"))
+
+
+def family(name: Column) -> Column:
+    """The last word of a name."""
+    return F.element_at(F.split(name, " "), -1)
+
+
+def _name(value: Column, new_family: Column, word_seed: Column, parts: int) -> Column:
+    """Title kept; given names by gender and script, ``parts`` of them in place of each, and the
+    surname that all who share it get."""
     words = F.split(value, " ")
     title = F.regexp_replace(F.initcap(words[0]), r"\.$", "")
     male = title.rlike(MALE)
     cyrillic = value.rlike(r"\p{IsCyrillic}")
 
-    def given(script: str) -> Column:
-        m, f = GIVEN[script, "m"], GIVEN[script, "f"]
-        return lambda s: F.when(male, _pick(m, _draw(s, F.lit(0), len(m)))).otherwise(
-            _pick(f, _draw(s, F.lit(0), len(f)))
-        )
+    def given(own: Column, script: str, gender: str) -> Column:
+        listed = GIVEN[script, gender]
+        drawn = [_pick(listed, _draw(own, F.lit(k), len(listed))) for k in range(parts)]
+        return F.lower(F.concat_ws("-", *drawn))
 
-    def surname(script: str) -> Column:
-        listed = SYLLABLES[script]
-        return lambda s: F.initcap(
-            F.concat(*[_pick(listed, _draw(s, F.lit(k), len(listed))) for k in range(4)])
-        )
+    def first(text: Column) -> Column:
+        own = F.concat_ws("|", word_seed, text)
+        return F.when(
+            cyrillic & male, given(own, "cyrillic", "m")
+        ).when(cyrillic, given(own, "cyrillic", "f")).when(
+            male, given(own, "latin", "m")
+        ).otherwise(given(own, "latin", "f"))
 
-    def word(text: Column, place: Column) -> Column:
-        own = F.concat_ws("|", seed, text)
-        last = place == F.size(words) - 1
-        family = F.when(cyrillic, surname("cyrillic")(own)).otherwise(surname("latin")(own))
-        first = F.when(cyrillic, given("cyrillic")(own)).otherwise(given("latin")(own))
-        return F.when(place == 0, text).when(last, family).otherwise(first)
-
-    return F.array_join(F.transform(words, word), " ")
+    between = F.transform(F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0))), first)
+    return F.array_join(F.concat(F.slice(words, 1, 1), between, F.array(new_family)), " ")
 
 
 def _surrogate(
-    what: Column, value: Column, seed: Column, word_seed: Column, turn: int
+    what: Column, value: Column, new_family: Column, seed: Column, word_seed: Column, turn: int
 ) -> Column:
     """A draw for one entity; where short values leave no room, later turns draw longer ones."""
+    longer = turn // LONGER
     return (
         F.when(what == "email", _email(value, seed))
         .when(what == "ip", _ip(seed))
         .when(what == "phone", _phone(value, seed))
         .when(what == "secret", _letters(value, seed, hexadecimal=True))
-        .when(what == "name", F.lower(_name(value, word_seed, 4 + turn // LONGER)))
-        .otherwise(_letters(F.concat(value, F.lit("0" * (turn // LONGER))), seed))
+        .when(what == "family", _family(value, seed, 4 + longer))
+        .when(what == "name", _name(value, new_family, word_seed, 1 + longer))
+        .otherwise(_letters(F.concat(value, F.lit("0" * longer)), seed))
     )
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """type, canonical, surrogate of distinct entities; no surrogate is shared or real."""
+    """type, canonical, surrogate of distinct entities; no surrogate is shared or real.
+
+    Surnames are drawn first, once each: whoever has one keeps it in all forms of the name, and a
+    name that meets another is drawn again in its given names alone.
+    """
+    named = entities.where(F.col("type") == "name").select(family(F.col("canonical")).alias("family"))
+    families = named.distinct().select(F.lit("family").alias("type"), F.col("family").alias("canonical"))
+    new = _distinct_draws(families.withColumn("new_family", F.lit(None).cast("string")), key)
+    new = new.select(F.col("canonical").alias("family"), F.col("surrogate").alias("new_family"))
+    own = F.when(F.col("type") == "name", family(F.col("canonical")))
+    whole = entities.select("type", "canonical", own.alias("family")).join(new, "family", "left")
+    return _distinct_draws(materialize(whole.drop("family"), "entities"), key)
+
+
+def _distinct_draws(entities: DataFrame, key: str) -> DataFrame:
+    """type, canonical, surrogate of ``entities`` (type, canonical, new_family)."""
     real = entities.select("type", F.col("canonical").alias("surrogate"))
     done, turn = None, 0
-    open_rows = entities.select("type", "canonical")
+    open_rows = entities
     while True:
         seed = F.concat_ws("|", F.lit(key), F.lit(str(turn)), "type", "canonical")
         word_seed = F.concat_ws("|", F.lit(key), F.lit(str(turn)))
         drawn = materialize(
             open_rows.withColumn(
-                "surrogate", _surrogate(F.col("type"), F.col("canonical"), seed, word_seed, turn)
+                "surrogate",
+                _surrogate(
+                    F.col("type"), F.col("canonical"), F.col("new_family"), seed, word_seed, turn
+                ),
             ),
             "drawn",
         )
@@ -234,7 +265,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         kept = drawn.join(free, ["type", "surrogate"]).where("canonical = holder")
         kept = materialize(kept.select("type", "canonical", "surrogate"), "kept")
         done = kept if done is None else done.unionAll(kept)
-        open_rows = drawn.join(kept, ["type", "canonical"], "left_anti").select("type", "canonical")
+        open_rows = drawn.join(kept, ["type", "canonical"], "left_anti").drop("surrogate")
         open_rows = materialize(open_rows, "again")
         turn += 1
         if open_rows.isEmpty():

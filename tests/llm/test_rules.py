@@ -149,6 +149,40 @@ def test_surrogates_are_distinct_and_not_real(spark, monkeypatch):
     assert len(set(made)) == len(made) == len({v for (v,) in values})
 
 
+def test_surnames_outlast_collisions(spark, monkeypatch):
+    """Sixteen surnames of four syllables for ninety families: they get longer, and stay shared."""
+    monkeypatch.setattr(pii, "LONGER", 1)
+    monkeypatch.setitem(pii.SYLLABLES, "latin", ["ba", "be"])
+    monkeypatch.setitem(pii.GIVEN, ("latin", "f"), ["Alma", "Berta"])
+    families = [a + b for a in "kern voss lind maar holt dorn".split() for b in "abcdefghijklmno"]
+    names = [f"ms {g} {f}" for f in families[:30] for g in ("ada", "eva", "ida")]
+    names += [f"{t} {f}" for f in families for t in ("ms", "mr")]
+    entities = spark.createDataFrame([("name", n) for n in names], "type string, canonical string")
+    got = {r.canonical: r.surrogate for r in pii.surrogates(entities, "k").collect()}
+    assert len(set(got.values())) == len(got) == len(names)
+    last = {}
+    for name, made in got.items():
+        assert made.split()[0] == name.split()[0] and len(made.split()) == len(name.split())
+        last.setdefault(name.split()[-1], set()).add(made.split()[-1])
+    assert all(len(v) == 1 for v in last.values())
+    assert len({min(v) for v in last.values()}) == len(families)
+    assert not {min(v) for v in last.values()} & set(families)
+
+
+def test_no_text_is_too_much(spark):
+    """A megabyte without a space, long chains of labels, dots, digits and titles."""
+    texts = [
+        "a1" * 500_000, "a@" + "b." * 100_000, "x." * 200_000 + "y@z.de", "@" * 300_000, "a@a" * 200_000,
+        "+1" * 200_000, "1." * 200_000, "Mr " + "Ab" * 200_000, "Mr Ab " * 50_000, "(" * 200_000,
+        "0123456789abcdef" * 40_000, "DE12 " * 60_000, "." * 80 + "ada.kern@mail.de",
+    ]
+    got = pii.replace_pii(frame(spark, [(k, t, "s") for k, t in enumerate(texts)]), "k").collect()
+    after = {r.doc_id: r.text for r in got}
+    assert after[0] == texts[0] and "y@z.de" not in after[2] and "ada.kern" not in after[12]
+    assert after[12].startswith("." * 70) and after[12].endswith(".de")
+    assert after[8] != texts[8] and len(after[8].split()) == 100_000
+
+
 def test_no_python_in_the_plan(spark):
     plan = pii.replace_pii(frame(spark, PII), "k")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
