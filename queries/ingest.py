@@ -78,6 +78,19 @@ def upstream_join(spark, sf):
     return up.observations(*_tables(spark, sf))
 
 
+@query("ingest_skewed_join", with_ctes(
+    [UP.replace("FROM orders JOIN", "FROM hot_orders JOIN").replace("up AS", "hot_up AS")],
+    "SELECT * FROM hot_up").replace("WITH ", """WITH hot_orders AS (SELECT * REPLACE (
+      CASE WHEN o_orderkey % 3 = 0 THEN (SELECT min(c_custkey) FROM customer) ELSE o_custkey END
+      AS o_custkey) FROM orders), """, 1))
+def skewed_join(spark, sf):
+    """A third of all facts on one unit, and no dimension broadcast."""
+    fact, units, sites = _tables(spark, sf)
+    first = units.agg(F.min("at_id")).scalar()
+    hot = F.when(F.col("wait_time_id") % 3 == 0, first).otherwise(F.col("at_id"))
+    return up.observations(fact.withColumn("at_id", hot), units, sites, spread=True)
+
+
 @query("ingest_orphans_drop", with_ctes([UP], """SELECT count(*) AS facts,
     (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey
      WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 3)) AS kept

@@ -1,5 +1,7 @@
 """Table versions, the published pair, records, chunks and the serving query."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from queries import fixtures as fx
@@ -8,6 +10,7 @@ from queries.registry import query, rounded, table, with_ctes
 from slotcast.plans.publish import run_publish
 from slotcast.schemas import PREDICTION_KEY, SILVER
 from slotcast.session import scratch_path
+from slotcast.sources import catalog
 from slotcast.sources import serving as sv
 from slotcast.sources.store import TableStore
 
@@ -75,6 +78,52 @@ def fetch_pair(spark, sf):
     return rounded(sv.fetch_pair(store)[1], *VALUES)
 
 
+KPI_SELECT = "SELECT * REPLACE (round(kpi_value, 6) AS kpi_value) FROM kpi_pair"
+
+
+@query("io_fetch_kpis", with_ctes(PAIR, KPI_SELECT))
+def fetch_kpis(spark, sf):
+    """The other half of the published pair."""
+    store = _store(spark)
+    sv.publish_pair(store, *pair(spark, sf), RUN_ID)
+    return rounded(sv.fetch_pair(store)[0], "kpi_value")
+
+
+@query("io_kpis_parquet", with_ctes(PAIR, KPI_SELECT))
+def kpis_parquet(spark, sf):
+    folder = scratch_path(spark, "pair")
+    sv.save_pair(*pair(spark, sf), folder)
+    return rounded(sv.load_pair(spark, folder)[0], "kpi_value")
+
+
+@query("io_catalog_tables", """SELECT step, present, rows FROM (SELECT count(*) AS n FROM events),
+    (VALUES ('before', FALSE, 0), ('created', TRUE, 0), ('filled', TRUE, 1), ('kept', TRUE, 1),
+      ('dropped', FALSE, 0)) v(step, present, part),
+    LATERAL (SELECT CASE WHEN present THEN CAST(part * n AS DOUBLE) END AS rows)""")
+def catalog_tables(spark, sf):
+    """A bronze table by its name: created once, filled, created again without effect, dropped."""
+    schema = f"slotcast_{uuid.uuid4().hex[:12]}"
+    name, seen = f"{schema}.raw_observations", []
+
+    def look(step):
+        present = catalog.table_exists(spark, name)
+        seen.append((step, present, float(catalog.table_count(spark, name)) if present else None))
+
+    catalog.ensure_schema(spark, schema)
+    look("before")
+    catalog.ensure_bronze(spark, name, scratch_path(spark, "catalog"))
+    look("created")
+    fx.bronze(spark, sf).write.insertInto(name)
+    look("filled")
+    catalog.ensure_bronze(spark, name)
+    look("kept")
+    if catalog.drop_tables(spark, name) or catalog.drop_tables(spark, f"{schema}.absent"):
+        raise RuntimeError("a table could not be dropped")
+    look("dropped")
+    spark.sql(f"DROP SCHEMA {schema}")
+    return spark.createDataFrame(seen, "step string, present boolean, rows double")
+
+
 @query("io_pair_parquet", with_ctes(PAIR, PAIR_SELECT))
 def pair_parquet(spark, sf):
     folder = scratch_path(spark, "pair")

@@ -24,6 +24,16 @@ def _land(spark, sf, copies=1):
     return path
 
 
+def _weekly(spark, sf, drain):
+    """The observations land week after week, and ``drain`` takes each week when it is there."""
+    path, rows = scratch_path(spark, "landing"), fx.landing(spark, sf)
+    week = F.date_trunc("week", "ts_utc")
+    # One entry a week, however many observations there are.
+    for start in sorted(r[0] for r in rows.select(week.alias("week")).distinct().collect()):
+        rows.where(week == F.lit(start)).write.parquet(f"{path}/dt={start:%Y-%m-%d}")
+        _done(drain(path))
+
+
 def _done(stream):
     stream.awaitTermination()
     if stream.exception() is not None:
@@ -75,9 +85,13 @@ def slot_means(spark, sf):
     GROUP BY ALL""")
 def closed_slots(spark, sf):
     """Slots that the watermark has closed, each written once; two days of slots stay open."""
-    landing, out = _land(spark, sf), scratch_path(spark, "slots")
-    means = ss.slot_means(ls.read_landing(spark, landing, 1), S, "2 days")
-    _done(ss.drain_closed_slots(means, out, scratch_path(spark, "checkpoint")))
+    out, checkpoint = scratch_path(spark, "slots"), scratch_path(spark, "checkpoint")
+
+    def drain(landing):
+        means = ss.slot_means(ls.read_landing(spark, landing), S, "2 days")
+        return ss.drain_closed_slots(means, out, checkpoint)
+
+    _weekly(spark, sf, drain)
     return rounded(spark.read.parquet(out).drop("epoch"), "wait_time")
 
 
@@ -88,9 +102,13 @@ def closed_slots(spark, sf):
     FROM newest""")
 def unit_silence(spark, sf):
     """Units without an observation for four hours, when the stream is an hour behind at most."""
-    landing, out = _land(spark, sf), scratch_path(spark, "silence")
-    changes = quiet.silence(ls.read_landing(spark, landing, 1), 240, "1 hour")
-    _done(quiet.drain_silence(changes, out, scratch_path(spark, "checkpoint")))
+    out, checkpoint = scratch_path(spark, "silence"), scratch_path(spark, "checkpoint")
+
+    def drain(landing):
+        changes = quiet.silence(ls.read_landing(spark, landing), 240, "1 hour")
+        return quiet.drain_silence(changes, out, checkpoint)
+
+    _weekly(spark, sf, drain)
     return quiet.unit_freshness(spark, out)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from slotcast.functions.skew import spread_join
 from slotcast.schemas import LANDING, LANDING_COLUMNS
 
 MAX_ID = 2**63 - 1
@@ -101,14 +102,24 @@ def coerce_landing(df: DataFrame) -> DataFrame:
     return df.select(*(typed(c) for c in LANDING_COLUMNS))
 
 
-def observations(fact: DataFrame, units: DataFrame, sites: DataFrame) -> DataFrame:
+def observations(
+    fact: DataFrame, units: DataFrame, sites: DataFrame, spread: bool = False
+) -> DataFrame:
     """Observations with unit and site names; an observation without either drops out.
 
     fact(wait_time_id, wait_time, wait_time_upd_dt, at_id), units(at_id, at_name, tp_id),
     sites(tp_id, tp_name). No join is hinted: the dimensions are broadcast while their
     statistics stay below the session's threshold, and are shuffled beyond it.
+
+    ``spread`` is for dimensions beyond that threshold where a few units have most of the
+    observations: units get their sites first, so that facts are joined once, and facts of
+    a hot unit, or units of a hot site, are dealt to several tasks.
     """
-    joined = fact.join(units, "at_id").join(sites, "tp_id")
+    if spread:
+        named = spread_join(units.select("at_id", "at_name", "tp_id"), sites, "tp_id")
+        joined = spread_join(fact, named, "at_id")
+    else:
+        joined = fact.join(units, "at_id").join(sites, "tp_id")
     return coerce_landing(
         joined.select(
             "wait_time_id",

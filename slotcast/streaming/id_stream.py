@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.streaming import StreamingQuery
 
+# Spark plans a source in a worker that does not have the files of the application yet.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Tasks that list the ranges of one batch; each may list many.
 SLICES = 16
 

@@ -8,7 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from slotcast.functions import clock
+from slotcast.functions import clock, skew
 from slotcast.operators import gold as go
 from slotcast.operators import ingest as ing
 from slotcast.operators.checks import QualityCheckError
@@ -50,6 +50,27 @@ def test_orphans_drop_and_the_mark_is_strict(spark):
     assert [r["wait_time_id"] for r in capped.collect()] == [4, 6]
 
 
+def test_a_hot_unit_is_split(spark):
+    fact, units, sites = upstream(spark, 3000)
+    fact = fact.withColumn("at_id", F.when(F.col("wait_time_id") % 3 > 0, 0).otherwise(
+        F.col("wait_time_id") % 400))
+    units = spark.range(400).select(F.col("id").alias("at_id"), F.concat(F.lit("u"), "id").alias("at_name"),
+                                    F.when(F.col("id") < 300, 1).otherwise(2).alias("tp_id"))
+    dealt, copies = skew.salted(fact, units, "at_id", 16, 10)
+    sizes = {(r["at_id"], r["_salt"]): r["n"] for r in
+             dealt.groupBy("at_id", "_salt").agg(F.count(F.lit(1)).alias("n")).collect()}
+    hot = [n for (unit, _), n in sizes.items() if unit == 0]
+    assert len(hot) == 16 and sum(hot) > 2000 and max(hot) < 2000 / 16 * 2
+    assert {salt for unit, salt in sizes if unit != 0} == {0}
+    assert copies.count() == 400 + 15 and copies.where("at_id = 0").count() == 16
+    spread = up.observations(fact, units, sites, spread=True)
+    assert spread.exceptAll(up.observations(fact, units, sites)).isEmpty()
+    assert spread.count() == up.observations(fact, units, sites).count() > 2000
+    text = spread._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and text.count("SortMergeJoin") == 2
+    assert skew.spread_join(fact.limit(0), units, "at_id").count() == 0
+
+
 def test_a_capped_batch_is_the_oldest_rows(spark):
     """Ids with gaps, in one case all far apart, against sorting by hand."""
     from hypothesis import given, settings
