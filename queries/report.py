@@ -3,9 +3,13 @@
 from pyspark.sql import functions as F
 
 from queries import fixtures as fx
-from queries.gold import PAIR, pair
+from queries.gold import PAIR, RUN_ID, pair
 from queries.registry import query, rounded, with_ctes
 from slotcast.operators import report as rp
+from slotcast.plans.report_job import run_report
+from slotcast.session import scratch_path
+from slotcast.sources import serving as sv
+from slotcast.sources.store import TableStore
 
 S = fx.SETTINGS
 TILE_ROWS = ", ".join(f"({i}, '{k}', '{label}', '{u}')" for i, (k, label, u) in enumerate(rp.TILES))
@@ -123,3 +127,20 @@ def hardest(spark, sf):
     strftime(min(generated_at), '%Y-%m-%d %H:%M') AS published FROM predictions"""))
 def provenance(spark, sf):
     return rp.provenance_strip(*pair(spark, sf))
+
+
+@query("report_job", with_ctes(OWN, f"""SELECT 'provenance' AS section, count(DISTINCT run_id) AS rows
+    FROM kpi_pair
+    UNION ALL SELECT 'tiles', {len(rp.TILES)} FROM kpi_pair WHERE is_serving HAVING count(*) > 0
+    UNION ALL SELECT 'comparison', count(DISTINCT model) FROM kpi_pair
+    UNION ALL SELECT 'daily', count(DISTINCT CAST(ts_local AS DATE)) FROM own
+    UNION ALL SELECT 'hourly', count(DISTINCT hour(ts_local)) FROM own
+    UNION ALL SELECT 'histogram', 18 * count(DISTINCT model_name) FROM predictions
+      WHERE row_kind = 'backtest' AND error_min IS NOT NULL
+    UNION ALL SELECT 'scale', 1
+    UNION ALL SELECT 'hardest', least(15, count(DISTINCT (park_name, ride_key))) FROM own"""))
+def job(spark, sf):
+    """The job on a published pair: rows of each table that it wrote."""
+    store = TableStore(spark, scratch_path(spark, "store"))
+    sv.publish_pair(store, *pair(spark, sf), RUN_ID)
+    return run_report(store, S, fx.now_local(), scratch_path(spark, "report"))

@@ -14,6 +14,7 @@ from slotcast.operators import ingest as ing
 from slotcast.operators.checks import QualityCheckError
 from slotcast.plans.ingest_run import run_ingest
 from slotcast.plans.publish import run_publish
+from slotcast.plans.report_job import run_report
 from slotcast.schemas import BRONZE, KPIS, LANDING, LANDING_COLUMNS, PREDICTIONS
 from slotcast.sources import catalog, landing
 from slotcast.sources import serving as sv
@@ -404,6 +405,41 @@ def test_the_publish_job_refuses_what_a_guard_finds(spark, scratch):
         sv.publish_pair(target, kpis, differing, "r3")
 
 
+def test_a_load_that_breaks_is_tried_again(spark, scratch, monkeypatch):
+    source, target = TableStore(spark, scratch("a")), TableStore(spark, scratch("b"))
+    sv.publish_pair(source, *a_pair(spark), "r1")
+    load, calls = sv.publish_pair, []
+
+    def breaks(*args):
+        calls.append(args)
+        if len(calls) < 3:
+            target.write("kpis", args[1], "half")
+            raise ConnectionError("reset")
+        return load(*args)
+
+    monkeypatch.setattr(sv, "publish_pair", breaks)
+    early = clock.naive(datetime(2000, 1, 1))
+    done = run_publish(source, target, early, pause_s=0)
+    assert len(calls) == 3 and done["published_rows"] == sv.fetch_pair(target)[1].count()
+    assert target.candidates() == {}
+    calls.clear()
+    with pytest.raises(ConnectionError):
+        run_publish(source, TableStore(spark, scratch("c")), early, attempts=2, pause_s=0)
+    assert len(calls) == 2
+
+
+def test_the_report_is_of_one_checked_pair(spark, scratch):
+    store, out = TableStore(spark, scratch("a")), scratch("report")
+    sv.publish_pair(store, *a_pair(spark), "r1")
+    with pytest.raises(QualityCheckError):
+        run_report(store, SETTINGS, clock.naive(datetime(2100, 1, 1)), out)
+    assert not os.path.exists(out)
+    rows = run_report(store, SETTINGS, clock.naive(datetime(2000, 1, 1)), out)
+    counts = {r["section"]: r["rows"] for r in rows.collect()}
+    assert set(counts) == set(os.listdir(out)) and counts["tiles"] == 7 and counts["provenance"] == 1
+    assert spark.read.parquet(f"{out}/provenance").first()["run_id"] == sv.fetch_pair(store)[0].first()["run_id"]
+
+
 def test_publishing_swaps_both_or_none(spark, scratch):
     store = TableStore(spark, scratch("serving"))
     kpis, predictions = a_pair(spark)
