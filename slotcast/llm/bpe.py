@@ -17,6 +17,8 @@ import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 import regex
 
 END = 0x1000
@@ -265,7 +267,7 @@ class Encoder:
     says what is kept of a chunk: its packed ids, or the number of its tokens.
     """
 
-    def __init__(self, path: str, memory: int = 256 << 20, counts: bool = False):
+    def __init__(self, path: str, memory: int = 192 << 20, counts: bool = False):
         self.merges = Merges(path)
         self.splitter = Pieces(self.merges)
         self.memory = memory
@@ -278,10 +280,15 @@ class Encoder:
             s: 1 if counts else number.to_bytes(4, "little")
             for s, number in self.merges.special.items()
         }
-        self._bytes = {
+        spelled = {
             number: bytes(ord(c) % END if self.merges.suffix else ord(c) for c in word)
             for number, word in self.merges.text.items()
         } | {number: s.encode() for s, number in self.merges.special.items()}
+        # The bytes of all tokens in one row, and where each begins.
+        listed = [spelled.get(number, b"") for number in range(1 + max(spelled, default=0))]
+        self._buffer = np.frombuffer(b"".join(listed) or b"\0", np.uint8)
+        self._sizes = np.array([len(b) for b in listed], np.int64)
+        self._starts = np.cumsum(self._sizes) - self._sizes
 
     def _bodies(self, bodies: list[str]) -> None:
         """Encode distinct bodies into ``known``."""
@@ -303,6 +310,7 @@ class Encoder:
             self._older, self._held = self.known, 0
             self.known = {}
         older, known = self._older, self.known
+        before = len(known)
         fresh, derived = set(), []
         for chunk in new:
             value = older.get(chunk)
@@ -326,7 +334,7 @@ class Encoder:
             self._bodies(listed[at : at + BATCH])
         for chunk, body, tail in derived:
             known[chunk] = known[body] + known[tail] if tail else known[body]
-        self._held += 220 * (len(new) + len(fresh)) + sum(map(len, new))
+        self._held += 220 * (len(known) - before) + sum(map(len, new))
 
     def values(self, texts: list[str]) -> list[list[bytes | int]]:
         """Per text what is known of its chunks, in order, learning the new ones first."""
@@ -364,9 +372,34 @@ class Encoder:
         """Token ids of each text as little-endian unsigned 32-bit integers."""
         return [b"".join(found) for found in self.values(texts)]
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of byte-level ids; bytes that are not UTF-8 become replacement characters."""
-        return b"".join(map(self._bytes.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """Texts of byte-level ids that end at ``ends``; all bytes of a slice are gathered at once.
+
+        Bytes that are not UTF-8 become replacement characters.
+        """
+        sizes = self._sizes[ids]
+        after = np.cumsum(sizes, dtype=np.int64)
+        total = int(after[-1]) if len(after) else 0
+        kind = np.int32 if total < 1 << 30 else np.int64
+        at = np.repeat((self._starts[ids] - (after - sizes)).astype(kind), sizes)
+        at += np.arange(total, dtype=kind)
+        raw = self._buffer[at]
+        cuts = np.concatenate([[0], after])[np.concatenate([[0], ends])]
+        data = raw.tobytes()
+        try:
+            data.decode("utf-8")
+            # A text that begins inside a character was not whole before either.
+            inside = cuts[cuts < total]
+            whole = not ((raw[inside] & 0xC0) == 0x80).any() and total < 1 << 31
+        except UnicodeDecodeError:
+            whole = False
+        if whole:
+            offsets = pa.py_buffer(cuts.astype(np.int32))
+            return pa.StringArray.from_buffers(len(cuts) - 1, offsets, pa.py_buffer(data))
+        return pa.array(
+            [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:], strict=False)],
+            pa.string(),
+        )
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}

@@ -39,12 +39,11 @@ def encode_decode(
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
             if ends[-1] >= 1 << 31:
                 raise OverflowError("one text has more tokens than an array can hold")
-            decoded = [coder.decode(np.frombuffer(p, "<u4").tolist()) for p in packed]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
-                    pa.array(decoded, pa.string()),
+                    coder.decode(ids, ends[1:]),
                 ],
                 names=["doc_id", "ids", "decoded"],
             )

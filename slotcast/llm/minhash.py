@@ -14,8 +14,8 @@ list all pairs of a bucket:
 1. each representative against the smallest one it meets in any bucket;
 2. in ``HUBS`` turns each member outside of the largest component of a bucket against one member
    of that, another one in each turn;
-3. pairs of a bucket that are still in different components, unless the windows that others
-   share at all, or the sketches (``Scheme.least_equal``), rule out the similarity.
+3. sets that still meet another component in a bucket, by a prefix filter over their windows
+   (``_possible``), unless the sketches (``Scheme.least_equal``) rule out the similarity.
 
 After 1 and 2 a group of near copies is one component or a few, so 3 is left with stragglers; it
 is there to lose no link. Components are joined by contraction of edges in written tables, so
@@ -38,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from slotcast.llm.common import id_and_text, row_hash, slices, unused
 from slotcast.llm.words import find_words, mix
@@ -208,32 +209,36 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 def _possible(rest: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
-    """Pairs (a, b) of a bucket in different components that may be similar enough.
+    """Pairs (a, b) in different components that may be similar enough, by a prefix filter.
 
-    Windows that only one of the remaining sets has cannot be shared. What is left of either set
-    bounds the pair's intersection, which rules out far copies without looking at their pairs'
-    windows; sketches rule out most others.
+    The windows of each of the remaining sets are put in order, the rarest among them first. Two
+    sets of n and m windows that are similar enough share one among the first
+    n - ceil(percent * n) + 1 of either, and the first one they share leaves enough windows after
+    it in both. So only these are indexed and joined, with sets of a size that allows the
+    similarity; the bound is exact. Windows that one set alone has are counted and not indexed.
     """
-    nodes = materialize(rest.select("node").distinct(), "stragglers")
-    own = materialize(sets.join(nodes, "node", "left_semi"), "own")
-    windows = own.select("node", F.explode("members").alias("window"))
-    holders = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
-    alone = holders.where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-    size = F.size("members").cast("bigint")
-    known = materialize(
-        own.join(alone, "node", "left").select(
-            "node", "marks", size.alias("size"), (size - F.coalesce("alone", F.lit(0))).alias("most")
-        ),
-        "known",
+    labels = rest.select("node", "label").distinct()
+    own = materialize(sets.select("node", "members").join(labels, "node"), "own")
+    windows = own.select(
+        "node", "label", F.size("members").alias("size"), F.explode("members").alias("window")
     )
-    rest = rest.select("key", "node", "label").distinct().join(known, "node")
-    a = rest.toDF("a", "key", "la", "ma", "na", "xa")
-    b = rest.toDF("b", "key", "lb", "mb", "nb", "xb")
-    most = F.least("xa", "xb")
+    holders = materialize(windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")), "holders")
+    in_order = W.partitionBy("node").orderBy("n", "window")
+    least = -F.floor(F.lit(-scheme.percent) * F.col("size") / F.lit(100))
+    index = materialize(
+        windows.join(holders, "window")
+        .withColumn("place", F.row_number().over(in_order))
+        .where((F.col("place") <= F.col("size") - least + 1) & (F.col("n") > 1))
+        .select("window", "node", "label", "size", "place"),
+        "prefixes",
+    )
+    a = index.toDF("window", "a", "la", "na", "pa")
+    b = index.toDF("window", "b", "lb", "nb", "pb")
+    left = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
     near = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))
-    near &= 100 * most >= scheme.percent * (F.col("na") + F.col("nb") - most)
-    near &= _equal_marks("ma", "mb") >= scheme.least_equal
-    return a.join(b, "key").where(near).select("a", "b").distinct()
+    near &= (100 + scheme.percent) * left >= scheme.percent * (F.col("na") + F.col("nb"))
+    near &= 100 * F.least("na", "nb") >= scheme.percent * F.greatest("na", "nb")
+    return a.join(b, "window").where(near).select("a", "b").distinct()
 
 
 class Components:

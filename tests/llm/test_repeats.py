@@ -46,6 +46,28 @@ def test_components(spark, k):
     assert minhash.near_duplicates(frame(spark, []), scheme).count() == 0
 
 
+@pytest.mark.parametrize("percent", [60, 80, 95])
+def test_the_prefix_filter_loses_no_pair(spark, percent):
+    """Sets of many sizes around shared ones, each its own component."""
+    draw, sets = random.Random(percent), []
+    for base in range(12):
+        core = [draw.randrange(400) for _ in range(draw.randint(1, 60))]
+        for _ in range(9):
+            rate = draw.choice([0, 0.02, 0.15])
+            own = {w for w in core if draw.random() >= rate}
+            own |= {draw.randrange(2000) for _ in range(draw.randint(0, 6) if rate else 0)}
+            sets.append(own or {base})
+    held = spark.createDataFrame(
+        [(k, sorted(s)) for k, s in enumerate(sets)], "node bigint, members array<bigint>"
+    )
+    rest = spark.createDataFrame([(1, k, k) for k in range(len(sets))], "key int, node bigint, label bigint")
+    found = minhash._possible(rest, held, minhash.Scheme(percent=percent)).collect()
+    got = {(r.a, r.b) for r in found}
+    near = {(i, j) for j, b in enumerate(sets) for i, a in enumerate(sets[:j])
+            if 100 * len(a & b) >= percent * len(a | b)}
+    assert near and near <= got and len(got) < len(sets) * (len(sets) - 1) // 2
+
+
 def test_every_coordinate_is_filled_and_estimates_similarity():
     draw = np.random.default_rng(2)
     for size in (1, 3, 50, 2000):
