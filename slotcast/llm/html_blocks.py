@@ -12,7 +12,15 @@ _TOKEN = re.compile(
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _WORD = re.compile(r"[a-zA-Z]+")
-RAW = {"script", "style", "noscript", "template", "title", "textarea", "svg", "iframe", "math"}
+RAW = {"script", "style", "template", "title", "textarea", "iframe"}
+#: Drawings and formulas: their tags are inline and their text belongs to the block around them,
+#: until they are closed or a block of the page begins.
+FOREIGN = {"svg", "math"}
+BREAKS_OUT = {
+    "article", "aside", "blockquote", "body", "center", "dd", "div", "dl", "dt", "footer", "form", "h1",
+    "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "p", "pre", "section",
+    "table", "ul",
+}
 VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track",
     "wbr",
@@ -46,7 +54,8 @@ def _names(attributes: str) -> tuple[str, ...]:
 
 
 def leaf_blocks(page: str) -> list[Block]:
-    """Blocks in page order; scripts, styles, comments and the title hold none.
+    """Blocks in page order; scripts, styles, comments and the title hold none. Formulas and the
+    text of drawings stay in their block.
 
     White space is collapsed after character references are decoded; blocks without text are left
     out. Unclosed elements end where their container ends, and a block tag ends a paragraph.
@@ -54,7 +63,7 @@ def leaf_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
     path: list[tuple[str, tuple[str, ...]]] = []
     pieces: list[str] = []
-    linked, links = 0, 0
+    linked, links, foreign = 0, 0, 0
 
     def flush() -> None:
         nonlocal linked
@@ -86,6 +95,15 @@ def leaf_blocks(page: str) -> list[Block]:
                 close = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
                 at = close.end() if close else end
             continue
+        if tag in FOREIGN:
+            if closing:
+                foreign = max(0, foreign - 1)
+            elif not token.group(3).endswith("/"):
+                foreign += 1
+            continue
+        if foreign and tag not in BREAKS_OUT:
+            continue
+        foreign = 0
         if tag in VOID:
             if tag == "hr":
                 flush()

@@ -66,7 +66,7 @@ def _text_features(block: Block) -> list[str]:
     ]
     if any(c in text for c in LETTERS):
         out.append("sign")
-    if sum(map(str.isdigit, text[:200])) * 4 > min(n, 200):
+    if sum(map(str.isdigit, text)) * 4 > n:
         out.append("digits")
     return out
 

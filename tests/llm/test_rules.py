@@ -296,6 +296,22 @@ def test_leaf_blocks():
     assert [b.text for b in leaf_blocks("a < b <p>c")] == ["a < b", "c"]
 
 
+def test_formulas_drawings_and_fallbacks_are_text():
+    def texts(page):
+        return [b.text for b in leaf_blocks(page)]
+
+    energy = "<p>Energy <math><mrow><mi>E</mi><mo>=</mo><msup>m</msup></mrow></math> is <b>x</b>.</p>"
+    assert texts(energy) == ["Energy E=m is x."]
+    assert texts("<p>a <svg width=1><g><text>label</text></g></svg> b</p><p>c") == ["a label b", "c"]
+    # Never closed: the next block of the page ends it.
+    assert texts("<p>a <svg><path d='m'> b <p>c</p><div>d <math>e</div>f") == ["a b", "c", "d e", "f"]
+    assert texts("<p>a <svg/> b</p>") == ["a b"]
+    assert texts("<div>a<noscript><p>no script</p></noscript></div>") == ["a", "no script"]
+    assert texts("<p>x <svg><style>p {}</style><script>1</script>y</svg></p>") == ["x y"]
+    long = "<article>" + "<p>word " * 30_000 + "<math>" * 2000 + "z"
+    assert len(texts(long)) == 30_000
+
+
 def test_extraction_on_pages_and_held_out_layouts(spark, sf):
     import random
 
