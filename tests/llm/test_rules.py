@@ -380,6 +380,25 @@ def test_pipeline_stages_take_effect(spark, sf, monkeypatch):
     assert plain((r.doc_id, r.n_tokens) for r in final) == plain((r.doc_id, r.n_tokens) for r in seen[4][1])
 
 
+def test_pipeline_stages_take_awkward_rows(spark, sf):
+    """Nulls in every column, empty and very long texts, repeats, clashing names, no rows at all."""
+    rows = [*corpus(), (90, "word " * 200_000, None), (None, "x", "s1"), (None, None, "s1")]
+    docs = frame(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.col("lang")))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        nothing = stage(spark, docs.limit(0), sf)
+        assert nothing.count() == 0 and nothing.columns == out.columns
+        if name == corpus_pipeline.STAGES[-1][0]:
+            assert out.count() == len(rows)
+            continue
+        assert out.columns == docs.columns
+        left = {(r.doc_id, r.text, r.source) for r in out.collect()}
+        if name in ("quality", "near_duplicates", "decontamination"):
+            assert left and left <= {(d, t, s) for d, t, s in rows}
+        else:
+            assert out.count() == len(rows)
+
+
 def test_queries_are_registered():
     found = {int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES}
-    assert found == set(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
+    assert found == set(range(1, 14)) and set(queries.ORACLES) <= set(queries.QUERIES)
