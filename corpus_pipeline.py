@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and returns rows with the columns of ``documents``, only the
 last returns the encoded texts. ``run`` writes every stage's result to the shared folder and goes
 on from there, so a lost executor costs no finished stage.
+
+Defined cases: a null text counts as empty, has no words and is rejected by the quality stage; in
+the later stages it is linked with nothing, holds no test item and no personal data, stays null and
+encodes to no tokens. A null id or language is kept as it is; a null host is judged by the base
+rules alone. Rows that are equal in id and text are one document to near duplicates, of which one
+row stays. Of a group without ids one row of each distinct text stays. Whole texts of any length are
+read. Columns that ``documents`` does not have, whatever their names, pass through all stages but
+the last. An empty table gives empty results with the same columns.
 """
 
 from __future__ import annotations
