@@ -190,9 +190,11 @@ def manifest(
         F.col(f"`{order}`").cast("bigint").alias("id"),
         leaf(own).alias("leaf"),
         (leaf(claimed) if claim else F.lit(None).cast("string")).alias("claimed"),
+        # Tells equal rows apart, so that many of them are dealt to many tasks.
+        F.monotonically_increasing_id().alias("row"),
     ).withColumn("claimed", F.when(F.col("claimed") != F.col("leaf"), F.col("claimed")))
     numbered = materialize(
-        with_row_index(materialize(leaves, "leaves"), ["tree_name", "id", "leaf"]), "numbered"
+        with_row_index(materialize(leaves, "leaves"), ["tree_name", "id", "leaf", "row"]), "numbered"
     )
     trees = materialize(
         numbered.groupBy("tree_name").agg(
