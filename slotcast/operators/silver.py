@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 
 from slotcast.config import Settings
 from slotcast.functions import clock, text
+from slotcast.functions.idfilter import Repeated
 from slotcast.schemas import SILVER_COLUMNS, SLOT_KEY, UNIT_KEY
 from slotcast.session import materialize
 
@@ -36,39 +37,39 @@ def site_table(spark: SparkSession, settings: Settings) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def repeated_ids(bronze: DataFrame, watch: Watched | None = None) -> DataFrame:
-    """Ids that two or more observations share, written once so that their size is known.
+def repeated_ids(bronze: DataFrame, watch: Watched | None = None) -> Repeated:
+    """A filter that the ids of two or more observations pass, and few others.
 
-    Only ids are counted: a hash aggregate over one column, combined inside each task. This is
-    the one pass that sees every observation, so ``watch`` counts them here, as ``raw``.
+    Only ids are read, combined inside each task. This is the one pass that sees every
+    observation, so ``watch`` counts them here, as ``raw``.
     """
+    ids = bronze.select(F.col("wait_time_id").cast("bigint").alias("wait_time_id"))
     if watch is not None:
-        bronze = watch(bronze.select("wait_time_id"), "raw", rows=F.count(F.lit(1)))
-    counted = bronze.groupBy("wait_time_id").agg(F.count(F.lit(1)).alias("n"))
-    several = counted.where((F.col("n") > 1) & F.col("wait_time_id").isNotNull())
-    return materialize(several.select("wait_time_id", F.lit(True).alias("_again")), "repeated_ids")
+        ids = watch(ids, "raw", rows=F.count(F.lit(1)))
+    return Repeated(ids, "wait_time_id")
 
 
 def first_per_id(bronze: DataFrame, watch: Watched | None = None) -> DataFrame:
     """One row per id, the earliest ingested; equal ids beyond it are dropped.
 
     Most ids occur once, and their rows pass through as they are: nothing sorts or shuffles
-    them while the repeated ids are few enough to broadcast. Only rows of repeated ids and
-    those without an id are compared. Among them the row is the minimum over (ingest time, then
-    the other columns), so the choice does not depend on row order, and an id that fills a third
-    of the table (null ids all count as one) leaves each task as one row.
+    them, however many ids are repeated, as the filter of those is bounded and broadcast. Only
+    rows that pass it and those without an id are compared; a single row among them
+    is its own minimum. The row is the minimum over (ingest time, then the other columns), so
+    the choice does not depend on row order, and an id that fills a third of the table (null
+    ids all count as one) leaves each task as one row.
     """
     if "wait_time_id" not in bronze.columns:
         return bronze
     order = ["_ingested_at"] if "_ingested_at" in bronze.columns else []
     rest = [c for c in bronze.columns if c not in ("wait_time_id", *order)]
-    marked = bronze.join(repeated_ids(bronze, watch), "wait_time_id", "left")
+    marked = repeated_ids(bronze, watch).mark(bronze, "_again")
     compared = F.col("_again") | F.col("wait_time_id").isNull()
     first = F.min(F.struct(*order, *rest)).alias("_row")
     chosen = (
         marked.where(compared).groupBy("wait_time_id").agg(first).select("wait_time_id", "_row.*")
     )
-    alone = marked.where(F.col("_again").isNull() & F.col("wait_time_id").isNotNull())
+    alone = marked.where(~F.col("_again") & F.col("wait_time_id").isNotNull())
     return alone.select(*bronze.columns).unionByName(chosen.select(*bronze.columns))
 
 

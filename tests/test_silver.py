@@ -134,3 +134,31 @@ def test_profile_and_age(spark):
     assert si.data_age_hours(silver, now).first()["age_hours"] == 12.0
     empty = silver.where("wait_time < 0")
     assert si.data_age_hours(empty, now).first()["age_hours"] == float("inf")
+
+
+def test_ids_repeated_any_number_of_times_are_found(spark):
+    """Odd and even counts in one run of 64 ids, beside single, negative, huge and missing ids."""
+    times = {0: 1, 1: 2, 2: 3, 3: 4, 63: 1, 64: 2, 65: 1, 200: 3, 201: 3, 300: 5, 301: 1,
+             -1: 2, -64: 1, -65: 3, 2**63 - 1: 2, -(2**63): 2, 2**40: 1, None: 3}
+    rows = [(i, n - k, NOON, f"r{k}", "North", f"2026-03-0{9 - k}")
+            for i, n in times.items() for k in range(n)]
+    kept = {r["wait_time_id"]: r["wait_time"] for r in si.first_per_id(bronze(spark, rows)).collect()}
+    assert kept == dict.fromkeys(times, 1)
+    assert si.first_per_id(bronze(spark, rows)).count() == len(times)
+
+
+def test_many_repeated_ids_shuffle_no_single_row(spark):
+    """However many ids are repeated, rows of single ids meet no shuffle and no sort."""
+    ids = spark.range(400_000).select(
+        F.explode(F.array("id", F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(F.col("id") + 10**9)))
+        .alias("wait_time_id"))
+    # Wider than the broadcast threshold as a list of ids, narrower as a filter.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    try:
+        first = si.first_per_id(ids.withColumn("wait_time", F.col("wait_time_id") % 7))
+        text = first._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+    assert text.count("Exchange hashpartitioning") == 1
+    assert first.count() == 600_000 and first.distinct().count() == 600_000
