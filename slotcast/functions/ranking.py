@@ -22,17 +22,17 @@ def with_row_index(df: DataFrame, order: list[str], name: str = "row_index") ->
     ``order`` must identify a row, so that equal keys cannot swap places.
     """
     ranged = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
-    placed = materialize(ranged.withColumn("_mid", F.monotonically_increasing_id()), "ranked")
+    rows = materialize(ranged.withColumn("_mid", F.monotonically_increasing_id()), "ranked")
     part = F.shiftright("_mid", _SHIFT)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition of the shuffle above, whatever the size of the data.
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    # One row per partition of the shuffle above, whatever the size of the data, so it is broadcast.
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     first = sizes.select(
         "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first")
     )
     return (
-        placed.withColumn("_part", part)
-        .join(first, "_part")
+        rows.withColumn("_part", part)
+        .join(F.broadcast(first), "_part")
         .withColumn(name, F.col("_first") + F.col("_mid").bitwiseAND(F.lit(_MASK)))
         .drop("_mid", "_part", "_first")
     )

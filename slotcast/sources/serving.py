@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from slotcast.config import Settings
 from slotcast.functions.numbers import finite_or_null
@@ -23,8 +24,11 @@ RECORD_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 # ---- end of fixed values ------------------------------------------------------------
 
 
-def to_records(df: DataFrame, name: str = "record") -> DataFrame:
-    """Add each row as a JSON document: no NaN or infinity, nulls kept, ISO times."""
+def to_records(
+    df: DataFrame, name: str = "record", columns: list[str] | None = None
+) -> DataFrame:
+    """Add each row, or some columns of it, as a JSON document: no NaN or infinity, nulls kept,
+    ISO times."""
 
     def value(field: T.StructField) -> Column:
         c = F.col(field.name)
@@ -34,7 +38,7 @@ def to_records(df: DataFrame, name: str = "record") -> DataFrame:
             c = F.date_format(c, RECORD_TIME)
         return c.alias(field.name)
 
-    document = F.struct(*(value(f) for f in df.schema.fields))
+    document = F.struct(*(value(df.schema[c]) for c in columns or df.columns))
     return df.withColumn(name, F.to_json(document, {"ignoreNullFields": "false"}))
 
 
@@ -42,13 +46,21 @@ def with_chunks(df: DataFrame, key: list[str], settings: Settings) -> DataFrame:
     """Rows numbered in key order and cut into chunks of ``chunk_rows``.
 
     Equal rows, as a resend leaves them, become one; rows that differ under one key are refused.
-    They are written before they are numbered, as the range shuffle looks at its input twice.
+    One shuffle brings rows of one key side by side, where copies are dropped and other values found.
+    The rest is written before it is numbered, as the range shuffle looks at its input twice.
     """
-    rows = materialize(df.distinct(), "distinct")
-    refuse_repeated(rows, key, "rows")
-    placed = with_row_index(rows, key)
+    rest = [c for c in df.columns if c not in key]
+    group = W.partitionBy(*key).orderBy(*(rest or key))
+    again = F.row_number().over(group) > 1
+    own = F.struct(*(rest or key))
+    equal = F.lag(own).over(group).eqNullSafe(own)
+    marked = df.withColumns({"_copy": again & equal, "_differs": again & ~equal})
+    rows = materialize(marked.where(~F.col("_copy")).drop("_copy"), "distinct")
+    if not rows.where("_differs").isEmpty():
+        raise RepeatedKeyError("nothing published: rows repeat a key with other values")
+    numbered = with_row_index(rows.drop("_differs"), key)
     size = F.lit(settings.chunk_rows)
-    return placed.withColumn("chunk_id", F.floor(F.col("row_index") / size).cast("bigint"))
+    return numbered.withColumn("chunk_id", F.floor(F.col("row_index") / size).cast("bigint"))
 
 
 def refuse_repeated(rows: DataFrame, key: list[str], name: str) -> None:
@@ -120,7 +132,9 @@ def deliver(
     spark = df.sparkSession
     ledger = ledger or Ledger(spark, scratch_path(spark, "ledger"))
     columns = ["chunk_id", "row_index", "record"]
-    records = materialize(with_chunks(to_records(df), key, settings).select(*columns), "records")
+    cut = with_chunks(df, key, settings)
+    # Documents are made where they are read: rows travel as they are, several times shorter.
+    records = to_records(cut, columns=df.columns).select(*columns)
     chunks = materialize(digests(records), "chunks")
     total = chunks.count()
     due = materialize(ledger.missing(chunks), "due")
@@ -136,8 +150,9 @@ def deliver(
 
     failed = None
     for _ in range(attempts):
-        rows = records.join(due.select("chunk_id"), "chunk_id", "left_semi")
-        answers = rows.groupBy("chunk_id").applyInPandas(
+        rows = cut.join(due.select("chunk_id"), "chunk_id", "left_semi").repartition("chunk_id")
+        documents = to_records(rows, columns=df.columns).select(*columns)
+        answers = documents.groupBy("chunk_id").applyInPandas(
             send_chunk, "chunk_id bigint, failure string"
         )
         done = materialize(due.join(answers, "chunk_id"), "answers")

@@ -363,6 +363,36 @@ def test_each_chunk_is_delivered_once(spark, scratch):
         sv.deliver(rows.unionByName(changed), ["id"], small, send, ledger)
 
 
+def test_rows_are_cut_where_they_were_sorted(spark):
+    """Copies of any kind become one, other values are refused, and numbering moves no row."""
+    nan, schema = float("nan"), "k bigint, j string, x double, s string"
+    rows = [(n, None, n / 7, None) for n in range(40)]
+    odd = [(None, "a", nan, "s"), (None, None, None, None), (50, "b", 0.0, ""), (50, None, nan, None)]
+    again = [*rows[::3], *odd, (50, "b", -0.0, ""), *odd]
+    frame = spark.createDataFrame(rows + odd + again, schema).repartition(7)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        by_number = sv.with_chunks(frame, ["x", "k", "j", "s"], SETTINGS).orderBy("row_index")
+        assert [r["k"] for r in by_number.collect()] == [None, 0, 50, *range(1, 40), None, 50]
+        cut = sv.with_chunks(frame, ["k", "j"], replace(SETTINGS, chunk_rows=10))
+        text = cut._jdf.queryExecution().executedPlan().toString()
+        got = sorted(cut.collect(), key=lambda r: r["row_index"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert "hashpartitioning(_part" not in text and "SortMergeJoin" not in text
+    assert [r["row_index"] for r in got] == list(range(44))
+    assert [r["chunk_id"] for r in got] == [n // 10 for n in range(44)]
+    keys = [(r["k"], r["j"]) for r in got]
+    assert keys[:2] == [(None, None), (None, "a")] and keys[2:42] == [(n, None) for n in range(40)]
+    assert keys[42:] == [(50, None), (50, "b")]
+    for other in ((7, None, None, None), (None, None, 1.0, None), (50, None, nan, "t")):
+        spoiled = frame.unionByName(spark.createDataFrame([other], schema))
+        with pytest.raises(sv.RepeatedKeyError):
+            sv.with_chunks(spoiled, ["k", "j"], SETTINGS)
+
+
 def test_chunks_that_never_arrive_are_named(spark, scratch):
     def send(chunk_id, records):
         if chunk_id == 2:
