@@ -1,4 +1,4 @@
-"""Ids that may occur more than once, as a filter of bounded size."""
+"""Ids that are listed, or may occur more than once, as a filter of bounded size."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ from slotcast.session import materialize
 
 #: Slots of one bitmap of ``bitmap_construct_agg``; slots per repeated id; bitmaps of 4 KB at most.
 BLOCK_SLOTS, SLOTS_PER_ID, MOST_BLOCKS = 32768, 16, 16384
-BITS = "_again_bits"
 
 
 def repeated_words(rows: DataFrame, id_col: str) -> DataFrame:
@@ -41,36 +40,51 @@ def _slot(own: Column) -> Column:
     return F.pmod(F.xxhash64(own, F.lit(1)), F.lit(BLOCK_SLOTS)).cast("int")
 
 
-class Repeated:
-    """A filter that every repeated id of ``rows`` passes, and few others.
+class Listed:
+    """A filter that every id of ``ids`` (own; ``count`` of them) passes, and few others.
 
-    Sixteen slots per repeated id, at most 64 MB, so it is broadcast whatever the table: beyond
-    33 million repeated ids more single ids pass, and no repeated one is ever missed.
+    Sixteen slots per id, at most 64 MB, so it is broadcast whatever the table: beyond 33 million
+    ids more of the others pass, and no listed one is ever missed.
     """
 
+    def __init__(self, ids: DataFrame, count: int):
+        self.blocks = min(MOST_BLOCKS, max(1, -(-count * SLOTS_PER_ID // BLOCK_SLOTS)))
+        bitmap = F.bitmap_construct_agg(_slot(F.col("own")).cast("bigint")).alias("bits")
+        # Dealt by block before the bitmaps are built, so that no task sends half-filled ones.
+        dealt = ids.select("own", _block(F.col("own"), self.blocks).alias("block"))
+        self.bitmaps = materialize(
+            dealt.repartition("block").groupBy("block").agg(bitmap), "id_filter"
+        )
+
+    def mark(self, rows: DataFrame, id_col: str, name: str) -> DataFrame:
+        """``rows`` with a column that says whether the id may be listed; false for no id."""
+        own = F.col(id_col).cast("bigint")
+        slot = _slot(own)
+        inner, taken = name, {c.lower() for c in rows.columns}
+        while {f"{inner}_block".lower(), f"{inner}_bits".lower()} & taken:
+            inner += "_"
+        block, bits = f"{inner}_block", f"{inner}_bits"
+        asked = rows.withColumn(block, _block(own, self.blocks))
+        byte = F.conv(F.hex(F.substring(bits, F.shiftright(slot, 3) + 1, F.lit(1))), 16, 10)
+        hit = F.getbit(byte.cast("int"), slot.bitwiseAND(F.lit(7))) == 1
+        marked = asked.join(F.broadcast(self.bitmaps.toDF(block, bits)), block, "left")
+        said = F.coalesce(hit & own.isNotNull(), F.lit(False))
+        return marked.withColumn(name, said).drop(block, bits)
+
+
+class Repeated:
+    """A filter that every repeated id of ``rows`` passes, and few others."""
+
     def __init__(self, rows: DataFrame, id_col: str):
         words = materialize(repeated_words(rows, id_col), "repeated_ids")
         found = words.agg(F.coalesce(F.sum(F.bit_count("bits")), F.lit(0))).first()[0]
-        self.blocks = min(MOST_BLOCKS, max(1, -(-found * SLOTS_PER_ID // BLOCK_SLOTS)))
         self.id_col = id_col
         every = F.sequence(F.lit(0).cast("bigint"), F.lit(63).cast("bigint"))
         places = F.filter(every, lambda i: F.getbit("bits", i.cast("int")) == 1)
         place = words.select("word", F.explode(places).alias("place"))
         ids = place.select(F.shiftleft("word", 6).bitwiseOR(F.col("place")).alias("own"))
-        bitmap = F.bitmap_construct_agg(_slot(F.col("own")).cast("bigint")).alias(BITS)
-        # Dealt by block before the bitmaps are built, so that no task sends half-filled ones.
-        dealt = ids.select("own", _block(F.col("own"), self.blocks).alias("_block"))
-        self.bitmaps = materialize(
-            dealt.repartition("_block").groupBy("_block").agg(bitmap), "id_filter"
-        )
+        self.listed = Listed(ids, found)
 
     def mark(self, rows: DataFrame, name: str) -> DataFrame:
         """``rows`` with a column that says whether the id may be repeated; false for no id."""
-        own = F.col(self.id_col).cast("bigint")
-        slot = _slot(own)
-        asked = rows.withColumn("_block", _block(own, self.blocks))
-        byte = F.conv(F.hex(F.substring(BITS, F.shiftright(slot, 3) + 1, F.lit(1))), 16, 10)
-        hit = F.getbit(byte.cast("int"), slot.bitwiseAND(F.lit(7))) == 1
-        marked = asked.join(F.broadcast(self.bitmaps), "_block", "left")
-        said = F.coalesce(hit & own.isNotNull(), F.lit(False))
-        return marked.withColumn(name, said).drop("_block", BITS)
+        return self.listed.mark(rows, self.id_col, name)

@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 import regex
 
+from slotcast.llm.common import held
+
 END = 0x1000
 BATCH = 20_000
 MARK = "\0\0special "
@@ -402,11 +404,6 @@ class Encoder:
         )
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
-
-
 def encoder(path: str, counts: bool = False) -> Encoder:
-    """One encoder for each tokenizer file and Python worker."""
-    if (path, counts) not in _encoders:
-        _encoders[path, counts] = Encoder(path, counts=counts)
-    return _encoders[path, counts]
+    """One encoder for each tokenizer file and Python worker, while a stage asks for it."""
+    return held((path, counts), lambda: Encoder(path, counts=counts))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,35 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+#: What a worker keeps between tasks: by key the stage that asked last, and the value.
+_held: dict[Any, tuple[int | None, Any]] = {}
+
+
+def _stage() -> int | None:
+    context = TaskContext.get()
+    return None if context is None else context.stageId()
+
+
+def held(key: Any, make: Callable[[], Any]) -> Any:
+    """A value that tasks of one stage share in a worker; ask for it before ``slices``.
+
+    The first task of another stage that does not ask for it drops it, so that workers that are
+    used again do not carry the memory of earlier operators along.
+    """
+    value = _held[key][1] if key in _held else make()
+    _held[key] = _stage(), value
+    return value
+
+
+def _drop_held() -> None:
+    stage = _stage()
+    old = [key for key, (asked, _) in _held.items() if asked != stage]
+    for key in old:
+        del _held[key]
+    if old:
+        pa.default_memory_pool().release_unused()
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
@@ -45,13 +76,14 @@ def slices(
     Python objects made from a slice are then bounded by the longest text, not by the number
     of rows that Arrow happens to send at once.
     """
+    _drop_held()
     for batch in batches:
-        start, held = 0, 0
+        start, size = 0, 0
         lengths = pc.binary_length(batch.column(column)).to_pylist()
         for row, length in enumerate(lengths):
-            held += length or 0
-            if held >= max_bytes:
+            size += length or 0
+            if size >= max_bytes:
                 yield batch.slice(start, row + 1 - start)
-                start, held = row + 1, 0
+                start, size = row + 1, 0
         if start < batch.num_rows:
             yield batch.slice(start)

@@ -40,11 +40,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from slotcast.functions.idfilter import Listed
 from slotcast.llm.common import id_and_text, row_hash, slices, unused
 from slotcast.llm.words import find_words, mix
 from slotcast.session import materialize
 
-SLICE = 2 << 20
+SLICE = 1 << 20
 HUBS = 4
 _EMPTY = np.uint64((1 << 64) - 1)
 
@@ -363,10 +364,23 @@ def near_duplicates(
 def keep_first(
     docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row of each component, with all its columns."""
+    """One row of each component, with all its columns.
+
+    Rows that stay and occur once never leave their task: a filter names the keys of the others,
+    and only rows that it names are compared and travel with their text.
+    """
     found = near_duplicates(docs, scheme, id_col, text_col)
-    key = unused(docs, "row_key")
-    kept = materialize(found.where("kept").select(F.col("row").alias(key)).distinct(), "kept")
+    key, named = unused(docs, "row_key"), unused(docs, "row_named")
+    verdict = materialize(
+        found.groupBy(F.col("row").alias(key)).agg(
+            F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n")
+        ),
+        "verdict",
+    )
+    away = verdict.where(~F.col("kept") | (F.col("n") > 1)).select(F.col(key).alias("own"))
     own = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.withColumn(key, row_hash(F.col(id_col).cast("bigint"), own))
-    return rows.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
+    marked = Listed(away, away.count()).mark(rows, key, named)
+    compared = marked.where(named).join(verdict.where("kept").select(key), key, "left_semi")
+    compared = compared.dropDuplicates([key])
+    return marked.where(~F.col(named)).unionByName(compared).drop(key, named)

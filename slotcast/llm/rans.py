@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from slotcast.llm.bpe import END, Encoder, lower_each
-from slotcast.llm.common import id_and_text, slices
+from slotcast.llm.common import held, id_and_text, slices
 from slotcast.session import materialize
 
 SLICE = 2 << 20
@@ -172,13 +172,9 @@ class LibraryEncoder(Encoder):
             self.known[body] = raw[a:b]
 
 
-_library: dict[str, LibraryEncoder] = {}
-
-
 def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _library.setdefault(tokenizer, None) or LibraryEncoder(tokenizer)
-        _library[tokenizer] = coder
+        coder = held(("library", tokenizer), lambda: LibraryEncoder(tokenizer))
         end = end_id.to_bytes(4, "little")
         kind = "<u2" if max(coder.width, end_id + 1) <= 1 << 16 else "<u4"
         for part in slices(batches, "text", SLICE):

@@ -34,7 +34,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _grow(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
+        size = n + (n >> 3)
         _powers = tuple(
             np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b)]).cumprod(dtype=np.uint64)
             for b in (_BASE, _INVERSE)

@@ -3,11 +3,12 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from slotcast.llm import rans
+from slotcast.llm import common, rans
 from slotcast.llm.bpe import Encoder, encoder
 from slotcast.llm.bpe_codec import encode_decode
 from slotcast.llm.token_counts import token_counts, word_prefix_counts
@@ -109,3 +110,23 @@ def test_token_files(spark, scratch):
     empty = scratch("none")
     rans.write_tokens(frame(spark, []), empty, WORD)
     assert rans.read_tokens(spark, empty).count() == 0
+
+
+def test_a_worker_drops_what_an_earlier_stage_held(monkeypatch):
+    stage, made = [1], []
+    monkeypatch.setattr(common, "_stage", lambda: stage[0])
+    monkeypatch.setattr(common, "_held", {})
+    batch = pa.RecordBatch.from_arrays([pa.array(["x"])], names=["text"])
+
+    def ask():
+        return common.held("tokenizer", lambda: made.append(stage[0]) or object())
+
+    first = ask()
+    assert len(list(common.slices([batch], "text"))) == 1 and ask() is first
+    stage[0] = 2
+    again = ask()
+    list(common.slices([batch], "text"))
+    assert again is first and common._held
+    stage[0] = 3
+    list(common.slices([batch], "text"))
+    assert not common._held and ask() is not first and made == [1, 3]

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from slotcast.llm import decontam, html_crf, oracles, pii, quality, queries, sharding
+from slotcast.llm import decontam, html_crf, minhash, oracles, pii, quality, queries, sharding
 from slotcast.llm.html_blocks import leaf_blocks
+from slotcast.session import materialize
 
 from .helpers import corpus, frame, plain, sentence
 
@@ -399,6 +400,24 @@ def test_pipeline_stages_take_awkward_rows(spark, sf):
             assert out.count() == len(rows)
 
 
+@pytest.mark.parametrize("stage", [quality.keep_good, minhash.keep_first])
+def test_rows_that_stay_do_not_travel(spark, stage):
+    """Without any broadcast by size, only rows that a filter names are shuffled with their text."""
+    docs = materialize(frame(spark, corpus()).withColumn("row_named_bits", F.lit("x")), "docs")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = stage(docs)
+        text = out._jdf.queryExecution().executedPlan().toString()
+        left = plain((r.doc_id, r.text) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    alone = [x for x in text.split("\n") if x.startswith("   :")]
+    assert any("Scan parquet" in x for x in alone) and "SortMergeJoin" in text
+    assert not any("Exchange" in x.replace("BroadcastExchange", "") for x in alone)
+    assert left == plain((r.doc_id, r.text) for r in stage(docs).collect())
+
+
 def test_queries_are_registered():
     found = {int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES}
     assert found == set(range(1, 14)) and set(queries.ORACLES) <= set(queries.QUERIES)
