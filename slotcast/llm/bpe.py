@@ -26,6 +26,8 @@ from slotcast.llm.common import held
 END = 0x1000
 BATCH = 20_000
 MARK = "\0\0special "
+#: Letters of Latin alphabets, each of which is one letter in lower case as well.
+LATIN = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f"
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The two splitting rules of the public vocabularies.
 BYTE_LEVEL_PIECES = (
@@ -77,7 +79,48 @@ class Merges:
         self._neighbours: dict[int, bool] = {}
         known: dict[int, bool] = {}
         self.ids = {w: number for w, number in self.ids.items() if self._whole(number, known)}
-        self.longest = max(map(len, self.ids), default=1)
+        self._ends: list[tuple[int, ...]] = []
+
+    def _suffixes(self) -> None:
+        """Which tokens end at a place: an automaton over the tokens, after Aho and Corasick.
+
+        A state is the longest end of what was read that begins a token; ``_ends`` lists the tokens
+        that this end ends with, longest first.
+        """
+        ahead: dict[int, int] = {}
+        depth, back, own = [0], [0], [-1]
+        for word, token in self.ids.items():
+            state = 0
+            for symbol in map(ord, word):
+                key = state << 13 | symbol
+                state = ahead.get(key, 0)
+                if not state:
+                    state = ahead[key] = len(own)
+                    depth.append(key)
+                    back.append(0)
+                    own.append(-1)
+            own[state] = token
+        ends: list[tuple[int, ...]] = [()] * len(own)
+        level = [s for k, s in ahead.items() if not k >> 13]
+        below: dict[int, list[int]] = {}
+        for key, state in ahead.items():
+            if key >> 13:
+                below.setdefault(key >> 13, []).append(state)
+        while level:
+            for state in level:
+                key = depth[state]
+                at, symbol = key >> 13, key & 0x1FFF
+                while at:
+                    at = back[at]
+                    found = ahead.get(at << 13 | symbol)
+                    if found is not None:
+                        back[state] = found
+                        break
+                rest = ends[back[state]]
+                ends[state] = (own[state], *rest) if own[state] >= 0 else rest
+            level = [s for state in level for s in below.get(state, ())]
+        self._ahead, self._back, self._ends = ahead, back, ends
+        self._size = {token: len(word) for word, token in self.ids.items()}
 
     def _spine(self, token: int, side: int, known: dict) -> list[tuple[int, int]]:
         """(rank at which it appears, token) along one edge of a token, outermost symbol first."""
@@ -140,20 +183,31 @@ class Merges:
         the path kept on the stack. State i holds the last token of the prefix of length i and
         that prefix's number of tokens (-1 where no encoding of the prefix exists).
         """
-        find, known, longest = self.ids.get, self._neighbours.get, self.longest
-        last, count = [-1], [0]
+        if not self._ends:
+            self._suffixes()
+        ahead, back, ends, size = self._ahead.get, self._back, self._ends, self._size
+        known = self._neighbours.get
+        last, count, states = [-1], [0], [0]
         before = ""
         for word in sorted(set(words)):
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del last[shared + 1 :], count[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
+            del last[shared + 1 :], count[shared + 1 :], states[shared + 1 :]
+            state, end = states[shared], shared
+            for symbol in map(ord, word[shared:]):
+                end += 1
+                after = ahead(state << 13 | symbol)
+                while after is None:
+                    if not state:
+                        after = 0
+                        break
+                    state = back[state]
+                    after = ahead(state << 13 | symbol)
+                state = after
                 found, tokens = -1, -1
-                for start in range(end - longest if end > longest else 0, end):
-                    token = find(word[start:end])
-                    if token is None:
-                        continue
+                for token in ends[state]:
+                    start = end - size[token]
                     if not start:
                         found, tokens = token, 1
                         break
@@ -166,6 +220,7 @@ class Merges:
                     if fits:
                         found, tokens = token, count[start] + 1
                         break
+                states.append(state)
                 last.append(found)
                 count.append(tokens)
             before = word
@@ -198,6 +253,8 @@ class Pieces:
             ordered = sorted(merges.special, key=len, reverse=True)
             self._special = regex.compile("(" + "|".join(map(regex.escape, ordered)) + ")")
         spaces = "" if self.marks_ends else r"\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+        # Letters alone, behind a space or not: surely one piece.
+        self._letters = re.compile(f" ?[{LATIN}]+").fullmatch
         self._rare = re.compile(rf"[\x1c-\x1f{spaces}]")
         self._odd = regex.compile(
             r"[\x1c-\x1f]" if self.marks_ends else rf"[{WHITE}]\x20[{WHITE}]|[{WHITE}]\x20$"
@@ -250,6 +307,8 @@ class Pieces:
         return [head, *rest] if head else rest
 
     def pieces(self, chunk: str) -> list[str]:
+        if not self.marks_ends and self._letters(chunk):
+            return [chunk if chunk.isascii() else chunk.encode().decode("latin-1")]
         if self.marks_ends:
             found = self._split.findall(lower_each(unicodedata.normalize("NFC", chunk)))
             out = []
@@ -278,6 +337,7 @@ class Encoder:
         self.known: dict[str, bytes | int] = {}
         self._older: dict[str, bytes | int] = {}
         self._held = 0
+        self._packed = {number: number.to_bytes(4, "little") for number in self.merges.text}
         self.special = {
             s: 1 if counts else number.to_bytes(4, "little")
             for s, number in self.merges.special.items()
@@ -296,30 +356,30 @@ class Encoder:
         """Encode distinct bodies into ``known``."""
         split = {c: self.splitter.pieces(c) for c in bodies}
         words: dict[str, bytes | int] = {}
+        packed = self._packed
         for word, last, count in self.merges.walk({w for p in split.values() for w in p}):
             if self.counts:
                 words[word] = count[len(word)]
             else:
-                ids = self.merges.tokens(word, last)
-                words[word] = b"".join([t.to_bytes(4, "little") for t in ids])
+                words[word] = b"".join([packed[t] for t in self.merges.tokens(word, last)])
         add = sum if self.counts else b"".join
         for body, pieces in split.items():
             self.known[body] = words[pieces[0]] if len(pieces) == 1 else add([words[p] for p in pieces])
 
     def _learn(self, new: set[str]) -> None:
-        if self._held > self.memory // 2:
-            # The older half is forgotten; what is asked for again comes over from it.
-            self._older, self._held = self.known, 0
-            self.known = {}
         older, known = self._older, self.known
         before = len(known)
         fresh, derived = set(), []
+        split_tail = self.splitter.split_tail
         for chunk in new:
             value = older.get(chunk)
             if value is not None:
                 known[chunk] = value
                 continue
-            body, tail = self.splitter.split_tail(chunk)
+            if chunk.isalpha() and chunk.islower():
+                fresh.add(chunk)
+                continue
+            body, tail = split_tail(chunk)
             if body == chunk:
                 fresh.add(chunk)
                 continue
@@ -340,8 +400,11 @@ class Encoder:
 
     def values(self, texts: list[str]) -> list[list[bytes | int]]:
         """Per text what is known of its chunks, in order, learning the new ones first."""
-        out, missing = [], []
-        get = self.known.get
+        if self._held > self.memory // 2:
+            # The older half is forgotten; what is asked for again comes over from it.
+            self._older, self._held = self.known, 0
+            self.known = {}
+        cuts = []
         for text in texts:
             parts = self.splitter.stretches(text)
             cut = self.splitter.chunks(parts[0])
@@ -349,26 +412,18 @@ class Encoder:
                 # Special strings stand alone, marked by a beginning that no chunk has.
                 for k, part in enumerate(parts[1:], 1):
                     cut += [MARK + part] if k % 2 else self.splitter.chunks(part)
-            found = list(map(get, cut))
-            out.append(found)
-            if None in found:
-                at = found.index(None)
-                try:
-                    while True:
-                        missing.append((found, at, cut[at]))
-                        at = found.index(None, at + 1)
-                except ValueError:  # no more of them
-                    pass
-        if missing:
-            new = {chunk for _, _, chunk in missing}
+            cuts.append(cut)
+        # What is known is large and scattered, so it is asked once for each chunk of these texts.
+        known, asked = self.known, set().union(*cuts)
+        found = dict(zip(asked, map(known.get, asked), strict=True))
+        new = {chunk for chunk, value in found.items() if value is None}
+        if new:
             special = {c for c in new if c.startswith(MARK) and c[len(MARK) :] in self.special}
             self._learn(new - special)
-            known = self.known
             for chunk in special:
                 known[chunk] = self.special[chunk[len(MARK) :]]
-            for found, at, chunk in missing:
-                found[at] = known[chunk]
-        return out
+            found.update([(chunk, known[chunk]) for chunk in new])
+        return [list(map(found.__getitem__, cut)) for cut in cuts]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Token ids of each text as little-endian unsigned 32-bit integers."""

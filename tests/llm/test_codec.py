@@ -130,3 +130,15 @@ def test_a_worker_drops_what_an_earlier_stage_held(monkeypatch):
     stage[0] = 3
     list(common.slices([batch], "text"))
     assert not common._held and ask() is not first and made == [1, 3]
+
+
+def test_tokens_that_end_at_a_place():
+    merges = Encoder(BYTE).merges
+    list(merges.walk([]))
+    word, state = " international", 0
+    for end, symbol in enumerate(map(ord, word), 1):
+        while state and state << 13 | symbol not in merges._ahead:
+            state = merges._back[state]
+        state = merges._ahead.get(state << 13 | symbol, 0)
+        found = [merges.ids[word[at:end]] for at in range(end) if word[at:end] in merges.ids]
+        assert list(merges._ends[state]) == found
