@@ -16,8 +16,8 @@ empty files. Columns other than the two named ones are not read.
 
 from __future__ import annotations
 
+import re
 import struct
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
-from slotcast.llm.bpe import END, Encoder, lower_each
+from slotcast.llm.bpe import END, LATIN, Encoder
 from slotcast.llm.common import held, id_and_text, slices
 from slotcast.session import materialize
 
@@ -39,6 +39,8 @@ LANES, PER_LANE, STRIDE = 8192, 64, 64
 BLOCK_TOKENS = 1 << 20
 HEAD = struct.Struct("<4sIQIII")
 MAGIC = b"rAN1"
+#: Pieces about which no two Unicode versions disagree: letters, a digit, a run of signs but "'".
+PLAIN_PIECES = (f"[{LATIN}]+", "[0-9]", r"[!-&(-/:-@\[-`{-~]+")
 
 
 # ---- coding of one block -----------------------------------------------------------------
@@ -132,34 +134,52 @@ def decode_block(payload: bytes, table: Table, checkpoint: int = 0) -> np.ndarra
 
 
 class LibraryEncoder(Encoder):
-    """As ``Encoder``, but new bodies go through the tokenizers library, many in one call."""
+    """As ``Encoder``, but new bodies go through the tokenizers library, many in one call.
+
+    Where the file marks ends of words, bodies of Latin letters, digits and signs are cut into their
+    pieces here, and each distinct piece goes to the library's model once, past its normaliser and
+    its splitting rule. Other bodies take the whole way.
+    """
 
     def __init__(self, path: str):
         super().__init__(path)
         self.library = Tokenizer.from_file(path)
+        # The same model, which is not held twice.
+        self.model = Tokenizer(self.library.model)
+        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), bytewise]
+        )
+        self._cut_plain = re.compile("|".join(PLAIN_PIECES)).findall
+        self._is_plain = re.compile(f"(?:{'|'.join(PLAIN_PIECES)})+").fullmatch
         self._ends = np.zeros(self.width + len(self.special), bool)
         if self.merges.suffix:
             self._ends[[n for n, w in self.merges.text.items() if w and ord(w[-1]) >= END]] = True
 
-    def _one_piece(self, body: str) -> bool:
-        if not self.merges.suffix or not body.isalpha():
-            return False
-        return body.isascii() or lower_each(unicodedata.normalize("NFC", body)).isalpha()
-
     def _bodies(self, bodies: list[str]) -> None:
-        words = [b for b in bodies if self._one_piece(b)]
-        if words:
-            # Letters alone are one piece, which ends where a token ends a word.
-            text = " ".join(words)
-            (coded,) = self.library.encode_batch_fast([text], add_special_tokens=False)
+        plain = self._is_plain if self.merges.suffix else lambda body: None
+        rest, whole, cut = [], [], {}
+        for body in bodies:
+            if not plain(body):
+                rest.append(body)
+            elif body.isalpha():
+                whole.append(body)
+            else:
+                cut[body] = self._cut_plain(body)
+        if whole or cut:
+            pieces = list(dict.fromkeys([*whole, *(p for own in cut.values() for p in own)]))
+            (coded,) = self.model.encode_batch_fast(
+                [" ".join(pieces).lower()], add_special_tokens=False
+            )
             ids = np.array(coded.ids, "<u4")
-            cuts = np.append(0, 4 * (np.flatnonzero(self._ends[ids]) + 1)).tolist()
-            if len(cuts) == len(words) + 1:
-                self._keep(words, ids, cuts)
+            # A piece ends where a token ends a word.
+            ends = np.append(0, 4 * (np.flatnonzero(self._ends[ids]) + 1)).tolist()
+            if len(ends) == len(pieces) + 1:
+                self._keep(pieces, ids, ends)
+                for body, own in cut.items():
+                    self.known[body] = b"".join([self.known[p] for p in own])
             else:  # the libraries disagree about some letter
-                words = []
-        taken = set(words)
-        rest = [b for b in bodies if b not in taken]
+                rest = bodies
         if rest:
             coded = self.library.encode(" ".join(rest), add_special_tokens=False)
             starts = np.cumsum([0, *(len(b) + 1 for b in rest)])
@@ -168,8 +188,9 @@ class LibraryEncoder(Encoder):
 
     def _keep(self, bodies: list[str], ids: np.ndarray, cuts: list[int]) -> None:
         raw = ids.tobytes()
-        for body, a, b in zip(bodies, cuts, cuts[1:], strict=False):
-            self.known[body] = raw[a:b]
+        self.known.update(
+            zip(bodies, [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=False)
+        )
 
 
 def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
