@@ -16,6 +16,10 @@ in more than ``HOT`` texts would still gather too much at one home. Their string
 each slice of texts. Numbers of buckets follow from the bytes of the table, so a bucket stays as
 large as it is while the table grows.
 
+What a bucket finds goes back to the texts by bin: texts are dealt to bins by a hash, and a bucket
+makes one row for each bin, with the entries of the bin's texts packed. A bin unpacks them
+to one row for each text. So no step makes a row for each text and bucket, or for each span.
+
 Defined cases: a null text is empty; texts shorter than ``length`` lose nothing. A null id counts
 as larger than all others. Rows that repeat an id are no smaller than one another and keep what only
 they share. An empty table gives an empty result. Columns other than the two named ones are not
@@ -104,6 +108,18 @@ def _bucketed(anchor: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]
     return (anchor % whole).astype(np.int64), (anchor // whole) & np.uint64((1 << KEY_BITS) - 1)
 
 
+def _narrow(key: np.ndarray) -> np.ndarray:
+    """The KEY_BITS of each key, a row of bytes each."""
+    return np.ascontiguousarray(key).view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8]
+
+
+def _wide(packed: bytes) -> np.ndarray:
+    narrow = np.frombuffer(packed, np.uint8).reshape(-1, KEY_BITS // 8)
+    out = np.zeros((len(narrow), 8), np.uint8)
+    out[:, : KEY_BITS // 8] = narrow
+    return out.view("<u8").reshape(-1)
+
+
 def _runs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
     """Anchors of texts by bucket, packed: per row the texts and (anchor, text) pairs."""
 
@@ -113,7 +129,7 @@ def _runs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
             ids = part.column("id").to_numpy(zero_copy_only=False)
             rows = part.column("row").to_numpy(zero_copy_only=False)
             bucket, key = _bucketed(anchor, buckets)
-            raw = np.ascontiguousarray(key).view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8]
+            raw = _narrow(key)
             order = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
             columns: list[list] = [[], [], [], [], []]
@@ -142,44 +158,102 @@ def _runs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _by_bin(
+    row: np.ndarray, sizes: np.ndarray, bins: int, per_text: dict, per_entry: dict
+) -> pa.Table:
+    """One row per bin: rows and sizes of its texts, packed, and what belongs to a text or an entry.
+
+    Texts come in order with their numbers of entries.
+    """
+    number = (mix(row.view(np.uint64)) % np.uint64(bins)).astype(np.int64)
+    order = np.argsort(number, kind="stable")
+    used, first = np.unique(number[order], return_index=True)
+    cuts = np.append(first, len(order)).tolist()
+    size, begin = sizes[order], (np.cumsum(sizes) - sizes)[order]
+    entry = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+    entry_cuts = np.append(0, np.cumsum(size))[cuts].tolist()
+
+    def packed(values: np.ndarray, by: np.ndarray, at: list[int]) -> pa.Array:
+        values = values[by]
+        return pa.array([values[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)], pa.binary())
+
+    texts = {"rows": row.astype("<i8"), "sizes": sizes.astype("<u4"), **per_text}
+    return pa.table(
+        {"bin": pa.array(used, pa.int32())}
+        | {name: packed(values, order, cuts) for name, values in texts.items()}
+        | {name: packed(values, entry, entry_cuts) for name, values in per_entry.items()}
+    )
+
+
+def _edges(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    n = len(columns[0])
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return np.append(np.flatnonzero(new), n)
+
+
 def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Per text of a bucket its anchors that texts of two or more ids have, and their homes.
-
-    A home is a hash of the smallest id; for anchors of very many texts it is -1.
-    """
-    anchor, doc_id, row = [], [], []
-    width = KEY_BITS // 8
-    columns = (table.column(c).to_pylist() for c in ("ids", "rows", "anchors", "places"))
-    for ids, rows, packed, places in zip(*columns, strict=True):
-        narrow = np.frombuffer(packed, np.uint8).reshape(-1, width)
-        own = np.zeros((len(narrow), 8), np.uint8)
-        own[:, :width] = narrow
-        place = np.frombuffer(places, f"<u{len(places) // len(own)}")
-        anchor.append(own.view("<u8").reshape(-1))
-        doc_id.append(np.frombuffer(ids, "<i8")[place])
-        row.append(np.frombuffer(rows, "<i8")[place])
-    anchor, doc_id, row = (np.concatenate(x) for x in (anchor, doc_id, row))
-    # Copies of a text are one row, under its smallest id.
-    order = np.lexsort((doc_id, row, anchor))
-    anchor, doc_id, row = anchor[order], doc_id[order], row[order]
-    new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])])
-    anchor, doc_id, row = anchor[new], doc_id[new], row[new]
-    first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-    count = np.diff(np.append(first, len(anchor)))
-    low, high = np.minimum.reduceat(doc_id, first), np.maximum.reduceat(doc_id, first)
-    spread = (mix(low.view(np.uint64)) >> np.uint64(33)).astype(np.int32)
-    home = np.where(count > HOT, np.int32(-1), spread)
-    kept = np.repeat(low < high, count)
-    bucket = np.uint64(table.column("bucket")[0].as_py()) << np.uint64(KEY_BITS)
-    anchor, row, home = anchor[kept] | bucket, row[kept], np.repeat(home, count)[kept]
+SHARED = "bin int, rows binary, sizes binary, bucket bigint, anchors binary, homes binary"
+
+
+def _shared_of(bins: int):
+    def shared(table: pa.Table) -> pa.Table:
+        """Anchors of a bucket that texts of two or more ids have, and their homes, by bin of texts.
+
+        A home is a hash of the smallest id; for anchors of very many texts it is -1.
+        """
+        anchor, doc_id, row = [], [], []
+        columns = (table.column(c).to_pylist() for c in ("ids", "rows", "anchors", "places"))
+        for ids, rows, packed, places in zip(*columns, strict=True):
+            own = _wide(packed)
+            place = np.frombuffer(places, f"<u{len(places) // len(own)}")
+            anchor.append(own)
+            doc_id.append(np.frombuffer(ids, "<i8")[place])
+            row.append(np.frombuffer(rows, "<i8")[place])
+        anchor, doc_id, row = (np.concatenate(x) for x in (anchor, doc_id, row))
+        # Copies of a text are one row, under its smallest id.
+        order = np.lexsort((doc_id, row, anchor))
+        anchor, doc_id, row = anchor[order], doc_id[order], row[order]
+        new = _edges(anchor, row)[:-1]
+        anchor, doc_id, row = anchor[new], doc_id[new], row[new]
+        ends = _edges(anchor)
+        first, count = ends[:-1], np.diff(ends)
+        low, high = np.minimum.reduceat(doc_id, first), np.maximum.reduceat(doc_id, first)
+        spread = (mix(low.view(np.uint64)) >> np.uint64(33)).astype(np.int32)
+        home = np.where(count > HOT, np.int32(-1), spread)
+        kept = np.repeat(low < high, count)
+        anchor, row, home = anchor[kept], row[kept], np.repeat(home, count)[kept]
+        order = np.argsort(row, kind="stable")
+        anchor, row, home = anchor[order], row[order], home[order]
+        ends = _edges(row)
+        found = _by_bin(
+            row[ends[:-1]], np.diff(ends), bins, {}, {"anchors": _narrow(anchor), "homes": home.astype("<i4")}
+        )
+        bucket = table.column("bucket")[0].as_py()
+        numbers = pa.array(np.full(found.num_rows, bucket), pa.int64())
+        return found.add_column(3, "bucket", numbers)
+
+    return shared
+
+
+def _anchors_of_texts(table: pa.Table) -> pa.Table:
+    """Per text of a bin its shared anchors in all buckets, and their homes."""
+    anchor, row, home = [], [], []
+    columns = (table.column(c).to_pylist() for c in ("rows", "sizes", "bucket", "anchors", "homes"))
+    for rows, sizes, bucket, packed, homes in zip(*columns, strict=True):
+        row.append(np.repeat(np.frombuffer(rows, "<i8"), np.frombuffer(sizes, "<u4")))
+        anchor.append(_wide(packed) | np.uint64(bucket) << np.uint64(KEY_BITS))
+        home.append(np.frombuffer(homes, "<i4"))
+    anchor, row, home = (np.concatenate(x) for x in (anchor, row, home))
     order = np.argsort(row, kind="stable")
     anchor, row, home = anchor[order], row[order], home[order]
-    first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else []
-    ends = np.append(first, len(row)).astype(np.int64)
+    ends = _edges(row)
     return pa.table(
         {
             "row": pa.array(row[ends[:-1]], pa.int64()),
@@ -277,9 +351,30 @@ def smallest_ids(pieces: list[bytes], least: np.ndarray, length: int) -> tuple[n
     return out, ends - sizes
 
 
-def _spans_of(length: int):
+def _joined(
+    row: np.ndarray, doc_id: np.ndarray, a: np.ndarray, b: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """Spans by text and place, those that overlap or touch as one: row, id, a, b, and the texts' ends."""
+    order = np.lexsort((a, doc_id, row))
+    row, doc_id, a, b = (x[order] for x in (row, doc_id, a, b))
+    ends = _edges(row, doc_id)
+    # Texts one behind the other; none is longer than 2 GB.
+    line = np.repeat(np.arange(len(ends) - 1, dtype=np.int64), np.diff(ends)) << 32
+    reach = np.maximum.accumulate(b + line)
+    new = np.ones(len(a), bool)
+    new[1:] = (a + line)[1:] > reach[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(a))[: len(first)] - 1
+    row, doc_id = row[first], doc_id[first]
+    return row, doc_id, a[first], (reach - line)[last], _edges(row, doc_id)
+
+
+SPANS = "bin int, rows binary, sizes binary, ids binary, a binary, b binary"
+
+
+def _spans_of(length: int, bins: int):
     def spans(table: pa.Table) -> pa.Table:
-        """Spans of documents that smaller ids hold, from the pieces of one bucket."""
+        """Spans of documents that smaller ids hold, from the pieces of one bucket, by bin of texts."""
         held: dict[bytes, list[int]] = {}
         for place, piece in enumerate(table.column("piece").to_pylist()):
             held.setdefault(piece, []).append(place)
@@ -316,14 +411,39 @@ def _spans_of(length: int):
             a = taken[np.concatenate([[0], breaks + 1])] + starts[at]
             b = taken[np.append(breaks, len(taken) - 1)] + length + starts[at]
             out.append((np.full(len(a), rows[at]), np.full(len(a), ids[at]), a, b))
-        columns = (np.concatenate(x) for x in zip(*out, strict=True))
-        return pa.table(
-            {n: pa.array(c, pa.int64()) for n, c in zip(("row", "id", "a", "b"), columns, strict=True)}
+        row, doc_id, a, b, ends = _joined(*(np.concatenate(x) for x in zip(*out, strict=True)))
+        return _by_bin(
+            row[ends[:-1]],
+            np.diff(ends),
+            bins,
+            {"ids": doc_id[ends[:-1]].astype("<i8")},
+            {"a": a.astype("<u4"), "b": b.astype("<u4")},
         )
 
     return spans
 
 
+def _spans_of_texts(table: pa.Table) -> pa.Table:
+    """Per text of a bin its spans from all buckets."""
+    row, doc_id, a, b = [], [], [], []
+    columns = (table.column(c).to_pylist() for c in ("rows", "ids", "sizes", "a", "b"))
+    for rows, ids, sizes, begins, ends in zip(*columns, strict=True):
+        size = np.frombuffer(sizes, "<u4")
+        row.append(np.repeat(np.frombuffer(rows, "<i8"), size))
+        doc_id.append(np.repeat(np.frombuffer(ids, "<i8"), size))
+        a.append(np.frombuffer(begins, "<u4").astype(np.int64))
+        b.append(np.frombuffer(ends, "<u4").astype(np.int64))
+    row, doc_id, a, b, ends = _joined(*(np.concatenate(x) for x in (row, doc_id, a, b)))
+    spans = pa.StructArray.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+    return pa.table(
+        {
+            "row": pa.array(row[ends[:-1]], pa.int64()),
+            "least": pa.array(doc_id[ends[:-1]], pa.int64()),
+            "spans": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans),
+        }
+    )
+
+
 def _remove_with(length: int):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _unpacked(batches):
@@ -336,16 +456,11 @@ def _without_spans(part: pa.RecordBatch, texts: list[bytes], length: int) -> pa.
     kept, spans = [], []
     copies = part.column("copy").to_pylist()
     for text, found, copy in zip(texts, part.column("spans").to_pylist(), copies, strict=True):
-        runs: list[list[int]] = []
         if copy:
             # A smaller id has the whole text.
-            runs = [[0, len(text)]] if len(text) >= length else []
+            runs = [(0, len(text))] if len(text) >= length else []
         else:
-            for span in sorted((s["a"], s["b"]) for s in found or ()):
-                if runs and span[0] <= runs[-1][1]:
-                    runs[-1][1] = max(runs[-1][1], span[1])
-                else:
-                    runs.append(list(span))
+            runs = [(s["a"], s["b"]) for s in found or ()]
         at, left = 0, []
         for a, b in runs:
             left.append(text[at:a])
@@ -385,24 +500,23 @@ def remove_repeats(
     packed = _packed(own)
     key_buckets = 1 + size // ANCHORS
     shared = _runs(own, length, key_buckets).groupBy("bucket").applyInArrow(
-        _shared, "row bigint, anchors array<bigint>, homes array<int>"
+        _shared_of(key_buckets), SHARED
     )
-    per_row = shared.groupBy("row").agg(
-        F.flatten(F.collect_list("anchors")).alias("anchors"),
-        F.flatten(F.collect_list("homes")).alias("homes"),
+    per_row = shared.groupBy("bin").applyInArrow(
+        _anchors_of_texts, "row bigint, anchors array<bigint>, homes array<int>"
     )
     first = per_row.join(copies.select("row", F.col("least").alias("id")), "row")
     pieces = _pieces(
         packed.join(first, ["row", "id"]), length, key_buckets, 1 + size // PIECES
     )
-    spans = materialize(
-        pieces.groupBy("bucket").applyInArrow(
-            _spans_of(length), "row bigint, id bigint, a bigint, b bigint"
+    spans = pieces.groupBy("bucket").applyInArrow(_spans_of(length, key_buckets), SPANS)
+    per_text = materialize(
+        spans.groupBy("bin").applyInArrow(
+            _spans_of_texts, "row bigint, least bigint, spans array<struct<a:bigint,b:bigint>>"
         ),
         "spans",
     )
-    per_text = spans.groupBy("row", "id").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
-    verdict = copies.join(per_text.withColumnRenamed("id", "least"), ["row", "least"], "left")
+    verdict = copies.join(per_text, ["row", "least"], "left")
     schema = "doc_id bigint, n_bytes bigint, removed array<struct<a:bigint,b:bigint>>, kept binary"
     return (
         packed.join(verdict, ["row", "check"])

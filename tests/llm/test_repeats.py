@@ -118,6 +118,52 @@ def test_removed_bytes(spark, monkeypatch, hot):
     assert suffix_dedup.remove_repeats(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("hot", [2, 256])
+def test_removed_bytes_over_many_buckets_and_bins(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rows = corpus()
+    size = sum(len((t or "").encode()) for _, t, _ in rows)
+    monkeypatch.setattr(suffix_dedup, "ANCHORS", size // 9)
+    monkeypatch.setattr(suffix_dedup, "PIECES", size // 13)
+    got = suffix_dedup.remove_repeats(frame(spark, rows)).collect()
+    got = [(r.doc_id, r.n_bytes, len(r.removed), bytes(r.kept)) for r in got]
+    assert plain(got) == plain(brute_removed(rows, 50))
+
+
+def test_buckets_make_a_row_for_each_bin_of_texts(spark, monkeypatch):
+    """Rows of the two group steps follow buckets and bins, not texts times buckets or spans."""
+    draw = random.Random(8)
+    phrases = ["".join(draw.choices("abcdefghij ", k=70)) for _ in range(12)]
+    lines = [[*draw.sample(phrases, 6), str(k) * 9] for k in range(300)]
+    rows = [(k, "".join(p + str(draw.random()) for p in own), None) for k, own in enumerate(lines)]
+    size = sum(len(t) for _, t, _ in rows)
+    monkeypatch.setattr(suffix_dedup, "ANCHORS", size // 4)
+    monkeypatch.setattr(suffix_dedup, "PIECES", size // 4)
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(make):
+        def outer(*args):
+            inner = make(*args)
+
+            def group(table: pa.Table) -> pa.Table:
+                out = inner(table)
+                made.add(out.num_rows)
+                return out
+
+            return group
+
+        return outer
+
+    monkeypatch.setattr(suffix_dedup, "_shared_of", counted(suffix_dedup._shared_of))
+    monkeypatch.setattr(suffix_dedup, "_spans_of", counted(suffix_dedup._spans_of))
+    got = suffix_dedup.remove_repeats(frame(spark, rows)).collect()
+    got = [(r.doc_id, r.n_bytes, len(r.removed), bytes(r.kept)) for r in got]
+    assert plain(got) == plain(brute_removed(rows, 50))
+    assert sum(r[2] for r in got) > 1500
+    # Each step runs once or twice, over 5 buckets and 5 bins.
+    assert 0 < made.value <= 4 * 5 * 5
+
+
 def test_suffix_array_orders_prefixes():
     draw = random.Random(4)
     for alphabet in ("a", "ab", "abcdefgh"):
