@@ -286,6 +286,19 @@ class Components:
             )
 
 
+def _shared_keys(members: DataFrame) -> DataFrame:
+    """key, node, least (the smallest node of the key) of the keys that two nodes or more have.
+
+    Most keys are of one node, so a map of all keys would hold a row for almost each of
+    them. They are sorted instead, in the one shuffle that brings equal keys together.
+    """
+    same = W.partitionBy("key")
+    met = members.select(
+        "key", "node", F.min("node").over(same).alias("least"), F.max("node").over(same).alias("most")
+    )
+    return met.where("least < most").select("key", "node", "least").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -302,11 +315,7 @@ def near_duplicates(
         .select("node", F.explode("keys").alias("key")),
         "bands",
     )
-    buckets = members.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-    shared = materialize(
-        members.join(buckets.where("least < most"), "key").select("key", "node", "least").distinct(),
-        "buckets",
-    )
+    shared = materialize(_shared_keys(members), "buckets")
     nodes = materialize(shared.select("node").distinct(), "nodes")
     sets = materialize(
         _sets(own.join(nodes.toDF("doc_id"), "doc_id", "left_semi"), scheme), "sets"

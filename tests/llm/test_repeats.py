@@ -46,6 +46,22 @@ def test_components(spark, k):
     assert minhash.near_duplicates(frame(spark, []), scheme).count() == 0
 
 
+def test_shared_keys_take_one_shuffle(spark):
+    draw = random.Random(7)
+    pairs = [(draw.randrange(60), draw.randrange(50)) for _ in range(80)]
+    pairs += [(100, 5), (100, 5), (101, 9), (101, 2), (101, 2)]
+    found = minhash._shared_keys(spark.createDataFrame(pairs, "node bigint, key bigint").select("node", "key"))
+    nodes = {}
+    for node, key in pairs:
+        nodes.setdefault(key, set()).add(node)
+    want = [(k, n, min(own)) for k, own in nodes.items() if len(own) > 1 for n in own]
+    got = [tuple(r) for r in found.collect()]
+    assert sorted(got) == sorted(want) and want
+    assert found._jdf.queryExecution().sparkPlan().toString().count("Join") == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("+- == Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1
+
+
 @pytest.mark.parametrize("percent", [60, 80, 95])
 def test_the_prefix_filter_loses_no_pair(spark, percent):
     """Sets of many sizes around shared ones, each its own component."""
