@@ -29,6 +29,8 @@ from slotcast.session import materialize
 
 TOKENIZER = "byte_bpe_50k.json"
 PII_KEY = "corpus-1"
+#: What a worker remembers of chunks: the heap is full from the stages before the encoding.
+ENCODER_MEMORY = 32 << 20
 #: SQL cannot state near duplicates, keyed surrogates or byte-pair encoding.
 ORACLE_SQL = None
 
@@ -56,7 +58,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, n_decoded (characters read back from the ids)."""
-    coded = encode_decode(docs, public_tokenizers.path(TOKENIZER))
+    coded = encode_decode(docs, public_tokenizers.path(TOKENIZER), memory=ENCODER_MEMORY)
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

@@ -25,6 +25,10 @@ from slotcast.llm.common import held
 
 END = 0x1000
 BATCH = 20_000
+#: Pairs of tokens whose answer is remembered, about 140 bytes each.
+NEIGHBOURS = 1 << 18
+#: Bytes of chunks that an encoder remembers where its operator does not say.
+MEMORY = 192 << 20
 MARK = "\0\0special "
 #: Letters of Latin alphabets, each of which is one letter in lower case as well.
 LATIN = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f"
@@ -74,8 +78,6 @@ class Merges:
             a, b, c = marked[left], marked[right], marked[left + right]
             self.rank[a, b] = order
             self.made.setdefault(c, (order, a, b))
-        self._right: dict[int, list[tuple[int, int]]] = {}
-        self._left: dict[int, list[tuple[int, int]]] = {}
         self._neighbours: dict[int, bool] = {}
         known: dict[int, bool] = {}
         self.ids = {w: number for w, number in self.ids.items() if self._whole(number, known)}
@@ -122,17 +124,17 @@ class Merges:
         self._ahead, self._back, self._ends = ahead, back, ends
         self._size = {token: len(word) for word, token in self.ids.items()}
 
-    def _spine(self, token: int, side: int, known: dict) -> list[tuple[int, int]]:
-        """(rank at which it appears, token) along one edge of a token, outermost symbol first."""
-        spine = known.get(token)
-        if spine is None:
-            spine, at = [], token
-            while at in self.made:
-                spine.append((self.made[at][0], at))
-                at = self.made[at][side]
-            spine.append((-1, at))
-            spine.reverse()
-            known[token] = spine
+    def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
+        """(rank at which it appears, token) along one edge of a token, outermost symbol first.
+
+        Not kept: the spines of all tokens take far more memory than the merges they come from.
+        """
+        spine, at = [], token
+        while at in self.made:
+            spine.append((self.made[at][0], at))
+            at = self.made[at][side]
+        spine.append((-1, at))
+        spine.reverse()
         return spine
 
     def _seam(self, left: int, right: int, last: int) -> bool:
@@ -143,7 +145,7 @@ class Merges:
         over the seam happens if it comes while both its parts live. Among equal ranks the
         leftmost merge goes first.
         """
-        a, b = self._spine(left, 2, self._right), self._spine(right, 1, self._left)
+        a, b = self._spine(left, 2), self._spine(right, 1)
         i = j = 0
         while True:
             end_a = a[i + 1][0] if i + 1 < len(a) else last
@@ -171,7 +173,7 @@ class Merges:
         return known[token]
 
     def neighbours(self, left: int, right: int) -> bool:
-        if len(self._neighbours) >= 1 << 20:
+        if len(self._neighbours) >= NEIGHBOURS:
             self._neighbours.clear()
         fits = self._neighbours[left << 32 | right] = not self._seam(left, right, 1 << 60)
         return fits
@@ -328,7 +330,7 @@ class Encoder:
     says what is kept of a chunk: its packed ids, or the number of its tokens.
     """
 
-    def __init__(self, path: str, memory: int = 192 << 20, counts: bool = False):
+    def __init__(self, path: str, memory: int = MEMORY, counts: bool = False):
         self.merges = Merges(path)
         self.splitter = Pieces(self.merges)
         self.memory = memory
@@ -459,6 +461,6 @@ class Encoder:
         )
 
 
-def encoder(path: str, counts: bool = False) -> Encoder:
+def encoder(path: str, counts: bool = False, memory: int = MEMORY) -> Encoder:
     """One encoder for each tokenizer file and Python worker, while a stage asks for it."""
-    return held((path, counts), lambda: Encoder(path, counts=counts))
+    return held((path, counts, memory), lambda: Encoder(path, memory, counts))

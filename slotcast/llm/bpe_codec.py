@@ -17,23 +17,28 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from slotcast.llm.bpe import encoder
+from slotcast.llm.bpe import MEMORY, encoder
 from slotcast.llm.common import id_and_text, slices
 
 SLICE = 2 << 20
 
 
 def encode_decode(
-    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    tokenizer: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    memory: int = MEMORY,
 ) -> DataFrame:
     """doc_id, ids (array of int), decoded (the text read back from the ids).
 
-    ``tokenizer`` is the path of a byte-level BPE file that every executor can open.
+    ``tokenizer`` is the path of a byte-level BPE file that every executor can open. ``memory`` bounds
+    what a worker remembers of chunks and the texts it takes at once; less costs time only.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(tokenizer)
-        for part in slices(batches, "text", SLICE):
+        coder = encoder(tokenizer, memory=memory)
+        for part in slices(batches, "text", min(SLICE, memory >> 5)):
             packed = coder.encode(part.column("text").to_pylist())
             ids = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)])

@@ -52,8 +52,11 @@ def held(key: Any, make: Callable[[], Any]) -> Any:
     """A value that tasks of one stage share in a worker; ask for it before ``slices``.
 
     The first task of another stage that does not ask for it drops it, so that workers that are
-    used again do not carry the memory of earlier operators along.
+    used again do not carry the memory of earlier operators along. What earlier stages held goes
+    before a value is made, so the two are never held at once.
     """
+    if key not in _held:
+        _drop_held()
     value = _held[key][1] if key in _held else make()
     _held[key] = _stage(), value
     return value

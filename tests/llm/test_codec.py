@@ -132,6 +132,30 @@ def test_a_worker_drops_what_an_earlier_stage_held(monkeypatch):
     assert not common._held and ask() is not first and made == [1, 3]
 
 
+def test_what_an_earlier_stage_held_goes_before_a_value_is_made(monkeypatch):
+    stage, seen = [1], []
+    monkeypatch.setattr(common, "_stage", lambda: stage[0])
+    monkeypatch.setattr(common, "_held", {})
+    common.held("index", object)
+    common.held("tokenizer", lambda: seen.append(list(common._held)) or object())
+    stage[0] = 2
+    common.held("other tokenizer", lambda: seen.append(list(common._held)) or object())
+    assert seen == [["index"], []]
+
+
+def test_an_encoder_with_little_memory_gives_the_same_ids(spark, monkeypatch):
+    rows = corpus() + [(100 + n, f"{t}, {t}!", None) for n, t in enumerate(ODD)]
+    docs = frame(spark, rows)
+    want = [(d, ids(BYTE, t or "")) for d, t, _ in rows]
+    got = encode_decode(docs, BYTE, memory=1 << 10).collect()
+    assert plain((r.doc_id, r.ids) for r in got) == plain(want)
+    merges = Encoder(BYTE).merges
+    monkeypatch.setattr("slotcast.llm.bpe.NEIGHBOURS", 8)
+    for a in range(256, 300):
+        merges.neighbours(a, a + 1)
+    assert len(merges._neighbours) <= 8
+
+
 def test_tokens_that_end_at_a_place():
     merges = Encoder(BYTE).merges
     list(merges.walk([]))
