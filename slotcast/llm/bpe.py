@@ -400,12 +400,28 @@ class Encoder:
             known[chunk] = known[body] + known[tail] if tail else known[body]
         self._held += 220 * (len(known) - before) + sum(map(len, new))
 
-    def values(self, texts: list[str]) -> list[list[bytes | int]]:
-        """Per text what is known of its chunks, in order, learning the new ones first."""
+    def _forget(self) -> None:
+        """The older half is forgotten; what is asked for again comes over from it."""
         if self._held > self.memory // 2:
-            # The older half is forgotten; what is asked for again comes over from it.
             self._older, self._held = self.known, 0
             self.known = {}
+
+    def _ask(self, asked: list[str]) -> list[bytes | int]:
+        """What is known of distinct chunks, learning the new ones first."""
+        self._forget()
+        known = self.known
+        found = list(map(known.get, asked))
+        new = {chunk for chunk, value in zip(asked, found, strict=True) if value is None}
+        if not new:
+            return found
+        special = {c for c in new if c.startswith(MARK) and c[len(MARK) :] in self.special}
+        self._learn(new - special)
+        for chunk in special:
+            known[chunk] = self.special[chunk[len(MARK) :]]
+        return [known[c] if v is None else v for c, v in zip(asked, found, strict=True)]
+
+    def values(self, texts: list[str]) -> list[list[bytes | int]]:
+        """Per text what is known of its chunks, in order."""
         cuts = []
         for text in texts:
             parts = self.splitter.stretches(text)
@@ -416,15 +432,8 @@ class Encoder:
                     cut += [MARK + part] if k % 2 else self.splitter.chunks(part)
             cuts.append(cut)
         # What is known is large and scattered, so it is asked once for each chunk of these texts.
-        known, asked = self.known, set().union(*cuts)
-        found = dict(zip(asked, map(known.get, asked), strict=True))
-        new = {chunk for chunk, value in found.items() if value is None}
-        if new:
-            special = {c for c in new if c.startswith(MARK) and c[len(MARK) :] in self.special}
-            self._learn(new - special)
-            for chunk in special:
-                known[chunk] = self.special[chunk[len(MARK) :]]
-            found.update([(chunk, known[chunk]) for chunk in new])
+        asked = list(set().union(*cuts))
+        found = dict(zip(asked, self._ask(asked), strict=True))
         return [list(map(found.__getitem__, cut)) for cut in cuts]
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -23,16 +23,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from slotcast.llm.bpe import END, LATIN, Encoder
+from slotcast.llm.bpe import BATCH, END, LATIN, Encoder, printable_bytes
 from slotcast.llm.common import held, id_and_text, slices
 from slotcast.session import materialize
 
 SLICE = 2 << 20
+#: Texts at once: the more, the fewer chunks are distinct.
+TEXTS = 4 << 20
+#: Bytes of chunks that a worker remembers.
+MEMORY = 288 << 20
 SCALE = 18  # bits of the frequency table
 LOW = np.uint64(1 << 31)
 LANES, PER_LANE, STRIDE = 8192, 64, 64
@@ -141,15 +146,13 @@ class LibraryEncoder(Encoder):
     its splitting rule. Other bodies take the whole way.
     """
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    def __init__(self, path: str, memory: int = MEMORY):
+        super().__init__(path, memory)
         self.library = Tokenizer.from_file(path)
         # The same model, which is not held twice.
         self.model = Tokenizer(self.library.model)
-        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.model.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), bytewise]
-        )
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self._printable = {b: c for c, b in printable_bytes().items()} | {32: " "}
         self._cut_plain = re.compile("|".join(PLAIN_PIECES)).findall
         self._is_plain = re.compile(f"(?:{'|'.join(PLAIN_PIECES)})+").fullmatch
         self._ends = np.zeros(self.width + len(self.special), bool)
@@ -157,7 +160,9 @@ class LibraryEncoder(Encoder):
             self._ends[[n for n, w in self.merges.text.items() if w and ord(w[-1]) >= END]] = True
 
     def _bodies(self, bodies: list[str]) -> None:
-        plain = self._is_plain if self.merges.suffix else lambda body: None
+        if not self.merges.suffix:  # chunks begin with spaces, so they cannot be put in one row
+            return super()._bodies(bodies)
+        plain = self._is_plain
         rest, whole, cut = [], [], {}
         for body in bodies:
             if not plain(body):
@@ -168,9 +173,10 @@ class LibraryEncoder(Encoder):
                 cut[body] = self._cut_plain(body)
         if whole or cut:
             pieces = list(dict.fromkeys([*whole, *(p for own in cut.values() for p in own)]))
-            (coded,) = self.model.encode_batch_fast(
-                [" ".join(pieces).lower()], add_special_tokens=False
-            )
+            row = " ".join(pieces).lower()
+            if not row.isascii():
+                row = row.encode().decode("latin-1").translate(self._printable)
+            (coded,) = self.model.encode_batch_fast([row], add_special_tokens=False)
             ids = np.array(coded.ids, "<u4")
             # A piece ends where a token ends a word.
             ends = np.append(0, 4 * (np.flatnonzero(self._ends[ids]) + 1)).tolist()
@@ -186,6 +192,66 @@ class LibraryEncoder(Encoder):
             begin = np.array([a for a, _ in coded.offsets], np.int64)
             self._keep(rest, np.array(coded.ids, "<u4"), (4 * np.searchsorted(begin, starts)).tolist())
 
+    def _ask_bodies(self, asked: list[str]) -> list[bytes]:
+        """As ``_ask``, for bodies that have no tail and are lower case."""
+        self._forget()
+        known, older = self.known, self._older
+        # White space at an end leaves an empty chunk, which has no ids.
+        known[""] = b""
+        found = list(map(known.get, asked))
+        new = dict.fromkeys([body for body, ids in zip(asked, found, strict=True) if ids is None])
+        if not new:
+            return found
+        before, fresh = len(known), []
+        for body in new:
+            ids = older.get(body)
+            if ids is None:
+                fresh.append(body)
+            else:
+                known[body] = ids
+        for at in range(0, len(fresh), BATCH):
+            self._bodies(fresh[at : at + BATCH])
+        self._held += 220 * (len(known) - before) + sum(map(len, new))
+        return [known[c] if ids is None else ids for c, ids in zip(asked, found, strict=True)]
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one row, and how many each text has.
+
+        Arrow cuts the texts and numbers their distinct chunks; Python sees each of these once.
+        Texts with special strings or separators, which are cut otherwise, go one by one.
+        """
+        odd = pc.match_substring_regex(texts, r"[\x1c-\x1f]")
+        for special in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, special))
+        if not self.splitter.marks_ends:
+            odd = pa.array(np.ones(len(texts), bool))
+        alone = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        words = pc.utf8_split_whitespace(pc.if_else(odd, "", texts) if len(alone) else texts)
+        coded = words.flatten().dictionary_encode()
+        chunks = coded.dictionary
+        # A comma or full stop behind a letter or digit is a piece of its own.
+        tailed = pc.match_substring_regex(chunks, "[A-Za-z0-9][,.]$")
+        last = pc.if_else(tailed, pc.add(pc.cast(pc.ends_with(chunks, "."), pa.int8()), 1), 0)
+        cut = pc.if_else(tailed, pc.utf8_slice_codeunits(chunks, 0, -1), chunks)
+        cut = pc.if_else(pc.string_is_ascii(cut), pc.ascii_lower(cut), cut).dictionary_encode()
+        bodies = cut.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = self._ask_bodies(["", ",", ".", *bodies])
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        # Chunks as ids: a body, and what follows it.
+        two = np.stack([cut.indices.to_numpy() + 3, last.to_numpy()], 1).ravel()
+        ids, size = _gathered(np.frombuffer(b"".join(found), "<u4"), size, two)
+        size = size.reshape(-1, 2).sum(1)
+        ids, sizes = _gathered(ids, size, coded.indices.to_numpy())
+        after = np.cumsum(sizes)
+        cuts = np.cumsum(pc.list_value_length(words).to_numpy())
+        ends = np.append(0, after)[cuts]
+        if len(alone):
+            parts = np.split(ids, ends[:-1])
+            for row, raw in zip(alone, self.encode(texts.take(pa.array(alone)).to_pylist()), strict=True):
+                parts[row] = np.frombuffer(raw, "<u4")
+            ids, ends = np.concatenate(parts), np.cumsum([len(p) for p in parts])
+        return ids, np.diff(ends, prepend=0)
+
     def _keep(self, bodies: list[str], ids: np.ndarray, cuts: list[int]) -> None:
         raw = ids.tobytes()
         self.known.update(
@@ -193,20 +259,31 @@ class LibraryEncoder(Encoder):
         )
 
 
+def _gathered(ids: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of runs of ``ids`` with these sizes, those numbered ``at`` in a row, and their sizes."""
+    sizes = size[at]
+    after = np.cumsum(sizes)
+    place = np.repeat((np.cumsum(size) - size)[at] - (after - sizes), sizes)
+    return ids[place + np.arange(len(place))], sizes
+
+
 def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = held(("library", tokenizer), lambda: LibraryEncoder(tokenizer))
-        end = end_id.to_bytes(4, "little")
         kind = "<u2" if max(coder.width, end_id + 1) <= 1 << 16 else "<u4"
-        for part in slices(batches, "text", SLICE):
-            packed = [
-                np.frombuffer(ids + end, "<u4").astype(kind).tobytes()
-                for ids in coder.encode(part.column("text").to_pylist())
-            ]
-            width = pa.array(np.full(len(packed), int(kind[2]), np.int32))
+        for part in slices(batches, "text", TEXTS):
+            ids, sizes = coder.flat(part.column("text"))
+            ends = np.cumsum(sizes)
+            ids = np.insert(ids, ends, end_id).astype(kind)
+            if ids.nbytes >= 1 << 31:
+                raise OverflowError("one text has more ids than a row can hold")
+            cuts = np.append(0, ends + np.arange(1, 1 + len(ends))) * ids.itemsize
+            packed = pa.BinaryArray.from_buffers(
+                pa.binary(), len(ends), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(ids)]
+            )
+            width = pa.array(np.full(len(ends), ids.itemsize, np.int32))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), width, pa.array(packed, pa.binary())],
-                names=["doc_id", "width", "ids"],
+                [part.column("doc_id"), width, packed], names=["doc_id", "width", "ids"]
             )
 
     return docs.mapInArrow(run, "doc_id bigint, width int, ids binary")

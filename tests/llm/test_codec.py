@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -49,6 +50,33 @@ def test_library_chunks_are_the_librarys_encoding():
     assert got == [ids(WORD, t) for t in texts]
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+@pytest.mark.parametrize("memory", [1, rans.MEMORY])
+def test_ids_of_texts_in_one_row(path, memory):
+    texts = [t or "" for _, t, _ in corpus()] + ODD + ["", " a ", "<|endoftext|>", "É é\x1fA, ß."]
+    coder, library = rans.LibraryEncoder(path, memory), Tokenizer.from_file(path)
+    for part in (texts, texts[::-1], texts[5:9], ["", " "], ODD[4:5], []):
+        found, sizes = coder.flat(pa.array([*part, "not this"], pa.string()).slice(0, len(part)))
+        want = [library.encode(t, add_special_tokens=False).ids for t in part]
+        assert sizes.tolist() == [len(w) for w in want]
+        assert found.tolist() == [n for w in want for n in w]
+
+
+def test_arrow_cuts_at_the_white_space_of_python():
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    cut = pc.utf8_split_whitespace(pa.array([f"a{c}b" for c in chars]))
+    two = pc.equal(pc.list_value_length(cut), 2).to_pylist()
+    assert [c for c, cut in zip(chars, two) if cut] == [c for c in chars if c.isspace()]
+
+
+def test_most_chunks_are_never_seen_one_by_one(monkeypatch):
+    coder, asked = rans.LibraryEncoder(WORD), []
+    ask = coder._ask_bodies
+    monkeypatch.setattr(coder, "_ask_bodies", lambda chunks: asked.extend(chunks) or ask(chunks))
+    coder.flat(pa.array(["To be, or not to be."] * 1000))
+    assert sorted(asked) == ["", ",", ".", "be", "not", "or", "to"]
+
+
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_counts_of_all_prefixes(path):
     word = "unbelievable"
@@ -145,8 +173,8 @@ def test_what_an_earlier_stage_held_goes_before_a_value_is_made(monkeypatch):
 
 def test_an_encoder_with_little_memory_gives_the_same_ids(spark, monkeypatch):
     rows = corpus() + [(100 + n, f"{t}, {t}!", None) for n, t in enumerate(ODD)]
-    docs = frame(spark, rows)
-    want = [(d, ids(BYTE, t or "")) for d, t, _ in rows]
+    docs, library = frame(spark, rows), Tokenizer.from_file(BYTE)
+    want = [(d, library.encode(t or "", add_special_tokens=False).ids) for d, t, _ in rows]
     got = encode_decode(docs, BYTE, memory=1 << 10).collect()
     assert plain((r.doc_id, r.ids) for r in got) == plain(want)
     merges = Encoder(BYTE).merges
