@@ -3,18 +3,19 @@
 Every byte covered by a string of ``length`` bytes that also starts in a document with a smaller
 id is removed; strings are judged on the input.
 
-No suffix of unique text is shuffled. In each string of that length the least hash of its
-``GRAM``-byte parts is its anchor, so equal strings have equal anchors, and neighbouring
-strings mostly share one. A first pass finds anchors of two or more ids and the smallest id of
-each, its home. A second pass cuts texts into pieces, runs of strings whose anchors have one home,
+No suffix of unique text is shuffled. In each string of that length the least hash of its parts of
+half that length is its anchor, so equal strings have equal anchors, and neighbouring
+strings mostly share one; shorter parts would be shared by more and more texts by chance while the table grows.
+A first pass finds anchors of two or more texts and the least of these by hash,
+its home. A second pass cuts texts into pieces, runs of strings whose anchors have one home,
 and sends each to its home's bucket. A bucket so holds every copy of each string that it holds;
 its distinct pieces get one suffix array, whose common prefixes name equal strings and so the
 smallest id of each.
 
 Copies of a text count once, under their smallest id, and travel through this once. Anchors found
-in more than ``HOT`` texts would still gather too much at one home. Their strings are sent one by one, each to the bucket of its own hash, and equal ones are one row for
+in too many texts (``hot``) would still gather too much at one home. Their strings are sent one by one, each to the bucket of its own hash, and equal ones are one row for
 each slice of texts. Numbers of buckets follow from the bytes of the table, so a bucket stays as
-large as it is while the table grows.
+large as it is while the table grows. What the passes shuffle leaves the disk when they end.
 
 What a bucket finds goes back to the texts by bin: texts are dealt to bins by a hash, and a bucket
 makes one row for each bin, with the entries of the bin's texts packed. A bin unpacks them
@@ -40,27 +41,35 @@ from pyspark.sql import functions as F
 from slotcast.llm.common import id_and_text, slices
 from slotcast.llm.suffixes import common_prefixes, suffix_array, words_at
 from slotcast.llm.words import _VALUES, _grow, buffers, mix
-from slotcast.session import materialize
+from slotcast.session import materialize, materialize_and_drop
 
 SLICE = 2 << 20
-GRAM = 16
-HOT = 4096
+HOT, HOT_SHARE, HOT_MOST = 4096, 64, 32768
 KEY_BITS = 40
 ANCHORS, PIECES = 24 << 20, 4 << 20  # bytes of text for each bucket of anchors and of pieces
 LAST = (1 << 63) - 1
 
 
+def hot(texts: int) -> int:
+    """Texts that an anchor may have at its home: a share of all, within bounds.
+
+    A string sent alone costs about as much as the piece it would be part of.
+    """
+    return min(max(HOT, texts // HOT_SHARE), max(HOT, HOT_MOST))
+
+
 def anchors(texts: pa.Array, length: int) -> tuple[np.ndarray, ...]:
     """Runs of strings with one anchor: (anchor, text, first start, number of starts), bytes, offsets."""
     data, offsets = buffers(texts)
-    n, spread = len(data), length - GRAM + 1
+    n, gram = len(data), max(16, length // 2)
+    spread = length - gram + 1
     if n < length:
         none = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), none, none, none, data, offsets
     power, inverse = _grow(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_VALUES[data] * power[:n], out=sums[1:])
-    least = mix((sums[GRAM:] - sums[:-GRAM]) * inverse[: n - GRAM + 1])
+    least = mix((sums[gram:] - sums[:-gram]) * inverse[: n - gram + 1])
     width, count = 1, n - length + 1
     while 2 * width <= spread:
         least = np.minimum(least[:-width], least[width:])
@@ -126,13 +135,12 @@ def _runs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE):
             anchor, text, _, _, _, _ = anchors(part.column("text"), length)
-            ids = part.column("id").to_numpy(zero_copy_only=False)
             rows = part.column("row").to_numpy(zero_copy_only=False)
             bucket, key = _bucketed(anchor, buckets)
             raw = _narrow(key)
             order = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            columns: list[list] = [[], [], [], [], []]
+            columns: list[list] = [[], [], [], []]
             for number in np.flatnonzero(edges[1:] > edges[:-1]):
                 own = order[edges[number] : edges[number + 1]]
                 used, place = np.unique(text[own], return_inverse=True)
@@ -140,7 +148,6 @@ def _runs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                     columns,
                     (
                         int(number),
-                        ids[used].astype("<i8").tobytes(),
                         rows[used].astype("<i8").tobytes(),
                         raw[own].tobytes(),
                         place.astype("<u2" if len(used) <= 1 << 16 else "<u4").tobytes(),
@@ -148,13 +155,13 @@ def _runs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                     strict=True,
                 ):
                     column.append(value)
-            kinds = [pa.int32(), *[pa.binary()] * 4]
+            kinds = [pa.int32(), *[pa.binary()] * 3]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=["bucket", "ids", "rows", "anchors", "places"],
+                names=["bucket", "rows", "anchors", "places"],
             )
 
-    schema = "bucket int, ids binary, rows binary, anchors binary, places binary"
+    schema = "bucket int, rows binary, anchors binary, places binary"
     return docs.mapInArrow(run, schema)
 
 
@@ -202,32 +209,30 @@ def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
 SHARED = "bin int, rows binary, sizes binary, bucket bigint, anchors binary, homes binary"
 
 
-def _shared_of(bins: int):
+def _shared_of(bins: int, most: int):
     def shared(table: pa.Table) -> pa.Table:
-        """Anchors of a bucket that texts of two or more ids have, and their homes, by bin of texts.
+        """Anchors of a bucket that two or more texts have, and their homes, by bin of texts.
 
-        A home is a hash of the smallest id; for anchors of very many texts it is -1.
+        A home is a hash of the least text; for anchors of more than ``most`` texts it is -1.
         """
-        anchor, doc_id, row = [], [], []
-        columns = (table.column(c).to_pylist() for c in ("ids", "rows", "anchors", "places"))
-        for ids, rows, packed, places in zip(*columns, strict=True):
+        anchor, row = [], []
+        columns = (table.column(c).to_pylist() for c in ("rows", "anchors", "places"))
+        for rows, packed, places in zip(*columns, strict=True):
             own = _wide(packed)
             place = np.frombuffer(places, f"<u{len(places) // len(own)}")
             anchor.append(own)
-            doc_id.append(np.frombuffer(ids, "<i8")[place])
             row.append(np.frombuffer(rows, "<i8")[place])
-        anchor, doc_id, row = (np.concatenate(x) for x in (anchor, doc_id, row))
-        # Copies of a text are one row, under its smallest id.
-        order = np.lexsort((doc_id, row, anchor))
-        anchor, doc_id, row = anchor[order], doc_id[order], row[order]
+        anchor, row = (np.concatenate(x) for x in (anchor, row))
+        # Copies of a text are one row.
+        order = np.lexsort((row, anchor))
+        anchor, row = anchor[order], row[order]
         new = _edges(anchor, row)[:-1]
-        anchor, doc_id, row = anchor[new], doc_id[new], row[new]
+        anchor, row = anchor[new], row[new]
         ends = _edges(anchor)
         first, count = ends[:-1], np.diff(ends)
-        low, high = np.minimum.reduceat(doc_id, first), np.maximum.reduceat(doc_id, first)
-        spread = (mix(low.view(np.uint64)) >> np.uint64(33)).astype(np.int32)
-        home = np.where(count > HOT, np.int32(-1), spread)
-        kept = np.repeat(low < high, count)
+        spread = (mix(row[first].view(np.uint64)) >> np.uint64(33)).astype(np.int32)
+        home = np.where(count > most, np.int32(-1), spread)
+        kept = np.repeat(count > 1, count)
         anchor, row, home = anchor[kept], row[kept], np.repeat(home, count)[kept]
         order = np.argsort(row, kind="stable")
         anchor, row, home = anchor[order], row[order], home[order]
@@ -500,17 +505,19 @@ def remove_repeats(
     packed = _packed(own)
     key_buckets = 1 + size // ANCHORS
     shared = _runs(own, length, key_buckets).groupBy("bucket").applyInArrow(
-        _shared_of(key_buckets), SHARED
+        _shared_of(key_buckets, hot(copies.count())), SHARED
     )
     per_row = shared.groupBy("bin").applyInArrow(
         _anchors_of_texts, "row bigint, anchors array<bigint>, homes array<int>"
     )
-    first = per_row.join(copies.select("row", F.col("least").alias("id")), "row")
+    first = materialize_and_drop(
+        per_row.join(copies.select("row", F.col("least").alias("id")), "row"), "anchors"
+    )
     pieces = _pieces(
         packed.join(first, ["row", "id"]), length, key_buckets, 1 + size // PIECES
     )
     spans = pieces.groupBy("bucket").applyInArrow(_spans_of(length, key_buckets), SPANS)
-    per_text = materialize(
+    per_text = materialize_and_drop(
         spans.groupBy("bin").applyInArrow(
             _spans_of_texts, "row bigint, least bigint, spans array<struct<a:bigint,b:bigint>>"
         ),

@@ -32,6 +32,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/slotcast/{label}-{uuid.uuid4().hex}"
 
 
+#: Whether a query's shuffle files go when it ends, not when the driver happens to collect its garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize_and_drop(df: DataFrame, label: str) -> DataFrame:
+    """``materialize``; the files that ``df`` shuffled are gone afterwards, so steps do not add up on disk."""
+    conf = df.sparkSession.conf
+    before = conf.get(DROP_SHUFFLES, None)
+    conf.set(DROP_SHUFFLES, "true")
+    try:
+        # The setting is read when a plan is made, so the plan is made anew.
+        return materialize(df.select("*"), label)
+    finally:
+        conf.unset(DROP_SHUFFLES) if before is None else conf.set(DROP_SHUFFLES, before)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 

@@ -1,13 +1,16 @@
 """Operators 4 and 6 against brute force."""
 
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from slotcast.llm import minhash, suffix_dedup
 from slotcast.llm.suffixes import common_prefixes, suffix_array, words_at
+from slotcast.session import DROP_SHUFFLES, materialize_and_drop
 
 from .helpers import corpus, frame, plain
 
@@ -197,3 +200,50 @@ def test_suffix_array_orders_prefixes():
 
 def test_short_texts_have_no_anchor():
     assert len(suffix_dedup.anchors(pa.array(["", "short"]), 50)[0]) == 0
+
+
+def test_texts_that_share_less_than_half_a_string_share_no_anchor():
+    draw = random.Random(3)
+    short = ["".join(draw.choices("abcdefgh ", k=22)) for _ in range(40)]
+    texts = ["".join(f"{p}{draw.random()}" for p in draw.sample(short, 40)) for _ in range(2)]
+    found = [set(suffix_dedup.anchors(pa.array([t]), 50)[0].tolist()) for t in texts]
+    assert min(map(len, found)) > 40 and not found[0] & found[1]
+    longer = "".join(draw.choices("abcdefgh ", k=50))
+    found = [set(suffix_dedup.anchors(pa.array([t + longer + t]), 50)[0].tolist()) for t in texts]
+    assert found[0] & found[1]
+
+
+def test_the_first_pass_moves_few_bytes_an_anchor(spark):
+    """With a bucket for each anchor a text adds its hash to each, and nothing else."""
+    draw = random.Random(5)
+    texts = ["".join(draw.choices("abcdefgh ", k=2000)) for _ in range(20)]
+    docs = spark.createDataFrame(
+        [(k, k, 7 * k, t) for k, t in enumerate(texts)], "doc_id bigint, id bigint, row bigint, text string"
+    )
+    rows = suffix_dedup._runs(docs, 50, 1 << 16).collect()
+    moved = sum(len(v) for r in rows for v in r if not isinstance(v, int))
+    assert moved < 16 * len(suffix_dedup.anchors(pa.array(texts), 50)[0])
+
+
+def test_texts_at_a_home_follow_the_table_within_bounds():
+    assert [suffix_dedup.hot(n) for n in (0, 236_076, 1_000_000, 10**9)] == [4096, 4096, 15_625, 32_768]
+
+
+def test_shuffle_files_go_with_their_step(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles().iterator()
+        names = set()
+        while found.hasNext():
+            names.add(found.next().getName())
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before, setting = files(), spark.conf.get(DROP_SHUFFLES, None)
+    grouped = spark.range(10_000, numPartitions=4).groupBy((F.col("id") % 97).alias("k")).count()
+    table = materialize_and_drop(grouped, "dropped")
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert table.count() == 97 and spark.conf.get(DROP_SHUFFLES, None) == setting
