@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
@@ -67,6 +67,9 @@ def fit(train: DataFrame, settings: Settings) -> PipelineModel:
     few = few.sortWithinPartitions(*CATEGORIES, *POSITIONS)
     inputs = means + CALENDAR_FEATURES
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
+    # Each job of the booster ships the lineage of its input, so that is cut off here; a checkpoint
+    # keeps partitions and their order.
+    points = assembler.transform(few).select("features", "label", "n").checkpoint()
     booster = GBTRegressor(
         featuresCol="features",
         labelCol="label",
@@ -80,7 +83,7 @@ def fit(train: DataFrame, settings: Settings) -> PipelineModel:
         maxBins=bins_for(size["n"], max(size[m] for m in means)),
         checkpointInterval=10,
     )
-    return Pipeline(stages=[assembler, booster]).fit(few)
+    return PipelineModel([assembler, booster.fit(points)])
 
 
 def bins_for(n_cells: int, distinct: int) -> int:

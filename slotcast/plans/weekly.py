@@ -8,9 +8,11 @@ driver receives check rows, scalars and the run summary.
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -138,6 +140,19 @@ def write_and_promote(
     return predictions
 
 
+def fit_models(run: Run, train: DataFrame) -> dict[str, registry.FittedModel]:
+    """All families at once: the others fit while the booster goes from one short job to the next."""
+
+    def one(name: str) -> registry.FittedModel:
+        return registry.fit(name, train, run.settings, run.trained_at, run.watch)
+
+    names = run.settings.model_order
+    with ThreadPoolExecutor(len(names)) as pool:
+        inherits = inheritable_thread_target(run.store.spark)
+        fits = [pool.submit(inherits(one), name) for name in names]
+    return {name: fit.result() for name, fit in zip(names, fits, strict=True)}
+
+
 def score_models(
     run: Run, models: list[registry.FittedModel], train: DataFrame, test: DataFrame
 ) -> DataFrame:
@@ -228,9 +243,7 @@ def run_weekly(run: Run, bronze: DataFrame) -> dict:
 
     cutoff = fe.time_cutoff(silver, settings).first()["cutoff"]
     train, test = fe.chrono_split(silver, settings, clock.naive(cutoff))
-    models = {
-        n: registry.fit(n, train, settings, run.trained_at, run.watch) for n in settings.model_order
-    }
+    models = fit_models(run, train)
     scored = score_models(run, list(models.values()), train, test)
     kpis = materialize(kp.compute_kpis(scored, settings), "kpis")
 

@@ -229,3 +229,14 @@ def test_high_wait_is_measured_on_train(spark, data):
     assert {r["entity"] for r in high.collect()} == {"North::b"}
     flagged = kp.flag_high(test, high)
     assert flagged.where("is_high").select("ride_key").distinct().collect()[0][0] == "b"
+
+
+def test_the_booster_reads_points_without_their_lineage(spark, data, monkeypatch):
+    seen = []
+    fit = global_trees.GBTRegressor.fit
+    monkeypatch.setattr(global_trees.GBTRegressor, "fit", lambda self, rows: seen.append(rows) or fit(self, rows))
+    few = replace(SETTINGS, trees=TreeParams(trees=2, depth=2))
+    model = global_trees.fit(data[0], few)
+    assert [type(s).__name__ for s in model.stages] == ["VectorAssembler", "GBTRegressionModel"]
+    plan = seen[0]._jdf.queryExecution().sparkPlan().toString()
+    assert "ExistingRDD" in plan and "FileScan" not in plan and "Sort" not in plan

@@ -2,6 +2,7 @@
 
 from dataclasses import replace
 from datetime import datetime, timedelta
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,3 +170,19 @@ def test_versions_without_a_promotion_are_listed(spark, store):
                         ("silver", "c", 2), ("models", "c", 2)}
     empty = TableStore(spark, store.root + "-none")
     assert registry.unreachable(empty, SETTINGS).count() == 0
+
+
+def test_families_are_fitted_at_once(store, monkeypatch):
+    together = Barrier(len(SETTINGS.model_order))
+
+    def fit(name, train, settings, trained_at, watch):
+        together.wait(30)  # breaks if one family waits for another
+        if train is None and name == SETTINGS.baseline:
+            raise registry.ModelError("no rows")
+        return name, trained_at
+
+    monkeypatch.setattr(registry, "fit", fit)
+    run = run_at(store)
+    assert weekly.fit_models(run, "rows") == {n: (n, run.trained_at) for n in SETTINGS.model_order}
+    with pytest.raises(registry.ModelError):
+        weekly.fit_models(run, None)
